@@ -25,13 +25,15 @@ def _module_case() -> str:
 
 def _time_case() -> str:
     months = ", ".join(f"'{m.lower()}', '{i:02d}'" for i, m in enumerate(MONTHS, start=1))
-    part = r"regexp_extract(replace(t, '\"', ''), r'^(\d+)/([A-Za-z]{3})/(\d{4}):(\d+):(\d+):(\d+)', {})"
-    first = (
-        f"try_cast(concat({part.format(3)}, '-', "
-        f"try_element_at(map({months}), lower({part.format(2)})), '-01 00:00:00') AS TIMESTAMP_NTZ)"
-    )
-    num = [f"try_cast({part.format(i)} AS INT)" for i in (1, 4, 5, 6)]
-    shift = f"make_dt_interval({num[0]} - 1, {num[1]}, {num[2]}, cast({num[3]} AS DECIMAL(18,6)))"
+    pattern = r"^(\d{1,4})/([A-Za-z]{3})/(\d{4}):(\d{1,5}):(\d{1,5}):(\d{1,5})"
+
+    def part(i: int) -> str:
+        return f"regexp_extract(replace(t, '\"', ''), r'{pattern}', {i})"
+
+    month = f"try_element_at(map({months}), lower({part(2)}))"
+    first = f"try_cast(concat({part(3)}, '-', {month}, '-01 00:00:00') AS TIMESTAMP_NTZ)"
+    day, hour, minute, second = (f"try_cast({part(i)} AS INT)" for i in (1, 4, 5, 6))
+    shift = f"make_dt_interval({day} - 1, {hour}, {minute}, cast({second} AS DECIMAL(18,6)))"
     return (
         "CASE WHEN t IS NULL OR trim(t) = '' THEN NULL "
         f"ELSE coalesce(date_format({first} + {shift}, 'yyyy-MM-dd HH:mm:ss'), '') END"

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumetra.operators.topk import top_k
+
 
 def cast_ratings(table: DataFrame) -> DataFrame:
     """The three columns of a table, by position, as ``(user INT, item INT, rating DOUBLE)``.
@@ -15,8 +18,8 @@ def cast_ratings(table: DataFrame) -> DataFrame:
     """
     if len(table.columns) != 3:
         raise ValueError(f"a ratings table has three columns, not {len(table.columns)}")
-    text = [F.col(c).cast("string") for c in table.columns]
-    out = table.select(
+    text = [F.col(c).cast("string") for c in ("user", "item", "rating")]
+    out = table.toDF("user", "item", "rating").select(
         text[0].try_cast("int").alias("user"), text[1].try_cast("int").alias("item"),
         text[2].try_cast("double").alias("rating"), F.concat_ws(",", *text).alias("raw"),
     )
@@ -49,6 +52,37 @@ SPLIT_60_20_20 = [("train", 60), ("validation", 80), ("test", 100)]
 SPLIT_70_30 = [("train", 70), ("test", 100)]
 
 
+def distinct_counts(ratings: DataFrame, approximate: bool = False) -> DataFrame:
+    """One row ``(n_users, n_items)``."""
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return ratings.agg(count("user").alias("n_users"), count("item").alias("n_items"))
+
+
+def grid_coverage(ratings: DataFrame) -> DataFrame:
+    """``(user, n_cells, n_rated, n_open)``: each user's row of the user-by-item grid.
+
+    The grid itself is never written out: scoring walks it in blocks (``factors``), and its
+    counts follow from the number of items.
+    """
+    n_items = ratings.select(F.count_distinct("item")).scalar()
+    rated = ratings.groupBy("user").agg(F.count_distinct("item").alias("n_rated"))
+    return rated.select("user", n_items.alias("n_cells"), "n_rated", (n_items - F.col("n_rated")).alias("n_open"))
+
+
+def known_mean(parts: DataFrame) -> DataFrame:
+    """One row: mean and number of the training and validation ratings together."""
+    train, validation = (parts.filter(F.col("part") == p) for p in ("train", "validation"))
+    return train.unionByName(validation).agg(
+        F.avg("rating").alias("mean_rating"), F.count(F.lit(1)).alias("n_ratings")
+    )
+
+
+def user_mean_predictions(known: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(user, item, prediction)``: a user's mean known rating as the prediction."""
+    means = known.groupBy("user").agg(F.avg("rating").alias("prediction"))
+    return pairs.select("user", "item").join(means, "user")
+
+
 def split_random(ratings: DataFrame, weights: Sequence[float] = (0.6, 0.2, 0.2), seed: int = 42) -> list[DataFrame]:
     return ratings.randomSplit(list(weights), seed)
 
@@ -113,6 +147,17 @@ TOP_N = {
 }
 
 
+def source_top_n(scored: DataFrame, config: Mapping[str, int] = TOP_N) -> DataFrame:
+    """The best rows of each ``(source, user)`` of ``(source, user, item, predict)``, as many as
+    the source's configured length; sources without one give no rows."""
+    spark = scored.sparkSession
+    lengths = spark.createDataFrame(pa.table({"source": list(config), "_length": list(config.values())}))
+    known = scored.join(F.broadcast(lengths), "source")
+    order = [F.desc("predict"), F.asc("item")]
+    longest = top_k(known, ["source", "user"], order, max(config.values()), rank="_rank")
+    return longest.filter(F.col("_rank") <= F.col("_length")).drop("_rank", "_length")
+
+
 def top_n_for(source: str, config: Mapping[str, int] = TOP_N) -> int:
     if source not in config:
         raise ValueError(f"no list length for {source!r}; give one")

@@ -33,6 +33,11 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, r
     return kept if rank else kept.drop(name)
 
 
+def ordered_limit(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows in a full order. Each task keeps n rows; there is no global sort."""
+    return df.orderBy(*order).limit(n)
+
+
 def as_list(topped: DataFrame, key: str, item: str, score: str, name: str = "recommendations") -> DataFrame:
     """Collect rows already cut to k per group into a list of ``(product, rating)``, best first."""
     pair = F.struct((-F.col(score)).alias("_o"), F.col(item).alias("product"), F.col(score).alias("rating"))

@@ -10,6 +10,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores if the input has fewer splits, as one small file has."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # Shared by Spark SQL and the checking engine; {ts} and {k} are the only parts that differ.
 LOG_LINE_SQL = """
 CASE WHEN event_id % 97 = 0 THEN 'bad line'
@@ -39,7 +45,7 @@ def raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = LOG_LINE_SQL.format(
         ts="date_format(cast(ts AS timestamp_ntz), 'dd/MMM/yyyy:HH:mm:ss')", k="get_json_object(props, '$.k')"
     )
-    return table(spark, sf_dir, "events").select("event_id", F.expr(line).alias("value"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", F.expr(line).alias("value"))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +75,7 @@ concat('{{"module":"',
 def module_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, json)``: one module event per event."""
     text = MODULE_JSON_SQL.format(k="get_json_object(props, '$.k')")
-    return table(spark, sf_dir, "events").select("event_id", F.expr(text).alias("json"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", F.expr(text).alias("json"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
