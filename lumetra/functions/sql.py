@@ -7,50 +7,17 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from lumetra.functions.weblog import INTERFACE_PATTERN, MODULE_LABELS, MONTHS, PARAM_VALUE_CLASS, SONG_MODULES
-
-
-def _module_case() -> str:
-    def text(field: str) -> str:
-        return f"coalesce(get_json_object(j, '$.{field}'), 'null')"
-
-    arms = [
-        f"WHEN get_json_object(j, '$.module') IN ({', '.join(repr(m) for m in SONG_MODULES)}) "
-        f"THEN concat({text('song_source')}, ':', {text('song_name')})"
-    ]
-    for name, (prefix, field) in MODULE_LABELS.items():
-        arms.append(f"WHEN get_json_object(j, '$.module') = '{name}' THEN concat('{prefix}', {text(field)})")
-    return "CASE " + " ".join(arms) + " END"
-
-
-def _time_case() -> str:
-    months = ", ".join(f"'{m.lower()}', '{i:02d}'" for i, m in enumerate(MONTHS, start=1))
-    pattern = r"^(\d{1,4})/([A-Za-z]{3})/(\d{4}):(\d{1,5}):(\d{1,5}):(\d{1,5})"
-
-    def part(i: int) -> str:
-        return f"regexp_extract(replace(t, '\"', ''), r'{pattern}', {i})"
-
-    month = f"try_element_at(map({months}), lower({part(2)}))"
-    first = f"try_cast(concat({part(3)}, '-', {month}, '-01 00:00:00') AS TIMESTAMP_NTZ)"
-    day, hour, minute, second = (f"try_cast({part(i)} AS INT)" for i in (1, 4, 5, 6))
-    shift = f"make_dt_interval({day} - 1, {hour}, {minute}, cast({second} AS DECIMAL(18,6)))"
-    return (
-        "CASE WHEN t IS NULL OR trim(t) = '' THEN NULL "
-        f"ELSE coalesce(date_format({first} + {shift}, 'yyyy-MM-dd HH:mm:ss'), '') END"
-    )
+from lumetra.functions import weblog as W
 
 
 def sql_functions() -> dict[str, str]:
     """Signature -> body of each function."""
     return {
-        "log_time_text(t STRING)": _time_case(),
-        "url_text(u STRING)": "try_url_decode(replace(u, '+', '%2B'))",
-        "url_param(u STRING, n STRING)": (
-            "replace(split_part(nullif(regexp_extract(concat(u, '&'), "
-            f"concat('[?&]#?', n, '={PARAM_VALUE_CLASS}*&'), 0), ''), '=', 2), '&', '')"
-        ),
-        "interface_of(p STRING)": f"nullif(regexp_extract(p, r'{INTERFACE_PATTERN}', 0), '')",
-        "module_label(j STRING)": _module_case(),
+        "log_time_text(t STRING)": W.log_time_text("t"),
+        "url_text(u STRING)": W.url_text("u"),
+        "url_param(u STRING, n STRING)": W.url_param("u", "n"),
+        "interface_of(p STRING)": W.interface_of("p"),
+        "module_label(j STRING)": f"transform(array({W.module_fields('j')}), e -> {W.module_label('e')})[0]",
     }
 
 

@@ -1,9 +1,13 @@
-"""Column functions for access-log fields. All are native expressions; none is a Python UDF."""
+"""Expressions over access-log fields, as Spark SQL text.
+
+Each function takes SQL text (a column name, mostly) and returns SQL text, for ``F.expr`` and
+``selectExpr``; ``functions.sql`` registers the same texts as SQL functions. All are built-in
+expressions; none is a Python UDF.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
 # ---- Fixed values: patterns and formats of the log fields ----
 LINE_PATTERN = r'([^ ]*) ([^ ]*) ([^ ]*) (\[.*\]) (".*?") (-|[0-9]*) (-|[0-9]*) (".*?") (".*?")'
@@ -13,107 +17,109 @@ MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct",
 # ---- end of fixed values ----
 
 N_FIELDS = 9
-_SEP = "\u0001"
 
 
-def line_fields(line: Column) -> Column:
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def line_fields(line: str) -> str:
     """The nine fields of a log line as an array, or an array of another size if it does not match.
 
     The pattern is searched, not anchored, and runs once per line: the match is rewritten to
     its groups joined by a separator character. A line that itself holds that character takes
     the slower way of one extraction per group.
     """
-    joined = _SEP.join(f"${i}" for i in range(1, N_FIELDS + 1))
-    once = F.split(F.regexp_replace(line, f"^(?s:.*?){LINE_PATTERN}(?s:.*)$", joined), _SEP)
-    by_group = F.when(
-        line.rlike(LINE_PATTERN),
-        F.array(*[F.regexp_extract(line, LINE_PATTERN, i) for i in range(1, N_FIELDS + 1)]),
-    ).otherwise(F.array(line))
-    return F.when(line.contains(_SEP), by_group).otherwise(once)
+    pattern, groups = text(LINE_PATTERN), range(1, N_FIELDS + 1)
+    whole = text(f"^(?s:.*?){LINE_PATTERN}(?s:.*)$")
+    joined = "'" + r"\u0001".join(f"${i}" for i in groups) + "'"
+    once = rf"split(regexp_replace({line}, {whole}, {joined}), '\u0001')"
+    each = ", ".join(f"regexp_extract({line}, {pattern}, {i})" for i in groups)
+    by_group = f"CASE WHEN rlike({line}, {pattern}) THEN array({each}) ELSE array({line}) END"
+    return rf"CASE WHEN contains({line}, '\u0001') THEN {by_group} ELSE {once} END"
 
 
-def strip_brackets(c: Column) -> Column:
-    return F.translate(c, "[]", "")
+def strip_brackets(c: str) -> str:
+    return f"translate({c}, '[]', '')"
 
 
-def _month_number(text: Column) -> Column:
-    numbers = F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS, start=1) for x in (m.lower(), f"{i:02d}")])
-    return F.try_element_at(numbers, F.lower(text))
+def _month_number(name: str) -> str:
+    numbers = ", ".join(f"'{m.lower()}', '{i:02d}'" for i, m in enumerate(MONTHS, start=1))
+    return f"try_element_at(map({numbers}), lower({name}))"
 
 
-def log_time_text(time: Column) -> Column:
+def log_time_text(time: str) -> str:
     """``dd/MMM/yyyy:HH:mm:ss ...`` to ``yyyy-MM-dd HH:mm:ss``; wall clock kept, offset ignored.
 
     Blank gives NULL, unreadable gives ''. Out-of-range parts roll over (day 32 is the next
     month's first or second), as a lenient calendar does. No session time zone takes part.
     """
-    def cut(start: int, length: int) -> Column:
-        return F.substr(time, F.lit(start), F.lit(length))
-
-    strict = r"^(0[1-9]|1\d|2[0-8])/[A-Za-z]{3}/\d{4}:([01]\d|2[0-3]):[0-5]\d:[0-5]\d"
-    plain = F.concat(cut(8, 4), F.lit("-"), _month_number(cut(4, 3)), F.lit("-"), cut(1, 2), F.lit(" "), cut(13, 8))
+    strict = text(r"^(0[1-9]|1\d|2[0-8])/[A-Za-z]{3}/\d{4}:([01]\d|2[0-3]):[0-5]\d:[0-5]\d")
+    plain = (
+        f"concat(substr({time}, 8, 4), '-', {_month_number(f'substr({time}, 4, 3)')}, '-', "
+        f"substr({time}, 1, 2), ' ', substr({time}, 13, 8))"
+    )
+    loose = text(r"^(\d{1,4})/([A-Za-z]{3})/(\d{4}):(\d{1,5}):(\d{1,5}):(\d{1,5})")
 
-    t = F.replace(time, F.lit('"'), F.lit(""))
-    loose = r"^(\d{1,4})/([A-Za-z]{3})/(\d{4}):(\d{1,5}):(\d{1,5}):(\d{1,5})"
-    part = [F.regexp_extract(t, loose, i) for i in range(1, 7)]
-    number = [p.try_cast("int") for p in part]
-    first = F.concat(part[2], F.lit("-"), _month_number(part[1]), F.lit("-01 00:00:00")).try_cast("timestamp_ntz")
-    shift = F.make_dt_interval(number[0] - 1, number[3], number[4], number[5].cast("decimal(18,6)"))
-    rolled = F.when(t.rlike(loose), F.date_format(first + shift, "yyyy-MM-dd HH:mm:ss"))
+    def part(i: int) -> str:
+        return f"regexp_extract(replace({time}, '\"', ''), {loose}, {i})"
 
+    first = f"try_cast(concat({part(3)}, '-', {_month_number(part(2))}, '-01 00:00:00') AS TIMESTAMP_NTZ)"
+    day, hour, minute, second = (f"try_cast({part(i)} AS INT)" for i in (1, 4, 5, 6))
+    shift = f"make_dt_interval({day} - 1, {hour}, {minute}, cast({second} AS DECIMAL(18,6)))"
     return (
-        F.when(time.rlike(strict), F.coalesce(plain, F.lit("")))
-        .when(time.isNull() | (F.trim(time) == ""), F.lit(None).cast("string"))
-        .otherwise(F.coalesce(rolled, F.lit("")))
+        f"CASE WHEN rlike({time}, {strict}) THEN coalesce({plain}, '') "
+        f"WHEN {time} IS NULL OR trim({time}) = '' THEN NULL "
+        f"ELSE coalesce(date_format({first} + {shift}, 'yyyy-MM-dd HH:mm:ss'), '') END"
     )
 
 
-def event_ts(time_text: Column) -> Column:
-    """Typed form of the time text."""
-    return time_text.try_cast("timestamp_ntz")
-
+def request_method(request: str) -> str:
+    return f"replace(split_part({request}, ' ', 1), '\"', '')"
 
-def request_method(request: Column) -> Column:
-    return F.replace(F.split_part(request, F.lit(" "), F.lit(1)), F.lit('"'), F.lit(""))
 
-
-def request_target(request: Column) -> Column:
+def request_target(request: str) -> str:
     """Second space-separated token without quotes; '' when there is none."""
-    return F.replace(F.split_part(request, F.lit(" "), F.lit(2)), F.lit('"'), F.lit(""))
+    return f"replace(split_part({request}, ' ', 2), '\"', '')"
 
 
-def url_text(url: Column, plus_as_space: bool = False) -> Column:
+def url_text(url: str, plus_as_space: bool = False) -> str:
     """Percent-decode as UTF-8; a bad escape gives NULL. A ``+`` stays unless asked otherwise."""
-    encoded = url if plus_as_space else F.replace(url, F.lit("+"), F.lit("%2B"))
-    needs = url.contains("%") | url.contains("+") if plus_as_space else url.contains("%")
-    return F.when(needs, F.try_url_decode(encoded)).otherwise(url)
+    if plus_as_space:
+        return f"try_url_decode({url})"
+    return f"CASE WHEN contains({url}, '%') THEN try_url_decode(replace({url}, '+', '%2B')) ELSE {url} END"
 
 
-def url_path(url: Column) -> Column:
-    return F.split_part(url, F.lit("?"), F.lit(1))
+def url_path(url: str) -> str:
+    return f"split_part({url}, '?', 1)"
 
 
-def interface_of(path: Column) -> Column:
+def interface_of(path: str) -> str:
     """First ``/letters/.../...letters`` part of a path, or NULL."""
-    return F.nullif(F.regexp_extract(path, INTERFACE_PATTERN, 0), F.lit(""))
+    return f"nullif(regexp_extract({path}, {text(INTERFACE_PATTERN)}, 0), '')"
 
 
-def url_param(url: Column, name: str) -> Column:
-    """Value of a query parameter: NULL if absent, '' if empty.
+def url_param(url: str, name: str) -> str:
+    """Value of a query parameter: NULL if absent, '' if empty. ``name`` is SQL text as well.
 
     The first occurrence whose value holds allowed characters only counts; the value ends at
     a further ``=``.
     """
-    hit = F.regexp_extract(
-        F.concat(url, F.lit("&")), f"[?&]#?{name}={PARAM_VALUE_CLASS}*&", 0
-    )
-    value = F.split_part(F.nullif(hit, F.lit("")), F.lit("="), F.lit(2))
-    return F.replace(value, F.lit("&"), F.lit(""))
+    pattern = f"concat('[?&]#?', {name}, {text(f'={PARAM_VALUE_CLASS}*&')})"
+    hit = f"nullif(regexp_extract(concat({url}, '&'), {pattern}, 0), '')"
+    return f"replace(split_part({hit}, '=', 2), '&', '')"
+
 
+def one_param(url: str, which: str, names: Sequence[str]) -> str:
+    """The parameter that the column ``which`` names. One constant pattern per name: patterns
+    compile once per task, and only the row's own arm runs."""
+    return f"CASE {which} " + " ".join(f"WHEN '{n}' THEN {url_param(url, text(n))}" for n in names) + " END"
 
-def printed(c: Column) -> Column:
+
+def printed(c: str) -> str:
     """NULL as the text 'null', as string concatenation prints it."""
-    return F.coalesce(c, F.lit("null"))
+    return f"coalesce({c}, 'null')"
 
 
 # ---- Fixed values: label of each module, as (prefix, JSON field) ----
@@ -127,28 +133,19 @@ MODULE_LABELS = {
 }
 # ---- end of fixed values ----
 
-_MODULE_FIELDS = ["module", "song_source", "song_name"] + [f for _, f in MODULE_LABELS.values()]
-_MODULE_SCHEMA = ", ".join(f"{f} STRING" for f in _MODULE_FIELDS) + ", _corrupt_record STRING"
 
+def module_fields(json: str) -> str:
+    """A module event's JSON text as a struct, parsed once; ``_corrupt_record`` holds a bad text."""
+    names = ["module", "song_source", "song_name", *(f for _, f in MODULE_LABELS.values()), "_corrupt_record"]
+    schema = ", ".join(f"{n} STRING" for n in names)
+    return f"from_json({json}, '{schema}', map('columnNameOfCorruptRecord', '_corrupt_record'))"
 
-def module_label(json: Column) -> Column:
-    """Struct ``(label, reason)`` of a module event; the JSON text is parsed once.
 
-    ``reason`` is 'bad_json' or 'unknown_module' where there is no label.
-    """
-    j = F.from_json(json, _MODULE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
-
-    def labelled(j: Column) -> Column:
-        module = j["module"]
-        label = F.when(
-            module.isin(SONG_MODULES),
-            F.concat(printed(j["song_source"]), F.lit(":"), printed(j["song_name"])),
-        )
-        for name, (prefix, field) in MODULE_LABELS.items():
-            label = label.when(module == name, F.concat(F.lit(prefix), printed(j[field])))
-        reason = F.when(j.isNull() | j["_corrupt_record"].isNotNull(), "bad_json").when(
-            label.isNull(), "unknown_module"
-        )
-        return F.struct(F.when(reason.isNull(), label).alias("label"), reason.alias("reason"))
-
-    return F.transform(F.array(j), labelled)[0]
+def module_label(event: str) -> str:
+    """Label of the struct ``module_fields`` gives; NULL for an unknown module."""
+    songs = ", ".join(f"'{m}'" for m in SONG_MODULES)
+    song = f"concat({printed(f'{event}.song_source')}, ':', {printed(f'{event}.song_name')})"
+    arms = [f"WHEN {event}.module IN ({songs}) THEN {song}"]
+    for name, (prefix, field) in MODULE_LABELS.items():
+        arms.append(f"WHEN {event}.module = '{name}' THEN concat('{prefix}', {printed(f'{event}.{field}')})")
+    return "CASE " + " ".join(arms) + " END"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumetra.operators import similarity as S
-from lumetra.operators.neighborhood import estimates_for, recommend
+from lumetra.operators.neighborhood import estimates, recommend
 from lumetra.operators.ratings import SPLIT_70_30, error_metrics, join_predictions, split_parts
 from lumetra.operators.topk import top_k
 from lumetra.session import checkpointed
@@ -20,9 +20,8 @@ def holdout_errors(ratings: DataFrame, n_neighbours: int = 2) -> DataFrame:
     parts = split_parts(ratings, SPLIT_70_30)
     train = parts.filter(F.col("part") == "train").drop("part")
     test = parts.filter(F.col("part") == "test").drop("part")
-    neighbours = checkpointed(S.nearest_users(train, n_neighbours))
-    predicted = estimates_for(test, neighbours, train)
-    return error_metrics(join_predictions(predicted, test))
+    neighbours = checkpointed(S.nearest(train, n_neighbours))
+    return error_metrics(join_predictions(estimates(neighbours, train), test))
 
 
 def relevance_threshold(ratings: DataFrame) -> DataFrame:
@@ -53,8 +52,7 @@ def precision_recall(ratings: DataFrame, at: int = 4, n_neighbours: int = 4) ->
     reduced = ratings.join(judged.select("user"), "user", "left_semi").join(
         relevant, ["user", "item"], "left_anti"
     )
-    pairs = S.pearson_of(S.co_moments(reduced, "user", "item", right=ratings))
-    neighbours = checkpointed(S.nearest(pairs, n_neighbours))
+    neighbours = checkpointed(S.nearest(reduced, n_neighbours, others=ratings))
     recommended = recommend(neighbours, ratings, at, seen=reduced)
     hits = recommended.join(relevant.withColumn("_hit", F.lit(1)), ["user", "item"], "left")
     by_user = hits.groupBy("user").agg(F.count(F.lit(1)).alias("n_rec"), F.count("_hit").alias("n_hit"))

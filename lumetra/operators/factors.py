@@ -7,13 +7,12 @@ broadcast.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumetra.operators.blocks import best_of_rows, block_count
 from lumetra.operators.topk import as_list, top_k
 
 LEFT_BLOCK = 8192
@@ -51,13 +50,7 @@ def _block_kernel(k: int, min_score: float | None, strict: bool, exclude_same: b
                     score[a[rows, None] == b[None, :]] = -np.inf
                 if min_score is not None:
                     score[(score <= min_score) if strict else (score < min_score)] = -np.inf
-                if k < len(b):
-                    kth = np.partition(score, len(b) - k, axis=1)[:, len(b) - k, None]
-                    ties, above = score == kth, score > kth
-                    keep = above | (ties & (np.cumsum(ties, axis=1) <= k - above.sum(axis=1, keepdims=True)))
-                else:
-                    keep = np.ones(score.shape, bool)
-                i, j = np.nonzero(keep & np.isfinite(score))
+                i, j = np.nonzero(best_of_rows(score, k))
                 found.append((a[rows][i], b[j], score[i, j]))
         ids, others, scores = (np.concatenate(c) for c in zip(*found))
         return pa.table({"id": ids, "other": others, "score": scores})
@@ -74,11 +67,10 @@ def best_partners(
     Scores are rounded to 12 places and ties go to the smaller id. Inputs are ``(id, features)``.
     """
     if blocks is None:
-        at_least = math.ceil(math.sqrt(left.sparkSession.sparkContext.defaultParallelism))
-        n_left, n_right = left.count(), right.count()
-        blocks = tuple(
-            max(1, math.ceil(n / size), min(math.ceil(n / 128), at_least))
-            for n, size in ((n_left, LEFT_BLOCK), (n_right, RIGHT_BLOCK))
+        parallelism = left.sparkSession.sparkContext.defaultParallelism
+        blocks = (
+            block_count(left.count(), LEFT_BLOCK, 128, parallelism),
+            block_count(right.count(), RIGHT_BLOCK, 128, parallelism),
         )
 
     def block(n: int) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumetra.functions import weblog as W
@@ -18,25 +18,29 @@ from lumetra.operators import interfaces as I
 from lumetra.schemas import LOG_CLEAN_COLUMNS, LOG_DETAIL_COLUMNS, LOG_RAW, LOG_RAW_COLUMNS, select_schema
 
 
-def _computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+def _computed_once(df: DataFrame, **columns: str) -> DataFrame:
     """Add columns behind a generator, which the optimizer does not substitute into later
     filters and projections, so that a regular expression runs once per row."""
-    row = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
+    row = ", ".join(f"{expr} AS {name}" for name, expr in columns.items())
+    return df.selectExpr("*", f"inline(array(struct({row})))")
+
+
+def _named(names: Sequence[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
 
 
 def good_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("reason").isNull()).drop("raw", "reason")
+    return df.filter("reason IS NULL").drop("raw", "reason")
 
 
 def quarantine(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("reason").isNotNull()).select("raw", "reason")
+    return df.filter("reason IS NOT NULL").select("raw", "reason")
 
 
 def check_strict(df: DataFrame) -> DataFrame:
     """Raise with counts if any row is bad (one extra pass over the data)."""
-    counts = {r["reason"]: r["n"] for r in
-              quarantine(df).groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by_reason = quarantine(df).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["reason"]: r["n"] for r in by_reason.collect()}
     if counts:
         raise ValueError(f"bad rows: {counts}")
     return df
@@ -44,23 +48,18 @@ def check_strict(df: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Raw lines to the nine text fields, with ``raw`` and ``reason``; other columns are kept."""
-    parsed = _computed_once(lines, _f=W.line_fields(F.col(column)))
-    matched = F.size("_f") == W.N_FIELDS
-    fields = [F.when(matched, F.get("_f", F.lit(i))).alias(n) for i, n in enumerate(LOG_RAW_COLUMNS)]
+    parsed = _computed_once(lines, _f=W.line_fields(column))
+    fields = [f"CASE WHEN size(_f) = {W.N_FIELDS} THEN get(_f, {i}) END AS `{n}`" for i, n in enumerate(LOG_RAW_COLUMNS)]
     others = [c for c in lines.columns if c != column]
-    return parsed.select(
-        *others, *fields, F.col(column).alias("raw"),
-        F.when(~matched, "unparsable_line").alias("reason"),
-    )
+    reason = f"CASE WHEN size(_f) <> {W.N_FIELDS} THEN 'unparsable_line' END AS reason"
+    return parsed.selectExpr(*_named(others), *fields, f"{column} AS raw", reason)
 
 
 def from_table(table: DataFrame) -> DataFrame:
     """A stored table of parsed lines, as ``parse_lines`` returns it."""
-    typed = select_schema(table, LOG_RAW)
-    return typed.select(
-        "*",
-        F.concat_ws(" ", *LOG_RAW_COLUMNS).alias("raw"),
-        F.lit(None).cast("string").alias("reason"),
+    columns = _named(LOG_RAW_COLUMNS)
+    return select_schema(table, LOG_RAW).selectExpr(
+        *columns, f"concat_ws(' ', {', '.join(columns)}) AS raw", "cast(NULL AS STRING) AS reason"
     )
 
 
@@ -70,57 +69,38 @@ def page_filter(parsed: DataFrame, pages: Sequence[str] = tuple(I.PAGES), dedupe
     The pages are a list in the job's configuration, so each row is tested in place and in one
     pass; no join takes part.
     """
-    request = F.col("request")
     if dedupe:
-        return parsed.filter(request.rlike("|".join(re.escape(p) for p in pages)))
-    hits = F.filter(F.array(*[F.lit(p) for p in dict.fromkeys(pages)]), request.contains)
-    return parsed.select("*", F.explode(hits).alias("page"))
+        return parsed.filter(F.col("request").rlike("|".join(re.escape(p) for p in pages)))
+    listed = ", ".join(W.text(p) for p in dict.fromkeys(pages))
+    return parsed.selectExpr("*", f"explode(filter(array({listed}), p -> contains(request, p))) AS page")
 
 
 def clean(parsed: DataFrame) -> DataFrame:
     """Time as text, method, decoded request target; other columns are kept."""
-    request = F.col("request")
-    cut = _computed_once(parsed, _t=W.strip_brackets(F.col("time")), _target=W.request_target(request))
+    cut = _computed_once(parsed, _t=W.strip_brackets("`time`"), _target=W.request_target("request"))
     staged = _computed_once(
-        cut,
-        _time=W.log_time_text(F.col("_t")),
-        method=W.request_method(request),
-        _decoded=W.url_text(F.col("_target")),
-    )
-    reason = F.coalesce(
-        F.col("reason"),
-        F.when(F.col("_target") == "", "no_target")
-        .when(F.col("_decoded").isNull(), "bad_encoding")
-        .when(F.col("_time").isNull(), "bad_time"),
+        cut, _time=W.log_time_text("_t"), method=W.request_method("request"), _decoded=W.url_text("_target")
     )
+    reason = """coalesce(reason, CASE WHEN _target = '' THEN 'no_target' WHEN _decoded IS NULL THEN 'bad_encoding'
+                WHEN _time IS NULL THEN 'bad_time' END) AS reason"""
     others = [c for c in parsed.columns if c not in LOG_RAW_COLUMNS and c not in ("raw", "reason")]
-    renamed = {"time": F.col("_time").alias("time"), "request": F.col("_decoded").alias("request")}
-    return staged.select(
-        *others, *[renamed.get(c, F.col(c)) for c in LOG_CLEAN_COLUMNS], "raw", reason.alias("reason")
+    renamed = {"time": "_time AS time", "request": "_decoded AS request"}
+    return staged.selectExpr(
+        *_named(others), *[renamed.get(c, f"`{c}`") for c in LOG_CLEAN_COLUMNS], "raw", reason
     )
 
 
 def only_get(cleaned: DataFrame) -> DataFrame:
     """GET requests; rows that are already bad stay, so that they reach the quarantine."""
-    return cleaned.filter((F.col("method") == "GET") | F.col("reason").isNotNull())
+    return cleaned.filter("method = 'GET' OR reason IS NOT NULL")
 
 
 def typed_extras(df: DataFrame) -> DataFrame:
     """Typed forms of the text columns; ``-`` becomes NULL."""
-    return df.withColumns({
-        "status_code": F.col("status").try_cast("int"),
-        "size_bytes": F.col("size").try_cast("bigint"),
-        "event_ts": W.event_ts(F.col("time")),
-    })
-
-
-def _by_param(which: Column, url: Column, names: Sequence[str]) -> Column:
-    """The URL parameter named by ``which``. One constant pattern per name: patterns compile once
-    per task, and only the row's own arm runs."""
-    out = F.when(which == names[0], W.url_param(url, names[0]))
-    for name in names[1:]:
-        out = out.when(which == name, W.url_param(url, name))
-    return out
+    return df.selectExpr(
+        "*", "try_cast(status AS INT) AS status_code", "try_cast(size AS BIGINT) AS size_bytes",
+        "try_cast(time AS TIMESTAMP_NTZ) AS event_ts",
+    )
 
 
 def with_labels(cleaned: DataFrame, fallback_to_city: bool = False) -> DataFrame:
@@ -131,53 +111,41 @@ def with_labels(cleaned: DataFrame, fallback_to_city: bool = False) -> DataFrame
     """
     dim = I.interface_dim(cleaned.sparkSession)
     by_path = F.broadcast(dim.drop("loc_param").withColumnRenamed("path", "_path"))
-    by_single = F.broadcast(dim.select(F.col("path").alias("_single"), "loc_param"))
-    url = F.col("request")
+    by_single = F.broadcast(dim.selectExpr("path AS _single", "loc_param"))
     joined = (
-        cleaned.withColumn("_path", W.url_path(url))
-        .withColumn("_single", F.replace("_path", F.lit("//"), F.lit("/")))
+        cleaned.selectExpr("*", f"{W.url_path('request')} AS _path")
+        .selectExpr("*", "replace(_path, '//', '/') AS _single")
         .join(by_path, "_path", "left")
         .join(by_single, "_single", "left")
     )
-    kind = F.col("detail_kind")
-    param = _by_param(F.col("detail_param"), url, I.detail_params())
-    detail = (
-        F.when(kind == "text", F.col("detail_prefix"))
-        .when(kind == "wrap", F.concat("detail_prefix", W.printed(param), "detail_suffix"))
-        .when(kind == "bare", param)
-        .when(kind == "choice", F.when(param == "0", I.COLLECTED_SONGS).otherwise(I.COLLECTED_LISTS))
-    )
-    where = _by_param(F.col("loc_param"), url, I.location_params())
+    param = W.one_param("request", "detail_param", I.detail_params())
+    where = W.one_param("request", "loc_param", I.location_params())
     if fallback_to_city:
-        where = F.coalesce(F.nullif(where, F.lit("")), W.url_param(url, "city"))
-    location = F.when(F.col("loc_param") == "", I.NO_LOCATION).when(
-        F.col("loc_param").isNotNull(), F.concat(F.lit(I.LOCATION_PREFIX), W.printed(where))
-    )
-    unmapped = F.col("reason").isNull() & F.col("act").isNull()
-    keep = [F.col(c) for c in cleaned.columns]
-    return joined.select(
-        *keep, "act", "action", detail.alias("detail"), location.alias("location"),
-        unmapped.alias("unmapped_interface"),
+        where = f"coalesce(nullif({where}, ''), {W.url_param('request', W.text('city'))})"
+    staged = _computed_once(joined, _param=param, _where=where)
+    return staged.selectExpr(
+        *_named(cleaned.columns), "act", "action",
+        f"""CASE detail_kind WHEN 'text' THEN detail_prefix WHEN 'bare' THEN _param
+            WHEN 'wrap' THEN concat(detail_prefix, {W.printed('_param')}, detail_suffix)
+            WHEN 'choice' THEN CASE WHEN _param = '0' THEN '{I.COLLECTED_SONGS}' ELSE '{I.COLLECTED_LISTS}' END
+            END AS detail""",
+        f"""CASE WHEN loc_param = '' THEN '{I.NO_LOCATION}' WHEN loc_param IS NOT NULL
+            THEN concat('{I.LOCATION_PREFIX}', {W.printed('_where')}) END AS location""",
+        "reason IS NULL AND act IS NULL AS unmapped_interface",
     )
 
 
 def enrich(cleaned: DataFrame, fallback_to_city: bool = False) -> DataFrame:
     """Cleaned rows to the sixteen detail columns, with ``unmapped_interface``, ``raw``, ``reason``."""
-    url = F.col("request")
-    staged = _computed_once(cleaned, interface_type=W.interface_of(W.url_path(url)))
-    staged = staged.withColumn(
-        "reason", F.coalesce("reason", F.when(F.col("interface_type").isNull(), "no_interface"))
+    staged = _computed_once(cleaned, interface_type=W.interface_of(W.url_path("request"))).withColumn(
+        "reason", F.expr("coalesce(reason, CASE WHEN interface_type IS NULL THEN 'no_interface' END)")
     )
-    named = {
-        "parm": url.alias("parm"),
-        "user_id": W.url_param(url, "userid").alias("user_id"),
-        "longitude": W.url_param(url, "longitude").alias("longitude"),
-        "latitude": W.url_param(url, "latitude").alias("latitude"),
-    }
+    named = {"parm": "request AS parm"}
+    for column, name in (("user_id", "userid"), ("longitude", "longitude"), ("latitude", "latitude")):
+        named[column] = f"{W.url_param('request', W.text(name))} AS {column}"
     others = [c for c in cleaned.columns if c not in LOG_CLEAN_COLUMNS and c not in ("raw", "reason")]
-    return with_labels(staged, fallback_to_city).select(
-        *others, *[named.get(c, F.col(c)) for c in LOG_DETAIL_COLUMNS],
-        "unmapped_interface", "raw", "reason",
+    return with_labels(staged, fallback_to_city).selectExpr(
+        *_named(others), *[named.get(c, f"`{c}`") for c in LOG_DETAIL_COLUMNS], "unmapped_interface", "raw", "reason"
     )
 
 
@@ -187,7 +155,11 @@ def detail_rows(parsed: DataFrame, fallback_to_city: bool = False) -> DataFrame:
 
 
 def label_modules(events: DataFrame, column: str = "json") -> DataFrame:
-    """Add ``label`` and ``reason`` to module events in JSON text."""
-    return _computed_once(events, _m=W.module_label(F.col(column))).select(
-        *events.columns, F.col("_m.label").alias("label"), F.col("_m.reason").alias("reason")
+    """Add ``label`` and ``reason`` ('bad_json', 'unknown_module') to module events in JSON text."""
+    parsed = _computed_once(events, _e=W.module_fields(column))
+    labelled = _computed_once(parsed, _label=W.module_label("_e"))
+    bad = "_e IS NULL OR _e._corrupt_record IS NOT NULL"
+    return labelled.selectExpr(
+        *_named(events.columns), f"CASE WHEN NOT ({bad}) THEN _label END AS label",
+        f"CASE WHEN {bad} THEN 'bad_json' WHEN _label IS NULL THEN 'unknown_module' END AS reason",
     )

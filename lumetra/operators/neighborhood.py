@@ -36,13 +36,6 @@ def estimates(
     return _votes(voted, ratings)
 
 
-def estimates_for(pairs: DataFrame, neighbours: DataFrame, ratings: DataFrame) -> DataFrame:
-    """``(user, item, prediction)`` of given pairs only."""
-    asked = split_join(pairs.select("user", "item"), neighbours, ["user"], ["item"])
-    voted = split_join(asked, _others(ratings), ["other", "item"], ["user"])
-    return _votes(voted, ratings)
-
-
 def recommend(
     neighbours: DataFrame, ratings: DataFrame, how_many: int, seen: DataFrame | None = None,
     for_users: Column | None = None,

@@ -145,8 +145,8 @@ def log_page_filter_semi(spark, sf):
 
 @query
 def log_time_format(spark, sf):
-    time = W.log_time_text(W.strip_brackets(F.col("time")))
-    return L.good_rows(_parsed(spark, sf)).select("event_id", time.alias("time"))
+    cut = L.good_rows(_parsed(spark, sf)).selectExpr("event_id", f"{W.strip_brackets('time')} AS t")
+    return cut.selectExpr("event_id", f"{W.log_time_text('t')} AS time")
 
 
 @query
@@ -170,9 +170,8 @@ def log_get_only(spark, sf):
 
 @query
 def url_decode_targets(spark, sf):
-    target = W.request_target(F.col("request"))
-    cut = L.good_rows(_parsed(spark, sf)).select("event_id", target.alias("target")).filter("target <> ''")
-    return cut.select("event_id", "target", W.url_text(F.col("target")).alias("decoded"))
+    cut = L.good_rows(_parsed(spark, sf)).selectExpr("event_id", f"{W.request_target('request')} AS target")
+    return cut.filter("target <> ''").selectExpr("event_id", "target", f"{W.url_text('target')} AS decoded")
 
 
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,15 +180,15 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def interface_type(spark, sf):
-    path = W.url_path(F.col("request"))
-    return _requests(spark, sf).select("event_id", path.alias("path"), W.interface_of(path).alias("interface_type"))
+    cut = _requests(spark, sf).selectExpr("event_id", f"{W.url_path('request')} AS path")
+    return cut.selectExpr("event_id", "path", f"{W.interface_of('path')} AS interface_type")
 
 
 @query
 def url_param(spark, sf):
     names = ["userid", "page", "type", "appname", "city", "location", "longitude", "latitude", "absent"]
-    values = [W.url_param(F.col("request"), n).alias(n) for n in names]
-    return _requests(spark, sf).select("event_id", *values)
+    values = [f"{W.url_param('request', W.text(n))} AS {n}" for n in names]
+    return _requests(spark, sf).selectExpr("event_id", *values)
 
 
 def _labels(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -236,8 +235,8 @@ def sql_function_surface(spark, sf):
     register_sql_functions(spark)
     requests, modules = _name("requests"), _name("modules")
     lines = L.good_rows(_parsed(spark, sf))
-    cut = lines.select(
-        "event_id", W.strip_brackets(F.col("time")).alias("t"), W.request_target(F.col("request")).alias("u")
+    cut = lines.selectExpr(
+        "event_id", f"{W.strip_brackets('time')} AS t", f"{W.request_target('request')} AS u"
     )
     cut.filter("u <> ''").createOrReplaceTempView(requests)
     X.module_events(spark, sf).createOrReplaceTempView(modules)
@@ -466,11 +465,11 @@ def item_pearson(spark, sf):
 
 @query
 def nearest_n_users(spark, sf):
-    return _rounded(S.nearest_users(X.ratings(spark, sf), 100), "sim")
+    return _rounded(S.nearest(X.ratings(spark, sf), 100), "sim")
 
 
 def _user_based(ratings: DataFrame, neighbours: int = 100, how_many: int = 10) -> DataFrame:
-    return N.recommend(checkpointed(S.nearest_users(ratings, neighbours)), ratings, how_many)
+    return N.recommend(checkpointed(S.nearest(ratings, neighbours)), ratings, how_many)
 
 
 @query
