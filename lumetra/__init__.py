@@ -1 +1,8 @@
 """Web-log analytics and recommendations as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel whole, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -100,21 +100,30 @@ def interface_of(path: str) -> str:
     return f"nullif(regexp_extract({path}, {text(INTERFACE_PATTERN)}, 0), '')"
 
 
+def _param_hit(url: str, name: str) -> str:
+    """The matching ``?name=value&`` of a URL that ends in ``&``, or ''."""
+    pattern = f"concat('[?&]#?', {name}, {text(f'={PARAM_VALUE_CLASS}*&')})"
+    return f"regexp_extract({url}, {pattern}, 0)"
+
+
+def _param_value(hit: str) -> str:
+    return f"replace(split_part(nullif({hit}, ''), '=', 2), '&', '')"
+
+
 def url_param(url: str, name: str) -> str:
     """Value of a query parameter: NULL if absent, '' if empty. ``name`` is SQL text as well.
 
     The first occurrence whose value holds allowed characters only counts; the value ends at
     a further ``=``.
     """
-    pattern = f"concat('[?&]#?', {name}, {text(f'={PARAM_VALUE_CLASS}*&')})"
-    hit = f"nullif(regexp_extract(concat({url}, '&'), {pattern}, 0), '')"
-    return f"replace(split_part({hit}, '=', 2), '&', '')"
+    return _param_value(_param_hit(f"concat({url}, '&')", name))
 
 
-def one_param(url: str, which: str, names: Sequence[str]) -> str:
-    """The parameter that the column ``which`` names. One constant pattern per name: patterns
-    compile once per task, and only the row's own arm runs."""
-    return f"CASE {which} " + " ".join(f"WHEN '{n}' THEN {url_param(url, text(n))}" for n in names) + " END"
+def one_param(closed_url: str, which: str, names: Sequence[str]) -> str:
+    """The parameter that the column ``which`` names, of a URL that ends in ``&``. One constant
+    pattern per name: patterns compile once per task, and only the row's own arm runs."""
+    arms = " ".join(f"WHEN '{n}' THEN {_param_hit(closed_url, text(n))}" for n in names)
+    return _param_value(f"CASE {which} {arms} END")
 
 
 def printed(c: str) -> str:

@@ -4,62 +4,60 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumetra.operators.skew import split_join
 
 EARTH_KM = 6371.0088
-_KM_PER_DEGREE = EARTH_KM * math.pi / 180
+_MARGIN = 1 + 1e-9
 
 
-def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
-        F.sin(F.radians(lon2 - lon1) / 2), 2
+def haversine_km(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
+    """SQL text of the great-circle distance."""
+    return (
+        f"2 * {EARTH_KM} * asin(sqrt(least(1D, pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1}))"
+        f" * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"
     )
-    return 2 * EARTH_KM * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
-def nearest_place(points: DataFrame, places: DataFrame, max_km: float, max_abs_lat: float = 85.0) -> DataFrame:
+def nearest_place(points: DataFrame, places: DataFrame, max_km: float) -> DataFrame:
     """``(id, lon, lat, address)``: the nearest place within ``max_km``, or NULL; ties by place id.
 
-    The plane is cut into cells at least ``max_km`` high, and wide enough for that up to the
-    latitude ``max_abs_lat``; beyond it, and around the date line, cells wrap to one. A place is
-    entered into its cell and the eight around it, so that a point meets in its own cell all
-    places that can be near enough. Places at one spot count once, by the smallest id. Crowded
-    cells are split by point.
+    The globe is cut into bands of latitude ``max_km`` high, and each band into cells as wide as
+    ``max_km`` spans at the band's highest latitude (one cell where a circle takes in a pole).
+    A place is entered into the three cells around it of its own band and of the two next to it,
+    so that a point meets in its own cell all places that can be near enough. Places at one spot
+    count once, by the smallest id. Crowded cells are split by point.
     """
-    step_lat = max_km / _KM_PER_DEGREE
-    step_lon = step_lat / math.cos(math.radians(max_abs_lat))
-    n_lon = max(1, math.floor(360 / step_lon))
-    width = 360 / n_lon
+    reach = max_km / EARTH_KM * _MARGIN
+    band = math.degrees(reach)
 
-    def lat_cell(lat: Column) -> Column:
-        return F.floor(lat / F.lit(step_lat)).cast("bigint")
+    def n_cells(y: str) -> str:
+        top = f"radians(greatest(abs({y}), abs({y} + 1)) * {band!r}D)"
+        inside = f"{top} + {reach!r}D < {math.pi / 2!r}D"
+        width = f"degrees(asin(least(1D, {math.sin(reach)!r}D / cos({top}))))"
+        return f"CASE WHEN {inside} THEN greatest(1L, floor(360 / ({width} * {_MARGIN!r}D))) ELSE 1L END"
 
-    def lon_cell(lon: Column) -> Column:
-        return F.pmod(F.floor((lon + 180) / F.lit(width)).cast("bigint"), F.lit(n_lon).cast("bigint"))
+    def cell(n: str) -> str:
+        return f"floor((lon + 180) / 360 * {n})"
 
-    polar = F.abs("lat") > F.lit(max_abs_lat - step_lat)
-    spots = places.groupBy("lon", "lat").agg(
-        F.min(F.struct("place_id", "address")).alias("_p")
-    )
-    around = F.sequence(F.lit(-1), F.lit(1))
-    lon_cells = F.array_distinct(
-        F.transform(around, lambda d: F.pmod(lon_cell(F.col("lon")) + d, F.lit(n_lon).cast("bigint")))
-    )
+    spots = places.groupBy("lon", "lat").agg(F.min(F.struct("place_id", "address")).alias("_p"))
     entered = (
-        spots.withColumn("_y", F.explode(F.transform(around, lambda d: lat_cell(F.col("lat")) + d)))
-        .withColumn("_x", F.explode(F.when(F.abs("lat") > F.lit(max_abs_lat - 2 * step_lat),
-                                           F.array_union(lon_cells, F.array(F.lit(-1).cast("bigint"))))
-                                    .otherwise(lon_cells)))
-        .select("_x", "_y", F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), "_p")
+        spots.selectExpr("lon", "lat", "_p", f"explode(transform(array(-1, 0, 1), d -> floor(lat / {band!r}D) + d)) AS _y")
+        .selectExpr("*", f"{n_cells('_y')} AS _n")
+        .selectExpr(
+            "_y", f"explode(array_distinct(transform(array(-1, 0, 1), d -> pmod({cell('_n')} + d, _n)))) AS _x",
+            "lon AS _lon", "lat AS _lat", "_p",
+        )
+    )
+    placed = (
+        points.selectExpr("id", "lon", "lat", f"floor(lat / {band!r}D) AS _y")
+        .selectExpr("*", f"{n_cells('_y')} AS _n")
+        .selectExpr("id", "lon", "lat", "_y", f"pmod({cell('_n')}, _n) AS _x")
     )
-    placed = points.select(
-        "id", "lon", "lat", lat_cell(F.col("lat")).alias("_y"),
-        F.when(polar, F.lit(-1)).otherwise(lon_cell(F.col("lon"))).alias("_x"),
+    met = split_join(placed, entered, ["_x", "_y"], ["id"], how="left").selectExpr(
+        "id", "lon", "lat", "_p", f"round({haversine_km('lon', 'lat', '_lon', '_lat')}, 9) AS _km"
     )
-    km = haversine_km(F.col("lon"), F.col("lat"), F.col("_lon"), F.col("_lat"))
-    met = split_join(placed, entered, ["_x", "_y"], ["id"], how="left").withColumn("_km", F.round(km, 9))
-    near = F.when(F.col("_km") <= max_km, F.struct("_km", "_p.place_id", "_p.address"))
-    return met.groupBy("id", "lon", "lat").agg(F.min(near)["address"].alias("address"))
+    near = f"min(CASE WHEN _km <= {float(max_km)!r}D THEN struct(_km, _p.place_id AS place_id, _p.address AS address) END)"
+    return met.groupBy("id", "lon", "lat").agg(F.expr(f"{near}.address").alias("address"))

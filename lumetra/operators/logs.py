@@ -113,13 +113,13 @@ def with_labels(cleaned: DataFrame, fallback_to_city: bool = False) -> DataFrame
     by_path = F.broadcast(dim.drop("loc_param").withColumnRenamed("path", "_path"))
     by_single = F.broadcast(dim.selectExpr("path AS _single", "loc_param"))
     joined = (
-        cleaned.selectExpr("*", f"{W.url_path('request')} AS _path")
+        cleaned.selectExpr("*", f"{W.url_path('request')} AS _path", "concat(request, '&') AS _closed")
         .selectExpr("*", "replace(_path, '//', '/') AS _single")
         .join(by_path, "_path", "left")
         .join(by_single, "_single", "left")
     )
-    param = W.one_param("request", "detail_param", I.detail_params())
-    where = W.one_param("request", "loc_param", I.location_params())
+    param = W.one_param("_closed", "detail_param", I.detail_params())
+    where = W.one_param("_closed", "loc_param", I.location_params())
     if fallback_to_city:
         where = f"coalesce(nullif({where}, ''), {W.url_param('request', W.text('city'))})"
     staged = _computed_once(joined, _param=param, _where=where)
