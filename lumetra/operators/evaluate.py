@@ -9,7 +9,7 @@ from lumetra.operators import similarity as S
 from lumetra.operators.neighborhood import estimates, recommend
 from lumetra.operators.ratings import SPLIT_70_30, error_metrics, join_predictions, split_parts
 from lumetra.operators.topk import top_k
-from lumetra.session import checkpointed
+from lumetra.session import stored
 
 
 def holdout_errors(ratings: DataFrame, n_neighbours: int = 2) -> DataFrame:
@@ -20,7 +20,7 @@ def holdout_errors(ratings: DataFrame, n_neighbours: int = 2) -> DataFrame:
     parts = split_parts(ratings, SPLIT_70_30)
     train = parts.filter(F.col("part") == "train").drop("part")
     test = parts.filter(F.col("part") == "test").drop("part")
-    neighbours = checkpointed(S.nearest(train, n_neighbours))
+    neighbours = stored(S.nearest(train, n_neighbours))
     return error_metrics(join_predictions(estimates(neighbours, train), test))
 
 
@@ -47,12 +47,12 @@ def precision_recall(ratings: DataFrame, at: int = 4, n_neighbours: int = 4) ->
     Each user is judged without their relevant items against all others' full ratings: one
     similarity job of the reduced against the full ratings instead of one model per user.
     """
-    relevant = checkpointed(relevant_items(ratings, at))
+    relevant = stored(relevant_items(ratings, at))
     judged = relevant.groupBy("user").agg(F.count(F.lit(1)).alias("n_relevant"))
     reduced = ratings.join(judged.select("user"), "user", "left_semi").join(
         relevant, ["user", "item"], "left_anti"
     )
-    neighbours = checkpointed(S.nearest(reduced, n_neighbours, others=ratings))
+    neighbours = stored(S.nearest(reduced, n_neighbours, others=ratings))
     recommended = recommend(neighbours, ratings, at, seen=reduced)
     hits = recommended.join(relevant.withColumn("_hit", F.lit(1)), ["user", "item"], "left")
     by_user = hits.groupBy("user").agg(F.count(F.lit(1)).alias("n_rec"), F.count("_hit").alias("n_hit"))

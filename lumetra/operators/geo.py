@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumetra.operators.skew import split_join
+from lumetra.operators.skew import HOT_PAIRS, HOT_ROWS, found, hot_keys, split_join
 
 EARTH_KM = 6371.0088
 _MARGIN = 1 + 1e-9
@@ -21,7 +21,9 @@ def haversine_km(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
     )
 
 
-def nearest_place(points: DataFrame, places: DataFrame, max_km: float) -> DataFrame:
+def nearest_place(
+    points: DataFrame, places: DataFrame, max_km: float, hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS
+) -> DataFrame:
     """``(id, lon, lat, address)``: the nearest place within ``max_km``, or NULL; ties by place id.
 
     The globe is cut into bands of latitude ``max_km`` high, and each band into cells as wide as
@@ -56,7 +58,8 @@ def nearest_place(points: DataFrame, places: DataFrame, max_km: float) -> DataFr
         .selectExpr("*", f"{n_cells('_y')} AS _n")
         .selectExpr("id", "lon", "lat", "_y", f"pmod({cell('_n')}, _n) AS _x")
     )
-    met = split_join(placed, entered, ["_x", "_y"], ["id"], how="left").selectExpr(
+    hot = found(hot_keys(placed, entered, ["_x", "_y"], hot_rows, hot_pairs))
+    met = split_join(placed, entered, ["_x", "_y"], ["id"], hot, how="left").selectExpr(
         "id", "lon", "lat", "_p", f"round({haversine_km('lon', 'lat', '_lon', '_lat')}, 9) AS _km"
     )
     near = f"min(CASE WHEN _km <= {float(max_km)!r}D THEN struct(_km, _p.place_id AS place_id, _p.address AS address) END)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumetra.operators.skew import HOT_PAIRS, HOT_ROWS, split_join
+from lumetra.operators.skew import HOT_PAIRS, HOT_ROWS, found, hot_keys, split_join
 from lumetra.operators.topk import top_k
 
 MIN_VOTES = 2
@@ -32,8 +32,9 @@ def estimates(
     neighbours: DataFrame, ratings: DataFrame, hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS
 ) -> DataFrame:
     """``(user, item, prediction)`` of all items that the neighbours rated."""
-    voted = split_join(_others(ratings), neighbours, ["other"], ["item"], hot_rows=hot_rows, hot_pairs=hot_pairs)
-    return _votes(voted, ratings)
+    others = _others(ratings)
+    hot = found(hot_keys(others, neighbours, ["other"], hot_rows, hot_pairs))
+    return _votes(split_join(others, neighbours, ["other"], ["item"], hot), ratings)
 
 
 def recommend(
@@ -52,18 +53,23 @@ def recommend(
 
 
 def recommended_because(
-    targets: DataFrame, ratings: DataFrame, item_pairs: DataFrame, how_many: int = 10
+    targets: DataFrame, ratings: DataFrame, item_pairs: DataFrame, how_many: int = 10,
+    hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """``(user, item, because, score)``: the user's own items that speak most for an item.
 
     ``targets`` are unique pairs ``(user, item)``; ``item_pairs`` is ``(a, b, sim)`` in both orders.
     """
     own = ratings.select("user", F.col("item").alias("because"), "rating")
-    candidates = split_join(own, targets.select("user", "item"), ["user"], ["because"]).filter(
-        F.col("because") != F.col("item")
-    )
+    asked = targets.select("user", "item")
+    hot_users = found(hot_keys(own, asked, ["user"], hot_rows, hot_pairs))
+    candidates = split_join(own, asked, ["user"], ["because"], hot_users).filter(F.col("because") != F.col("item"))
+
+    # A pair of items occurs at most once per target of its first item.
     sims = item_pairs.select(F.col("a").alias("item"), F.col("b").alias("because"), "sim")
-    scored = split_join(candidates, sims, ["item", "because"], ["user"]).select(
+    often = asked.groupBy("item").agg(F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).cast("int").alias("_parts"))
+    hot_items = found(often.filter(F.col("_parts") > 1))
+    scored = split_join(candidates, sims, ["item", "because"], ["user"], hot_items).select(
         "user", "item", "because", ((1 + F.col("sim")) * F.col("rating")).alias("score")
     )
     return top_k(scored, ["user", "item"], [F.desc(F.round("score", 12)), F.asc("because")], how_many)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumetra.session import checkpointed
+from lumetra.session import stored
 
 # Spark cuts a row_number() <= k window before its shuffle up to this k
 # (spark.sql.optimizer.windowGroupLimitThreshold).
@@ -61,7 +61,7 @@ def sequential_id(df: DataFrame, order: Sequence[Column], name: str = "id", part
     """
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = checkpointed(
+    ranges = stored(
         df.repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
         .withColumn("_range", F.spark_partition_id())

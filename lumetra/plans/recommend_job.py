@@ -12,7 +12,7 @@ from lumetra.operators import als
 from lumetra.operators import ratings as R
 from lumetra.operators.factors import item_lists, user_lists
 from lumetra.operators.topk import sequential_id
-from lumetra.session import checkpointed
+from lumetra.session import stored
 from lumetra.sources.jdbc import JdbcTarget, append_jdbc
 from lumetra.sources.tables import read_table, replace_table, table_columns
 
@@ -50,7 +50,7 @@ def run_recommendation_job(
     user_col, item_col = table_columns(spark, source)[:2]
     cast = R.cast_ratings(read_table(spark, source))
     pairs = R.unique_pairs(cast.filter(F.col("reason").isNull()))
-    parts = checkpointed(R.split_parts(pairs, R.SPLIT_60_20_20))
+    parts = stored(R.split_parts(pairs, R.SPLIT_60_20_20))
     train, validation, test = (parts.filter(F.col("part") == p) for p in ("train", "validation", "test"))
 
     found = als.grid_search(train, validation, ranks, regs, iters, parallelism)

@@ -30,7 +30,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that a lost executor cannot change or replay it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` to the shared folder and read it from there: computed once, with its lineage
+    cut, so that a lost executor cannot replay or change it, and columnar for what reads it next."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,7 +22,7 @@ from lumetra.operators.geo import nearest_place
 from lumetra.plans.log_jobs import etl_row_counts as row_counts
 from lumetra.plans.recommend_job import flat_recommendations, run_recommendation_job
 from lumetra.schemas import LOG_CLEAN_COLUMNS, LOG_DETAIL_COLUMNS, LOG_RAW_COLUMNS
-from lumetra.session import checkpointed, scratch_path
+from lumetra.session import scratch_path, stored
 from lumetra.sources.logs import append_orc, read_lines
 from lumetra.sources.ratings_file import read_ratings_file
 from lumetra.sources.tables import create_table, read_table, replace_table
@@ -48,6 +48,11 @@ def _detail(spark: SparkSession, sf: str) -> DataFrame:
     return L.good_rows(L.detail_rows(_parsed(spark, sf)))
 
 
+def _stored_ratings(spark: SparkSession, sf: str) -> DataFrame:
+    """The ratings, computed once for queries that read them several times."""
+    return stored(X.ratings(spark, sf))
+
+
 def _parts(spark: SparkSession, sf: str) -> DataFrame:
     return R.split_parts(X.ratings(spark, sf), R.SPLIT_60_20_20)
 
@@ -379,7 +384,7 @@ def als_grid_search(spark, sf):
 
 @query
 def als_test_rmse(spark, sf):
-    parts = checkpointed(_parts(spark, sf))
+    parts = stored(_parts(spark, sf))
     found = A.grid_search(_part(parts, "train"), _part(parts, "validation"), iters=[5])
     base = R.mean_baseline(parts).first()["rmse"]
     return R.error_metrics(A.predict(found.model, _part(parts, "test"))).withColumn(
@@ -455,49 +460,49 @@ def rec_job(spark, sf):
 
 @query
 def user_pearson(spark, sf):
-    return _rounded(S.user_pearson(X.ratings(spark, sf)), "sim")
+    return _rounded(S.user_pearson(_stored_ratings(spark, sf)), "sim")
 
 
 @query
 def item_pearson(spark, sf):
-    return _rounded(S.item_pearson(X.ratings(spark, sf)), "sim")
+    return _rounded(S.item_pearson(_stored_ratings(spark, sf)), "sim")
 
 
 @query
 def nearest_n_users(spark, sf):
-    return _rounded(S.nearest(X.ratings(spark, sf), 100), "sim")
+    return _rounded(S.nearest(_stored_ratings(spark, sf), 100), "sim")
 
 
 def _user_based(ratings: DataFrame, neighbours: int = 100, how_many: int = 10) -> DataFrame:
-    return N.recommend(checkpointed(S.nearest(ratings, neighbours)), ratings, how_many)
+    return N.recommend(stored(S.nearest(ratings, neighbours)), ratings, how_many)
 
 
 @query
 def user_based_recommend(spark, sf):
-    return _rounded(_user_based(X.ratings(spark, sf)), "prediction")
+    return _rounded(_user_based(_stored_ratings(spark, sf)), "prediction")
 
 
 @query
 def recommended_because(spark, sf):
-    ratings = checkpointed(X.ratings(spark, sf))
-    targets = checkpointed(_user_based(ratings).select("user", "item"))
-    sims = checkpointed(S.both_ways(S.item_pearson(ratings)))
+    ratings = _stored_ratings(spark, sf)
+    targets = stored(_user_based(ratings).select("user", "item"))
+    sims = stored(S.both_ways(S.item_pearson(ratings)))
     return _rounded(N.recommended_because(targets, ratings, sims), "score")
 
 
 @query
 def eval_mae_holdout(spark, sf):
-    return _rounded(E.holdout_errors(X.ratings(spark, sf)), "mae").select("mae", "n_scored")
+    return _rounded(E.holdout_errors(_stored_ratings(spark, sf)), "mae").select("mae", "n_scored")
 
 
 @query
 def eval_rms_holdout(spark, sf):
-    return _rounded(E.holdout_errors(X.ratings(spark, sf)), "rmse").select("rmse", "n_scored")
+    return _rounded(E.holdout_errors(_stored_ratings(spark, sf)), "rmse").select("rmse", "n_scored")
 
 
 @query
 def eval_precision_recall_at_k(spark, sf):
-    return _rounded(E.precision_recall(X.ratings(spark, sf)), "precision", "recall")
+    return _rounded(E.precision_recall(_stored_ratings(spark, sf)), "precision", "recall")
 
 
 @query

@@ -32,6 +32,7 @@ def test_around_a_city(spark, max_km):
     points = [(116 + rng.uniform(-1, 1), 40 + rng.uniform(-1, 1)) for _ in range(200)]
     places = [(116 + rng.uniform(-1, 1), 40 + rng.uniform(-1, 1)) for _ in range(60)]
     got = check(spark, points, places, max_km)
+    assert got == check(spark, points, places, max_km, hot_rows=7)
     assert max_km > 5 or None in got.values()
 
 

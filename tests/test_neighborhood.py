@@ -78,7 +78,8 @@ def test_one_vote_is_not_enough_and_estimates_stay_in_range(spark):
     assert got == {(1, 2): 9.0, (1, 1): 1.0}
 
 
-def test_recommended_because(spark):
+@pytest.mark.parametrize("limits", [(10**6, 10**8), (3, 10**8), (10**6, 5)])
+def test_recommended_because(spark, limits):
     ratings = sample(seed=13, users=20, items=12)
     flipped = {(i, u): r for (u, i), r in ratings.items()}
     sims = {k: v for k, v in brute_pearson(flipped, flipped).items() if v is not None}
@@ -86,7 +87,8 @@ def test_recommended_because(spark):
     targets = [(u, i) for u in range(20) for i in (0, 5, 7)]
     got = {}
     pairs = S.both_ways(S.item_pearson(df))
-    for r in N.recommended_because(spark.createDataFrame(targets, "user int, item int"), df, pairs, 4).collect():
+    wanted = spark.createDataFrame(targets, "user int, item int")
+    for r in N.recommended_because(wanted, df, pairs, 4, *limits).collect():
         got.setdefault((r["user"], r["item"]), []).append((-round(r["score"], 9), r["because"]))
     for u, i in targets:
         own = [(-round((1 + sims[i, j]) * r, 9), j) for (v, j), r in ratings.items() if v == u and j != i and (i, j) in sims]

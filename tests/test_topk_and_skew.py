@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumetra.operators import topk as K
-from lumetra.operators.skew import hot_keys, split_join
+from lumetra.operators.skew import found, hot_keys, split_join
 
 
 def frame(spark, n=3000, seed=1, hot=0.4):
@@ -67,7 +67,9 @@ def test_sequential_id_of_nothing(spark):
 def test_split_join_equals_the_plain_join(spark, how, limits):
     _, big = frame(spark, 800)
     small = spark.createDataFrame([(g % 20, g) for g in range(60)], "g int, v int")
-    got = split_join(big, small, ["g"], ["id"], how, *limits)
+    hot = found(hot_keys(big, small, ["g"], *limits))
+    assert (hot is None) == (min(limits) == 10**9)
+    got = split_join(big, small, ["g"], ["id"], hot, how)
     assert sorted(map(tuple, got.select("g", "id", "score", "v").collect()), key=repr) == sorted(
         map(tuple, big.join(small, "g", how).select("g", "id", "score", "v").collect()), key=repr
     )
@@ -80,3 +82,24 @@ def test_hot_keys_are_split_by_rows_and_by_joined_rows(spark):
     assert parts == {1: 3}
     parts = {r["g"]: r["_parts"] for r in hot_keys(big, small, ["g"], hot_rows=1000, hot_pairs=30).collect()}
     assert parts == {1: 2}
+
+
+def test_split_on_a_part_of_the_keys(spark):
+    big = spark.createDataFrame([(i % 3, i % 2, i) for i in range(60)], "g int, h int, id int")
+    small = spark.createDataFrame([(g, h, 10 * g + h) for g in range(3) for h in range(2)], "g int, h int, v int")
+    hot = spark.createDataFrame([(1, 4)], "g int, _parts int")
+    got = split_join(big, small, ["g", "h"], ["id"], hot)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, big.join(small, ["g", "h"]).collect()))
+
+
+def test_a_hot_key_is_spread_over_parts(spark):
+    """Half of all rows have one key; no part gets more than about the limit."""
+    big = spark.range(2000).select(F.when(F.col("id") < 1000, 1).otherwise(F.col("id")).alias("g"), "id")
+    small = spark.range(2000).select(F.col("id").alias("g"))
+    hot = found(hot_keys(big, small, ["g"], 100, 10**9))
+    joined = split_join(big, small, ["g"], ["id"], hot)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in plan and hot.collect()[0]["_parts"] == 10
+    sizes = big.filter("g = 1").groupBy(F.pmod(F.xxhash64("id"), F.lit(10))).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 160
+    assert joined.count() == 2000
