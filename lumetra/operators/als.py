@@ -11,7 +11,7 @@ from multiprocessing.pool import ThreadPool
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumetra.operators.factors import best_items, best_partners, similar_items
@@ -34,10 +34,14 @@ class AlsParams:
     max_iter: int
 
 
-def factor_blocks(spark: SparkSession) -> int:
-    """Blocks of users and of items: one per core of the cluster, from Spark's default of 10 up to
-    a thousand, as an iteration exchanges a message per pair of blocks."""
-    return min(1000, max(10, spark.sparkContext.defaultParallelism))
+RATINGS_PER_BLOCK = 25_000
+MAX_BLOCKS = 1000
+
+
+def factor_blocks(n_ratings: int, cores: int) -> int:
+    """Blocks of users and of items: one per core once the ratings fill them, fewer for few
+    ratings, and at most a thousand, as an iteration exchanges a message per pair of blocks."""
+    return max(1, min(math.ceil(n_ratings / RATINGS_PER_BLOCK), cores, MAX_BLOCKS))
 
 
 def fit(ratings: DataFrame, params: AlsParams, seed: int = SEED, blocks: int | None = None) -> ALSModel:
@@ -48,7 +52,7 @@ def fit(ratings: DataFrame, params: AlsParams, seed: int = SEED, blocks: int | N
     """
     spark = ratings.sparkSession
     shared_dir(spark)
-    n = blocks or factor_blocks(spark)
+    n = blocks or factor_blocks(ratings.count(), spark.sparkContext.defaultParallelism)
     als = ALS(
         rank=params.rank, maxIter=params.max_iter, regParam=params.reg, seed=seed, numUserBlocks=n,
         numItemBlocks=n, userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=False,
@@ -78,21 +82,25 @@ class GridResult:
 def grid_search(
     train: DataFrame, validation: DataFrame, ranks: Sequence[int] = tuple(GRID_RANKS),
     regs: Sequence[float] = tuple(GRID_REGS), iters: Sequence[int] = tuple(GRID_ITERS),
-    parallelism: int = 4, seed: int = SEED,
+    parallelism: int | None = None, seed: int = SEED,
 ) -> GridResult:
-    """Fit every combination, ``parallelism`` at a time, and keep the smallest validation RMSE;
-    the first in rank, regularisation, iteration order wins a tie."""
+    """Fit every combination, ``parallelism`` at a time (two to eight, more the less one fit fills
+    the cluster), and keep the smallest validation RMSE; the first in rank, regularisation,
+    iteration order wins a tie."""
     spark = train.sparkSession
     level = StorageLevel.MEMORY_AND_DISK
     inputs = [df.select("user", "item", "rating").persist(level) for df in (train, validation)]
     grid = [AlsParams(rank, reg, n) for rank, reg, n in product(ranks, regs, iters)]
 
-    def run(params: AlsParams) -> tuple[ALSModel, float]:
-        model = fit(inputs[0], params, seed)
-        return model, rmse(model, inputs[1])
-
     try:
-        with ThreadPool(parallelism) as pool:
+        cores = spark.sparkContext.defaultParallelism
+        blocks = factor_blocks(inputs[0].count(), cores)
+
+        def run(params: AlsParams) -> tuple[ALSModel, float]:
+            model = fit(inputs[0], params, seed, blocks)
+            return model, rmse(model, inputs[1])
+
+        with ThreadPool(parallelism or max(2, min(8, 2 * cores // blocks))) as pool:
             fitted = pool.map(inheritable_thread_target(spark)(run), grid, chunksize=1)
     finally:
         for df in inputs:

@@ -42,7 +42,7 @@ def run_recommendation_job(
     spark: SparkSession, source: str | DataFrame, target: str, top_n: int | None = None,
     jdbc: JdbcTarget | None = None, path: str | None = None, ranks: Sequence[int] = tuple(als.GRID_RANKS),
     regs: Sequence[float] = tuple(als.GRID_REGS), iters: Sequence[int] = tuple(als.GRID_ITERS),
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> JobReport:
     """Profile, split 60/20/20, search parameters, measure on the test part, refit on all ratings,
     write the best items of every user to ``target`` and, if asked, append them to a database."""

@@ -255,7 +255,7 @@ scored AS (SELECT t."user", t.item, o.item AS because, (1 + sim) * o.rating AS s
   FROM rec t JOIN r o ON o."user" = t."user" AND o.item <> t.item JOIN i ON i.a = t.item AND i.b = o.item
   WHERE sim IS NOT NULL),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY "user", item ORDER BY round(score, 12) DESC, because) AS rn FROM scored)
-SELECT "user", item, because, round(score, 6) AS score FROM ranked WHERE rn <= 10"""
+SELECT "user"::INT AS "user", item, because, round(score, 6) AS score FROM ranked WHERE rn <= 10"""
 _HOLDOUT = f"""{_R}, train AS (SELECT * FROM r WHERE {_BUCKET} < 70), test AS (SELECT * FROM r WHERE {_BUCKET} >= 70),
 {_pearson('u', 'user', 'item', 'train', 'train', ordered=True)}, {_nearest('near', 'u', 2)}, {_estimates('est', 'near', 'train')},
 scored AS (SELECT prediction, rating FROM est JOIN test USING ("user", item))"""

@@ -345,7 +345,7 @@ def ratings_cast(spark, sf):
 
 
 def _als(spark: SparkSession, sf: str):
-    parts = _parts(spark, sf)
+    parts = stored(_parts(spark, sf))
     return parts, A.fit(_part(parts, "train"), SMALL_ALS)
 
 
@@ -399,7 +399,7 @@ def baseline_mean_rmse(spark, sf):
 
 @query
 def als_recommend_flat(spark, sf):
-    model = A.fit(X.ratings(spark, sf), SMALL_ALS)
+    model = A.fit(_stored_ratings(spark, sf), SMALL_ALS)
     return flat_recommendations(model, R.top_n_for("music_recommend_app.genre_col_model"), "user", "item")
 
 

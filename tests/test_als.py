@@ -92,6 +92,13 @@ def test_grid_search(frame):
         A.grid_search(train, validation.filter("user < 0"), ranks=[1], regs=[0.1], iters=[1])
 
 
+def test_factor_blocks():
+    assert A.factor_blocks(0, 8) == 1
+    assert A.factor_blocks(60_000, 8) == 3
+    assert A.factor_blocks(10**10, 64) == 64
+    assert A.factor_blocks(10**10, 4000) == 1000
+
+
 def test_default_grid_has_sixteen_fits():
     assert len(A.GRID_RANKS) * len(A.GRID_REGS) * len(A.GRID_ITERS) == 16
 
