@@ -486,7 +486,7 @@ def user_based_recommend(spark, sf):
 def recommended_because(spark, sf):
     ratings = _stored_ratings(spark, sf)
     targets = stored(_user_based(ratings).select("user", "item"))
-    sims = stored(S.both_ways(S.item_pearson(ratings)))
+    sims = S.both_ways(S.item_pearson(ratings))
     return _rounded(N.recommended_because(targets, ratings, sims), "score")
 
 
