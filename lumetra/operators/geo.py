@@ -11,6 +11,7 @@ from lumetra.operators.skew import HOT_PAIRS, HOT_ROWS, found, hot_keys, split_j
 
 EARTH_KM = 6371.0088
 _MARGIN = 1 + 1e-9
+SMALL_PLACES = 50_000
 
 
 def haversine_km(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
@@ -22,7 +23,8 @@ def haversine_km(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
 
 
 def nearest_place(
-    points: DataFrame, places: DataFrame, max_km: float, hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS
+    points: DataFrame, places: DataFrame, max_km: float, small_places: int = SMALL_PLACES,
+    hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """``(id, lon, lat, address)``: the nearest place within ``max_km``, or NULL; ties by place id.
 
@@ -30,7 +32,11 @@ def nearest_place(
     ``max_km`` spans at the band's highest latitude (one cell where a circle takes in a pole).
     A place is entered into the three cells around it of its own band and of the two next to it,
     so that a point meets in its own cell all places that can be near enough. Places at one spot
-    count once, by the smallest id. Crowded cells are split by point.
+    count once, by the smallest id.
+
+    Up to ``small_places`` places (nine entries each) are broadcast as one list per cell, and the
+    points are not shuffled at all. Beyond that the points are joined by cell, crowded cells
+    split by point.
     """
     reach = max_km / EARTH_KM * _MARGIN
     band = math.degrees(reach)
@@ -58,9 +64,17 @@ def nearest_place(
         .selectExpr("*", f"{n_cells('_y')} AS _n")
         .selectExpr("id", "lon", "lat", "_y", f"pmod({cell('_n')}, _n) AS _x")
     )
+    def near(lon: str, lat: str, place: str) -> str:
+        km = f"round({haversine_km('lon', 'lat', lon, lat)}, 9)"
+        found_place = f"struct({km} AS km, {place}.place_id AS place_id, {place}.address AS address)"
+        return f"CASE WHEN {km} <= {float(max_km)!r}D THEN {found_place} END"
+
+    if places.count() <= small_places:
+        cells = entered.groupBy("_x", "_y").agg(F.collect_list(F.struct("_lon", "_lat", "_p")).alias("_near"))
+        best = f"array_min(transform(_near, e -> {near('e._lon', 'e._lat', 'e._p')})).address AS address"
+        return placed.join(F.broadcast(cells), ["_x", "_y"], "left").selectExpr("id", "lon", "lat", best)
+
     hot = found(hot_keys(placed, entered, ["_x", "_y"], hot_rows, hot_pairs))
-    met = split_join(placed, entered, ["_x", "_y"], ["id"], hot, how="left").selectExpr(
-        "id", "lon", "lat", "_p", f"round({haversine_km('lon', 'lat', '_lon', '_lat')}, 9) AS _km"
-    )
-    near = f"min(CASE WHEN _km <= {float(max_km)!r}D THEN struct(_km, _p.place_id AS place_id, _p.address AS address) END)"
-    return met.groupBy("id", "lon", "lat").agg(F.expr(f"{near}.address").alias("address"))
+    met = split_join(placed, entered, ["_x", "_y"], ["id"], hot, how="left")
+    best = F.expr(f"min({near('_lon', '_lat', '_p')}).address")
+    return met.groupBy("id", "lon", "lat").agg(best.alias("address"))

@@ -15,7 +15,7 @@ def shared_dir(spark: SparkSession) -> str:
     on a cluster a folder of one machine would be lost with the machine.
     """
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if base is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

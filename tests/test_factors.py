@@ -85,3 +85,9 @@ def test_plan_has_no_product_of_all_pairs(spark):
     v = vectors(spark, range(5), np.eye(5))
     plan = B.similar_items(v)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Broadcast" not in plan
+
+
+def test_no_vectors(spark):
+    none = vectors(spark, [1], [[1.0]]).filter("id > 1")
+    assert B.best_items(none, vectors(spark, [2], [[1.0]])).count() == 0
+    assert B.similar_items(none).count() == 0

@@ -32,19 +32,36 @@ def test_around_a_city(spark, max_km):
     points = [(116 + rng.uniform(-1, 1), 40 + rng.uniform(-1, 1)) for _ in range(200)]
     places = [(116 + rng.uniform(-1, 1), 40 + rng.uniform(-1, 1)) for _ in range(60)]
     got = check(spark, points, places, max_km)
-    assert got == check(spark, points, places, max_km, hot_rows=7)
+    assert got == check(spark, points, places, max_km, small_places=0)
+    assert got == check(spark, points, places, max_km, small_places=0, hot_rows=7)
     assert max_km > 5 or None in got.values()
 
 
+@pytest.mark.parametrize("small", [0, 1000])
 @pytest.mark.parametrize("max_km", [50, 400])
-def test_date_line_poles_and_the_whole_world(spark, max_km):
+def test_date_line_poles_and_the_whole_world(spark, max_km, small):
     rng = random.Random(2)
     def anywhere(n):
         out = [(rng.choice([-180, -179.9, 179.9, 180, rng.uniform(-180, 180)]), math.degrees(math.asin(rng.uniform(-1, 1)))) for _ in range(n)]
         return out + [(rng.uniform(-180, 180), s * rng.uniform(78, 90)) for s in (1, -1) for _ in range(n // 2)]
-    check(spark, anywhere(120), anywhere(150), max_km)
+    check(spark, anywhere(120), anywhere(150), max_km, small_places=small)
 
 
 def test_places_at_one_spot_count_once_and_ties_go_to_the_smaller_id(spark):
     got = check(spark, [(10, 50)] * 5 + [(10, 51)], [(10.1, 50)] * 50 + [(9.9, 50)], 30)
     assert got[0] == "a0" and got[5] is None
+
+
+def test_few_places_leave_the_points_where_they_are(spark):
+    points = spark.range(10).selectExpr("id", "cast(id AS DOUBLE) AS lon", "1D AS lat")
+    places = spark.range(3).selectExpr("id AS place_id", "cast(id AS DOUBLE) AS lon", "1D AS lat", "'a' AS address")
+    plan = nearest_place(points, places, 30)._jdf.queryExecution().executedPlan().toString()
+    left = plan.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in left and "Exchange hashpartitioning" not in left
+
+
+def test_no_points_or_no_places(spark):
+    points = spark.range(2).selectExpr("id", "1D AS lon", "1D AS lat")
+    places = spark.range(2).selectExpr("id AS place_id", "1D AS lon", "1D AS lat", "'a' AS address")
+    assert nearest_place(points.filter("id < 0"), places, 30).count() == 0
+    assert [r["address"] for r in nearest_place(points, places.filter("place_id < 0"), 30).collect()] == [None, None]

@@ -137,3 +137,10 @@ def test_block_count():
     assert block_count(10, 1024, 64, 8) == 1
     assert block_count(1500, 1024, 64, 8) == 4
     assert block_count(10**6, 1024, 64, 4000) == 977
+
+
+def test_no_ratings(spark):
+    none = frame(spark, {(1, 1): 1.0}).filter("user > 1")
+    assert S.user_pearson(none).count() == 0
+    assert S.nearest(none, 3).count() == 0
+    assert S.nearest(none, 3, grid=(2, 2)).count() == 0
