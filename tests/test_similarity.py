@@ -47,7 +47,7 @@ def same(got, want):
         assert v is None or abs(got[k] - v) < 1e-9, k
 
 
-GRIDS = [None, (1, 1), (5, 1), (4, 3), (7, 6)]
+GRIDS = [None, S.Grid(1, 1), S.Grid(5, 1), S.Grid(4, 3), S.Grid(7, 6, 1)]
 
 
 @pytest.mark.parametrize("grid", GRIDS)
@@ -86,7 +86,7 @@ def test_one_common_item_or_no_variance_is_undefined(spark):
     assert (3, 5) not in got
 
 
-@pytest.mark.parametrize("grid", [(1, 1), (5, 1), (4, 3)])
+@pytest.mark.parametrize("grid", [S.Grid(1, 1), S.Grid(5, 1, 1), S.Grid(4, 3)])
 @pytest.mark.parametrize("n", [1, 3, 100])
 def test_nearest(spark, grid, n):
     ratings = sample(seed=9)
@@ -101,7 +101,7 @@ def test_nearest(spark, grid, n):
         assert [b for _, b in sorted(got[u])] == [b for _, b in want]
 
 
-@pytest.mark.parametrize("grid", [(3, 1), (3, 4)])
+@pytest.mark.parametrize("grid", [S.Grid(3, 1), S.Grid(3, 4)])
 def test_nearest_among_others(spark, grid):
     full = sample(seed=5)
     reduced = {k: v for k, v in full.items() if k[0] % 2 == 0 and k[1] % 3}
@@ -118,7 +118,7 @@ def test_identical_raters_do_not_grow_the_output(spark):
     """A third of all users are copies; each still has n neighbours only, the smallest ids."""
     ratings = {(u, i): float((i * 7) % 5 + 1 if u < 30 else (u * i) % 5 + 1) for u in range(90) for i in range(8)}
     got = {}
-    for r in S.nearest(frame(spark, ratings), 3, grid=(4, 1)).collect():
+    for r in S.nearest(frame(spark, ratings), 3, grid=S.Grid(4, 1)).collect():
         got.setdefault(r["user"], []).append(r["other"])
     assert sorted(got[29]) == [0, 1, 2] and sorted(got[0]) == [1, 2, 3]
     assert max(map(len, got.values())) == 3
@@ -143,4 +143,30 @@ def test_no_ratings(spark):
     none = frame(spark, {(1, 1): 1.0}).filter("user > 1")
     assert S.user_pearson(none).count() == 0
     assert S.nearest(none, 3).count() == 0
-    assert S.nearest(none, 3, grid=(2, 2)).count() == 0
+    assert S.nearest(none, 3, grid=S.Grid(2, 2)).count() == 0
+
+
+def test_scale_makes_ratings_whole(spark):
+    def scale(*values):
+        return S.tile_grid(frame(spark, {(1, i): v for i, v in enumerate(values)}), "user", "item").scale
+
+    assert [scale(1.0, 4.0), scale(0.5, 3.0), scale(0.1, 3.0), scale(50.01, 50.02), scale(0.0005)] == [1, 2, 10, 100, 10_000]
+    assert scale(1 / 3) == 0 and scale(0.1, math.pi) == 0
+
+
+def test_close_ratings_tie_exactly_on_any_grid(spark):
+    """Two common ratings correlate perfectly, however close and large they are."""
+    rng = random.Random(8)
+    ratings = {}
+    for u in range(40):
+        first = rng.randrange(90_000, 91_000)
+        ratings[u, 0], ratings[u, 1] = first / 100, (first + rng.choice([1, 2, 30])) / 100
+    df = frame(spark, ratings)
+    plain = S.tile_grid(df, "user", "item")
+    assert plain.scale == 100
+    for grid in (plain, S.Grid(3, 1, 100), S.Grid(6, 2, 100)):
+        got = {}
+        for r in S.nearest(df, 3, grid=grid).collect():
+            assert r["sim"] == 1.0
+            got.setdefault(r["user"], []).append(r["other"])
+        assert sorted(got[30]) == [0, 1, 2] and sorted(got[1]) == [0, 2, 3]
