@@ -7,7 +7,8 @@ the threshold by that estimate is confirmed on the full sets.
 
 A band's bucket can hold any share of all documents, so its pairs are never listed. Members are first compared with one
 centre, the member that shares most buckets; those that fail get a centre among themselves, a few times. Then components
-are formed, and only buckets that still hold several components are searched for links between them, block by block.
+are formed, and only buckets that still hold several components are searched for links between them, block by block; a
+block gives out links that unite components, never all of its pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from lumetra.llm.substrings import window_hashes
 BANDS, ROWS, BITS = 32, 4, 4  # at similarity 0.8 a pair shares no band once in 20 million
 SLACK = 0.15  # about four standard deviations of the estimate
 CENTRE_ROUNDS = 3
-BLOCK = 1024
+BLOCK = 512
 MAX_BROADCAST_PAIRS = 200_000
 SKETCH = "doc_id long, n_shingles long, print1 long, print2 long, signature binary, bands array<long>"
 
@@ -102,16 +103,17 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The full sets and signatures of the wanted documents, stored."""
-    schema = pa.schema([("doc", pa.int64()), ("set", pa.binary()), ("signature", pa.binary())])
+    """The full sets, signatures and bands of the wanted documents, stored."""
+    schema = pa.schema([("doc", pa.int64()), ("set", pa.binary()), ("signature", pa.binary()), ("bands", pa.binary())])
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_word, functions = Memo(xxhash.xxh64_intdigest).__getitem__, _functions()
 
         def of(batch: pa.RecordBatch) -> dict:
             sets = [shingle_set(t or b"", of_word, size) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            least = [minima(s, functions) for s in sets]
             return {"doc": batch.column("doc_id"), "set": [s.tobytes() for s in sets],
-                    "signature": [packed(minima(s, functions)) for s in sets]}
+                    "signature": [packed(x) for x in least], "bands": [band_keys(x).tobytes() for x in least]}
 
         return per_batch(of, schema)(batches)
 
@@ -119,7 +121,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     if wanted.count() <= 2 * MAX_BROADCAST_PAIRS:
         wanted = F.broadcast(wanted)
     return kept(id_and_text(docs).join(wanted, "doc_id", "left_semi").mapInArrow(
-        start, "doc long, set binary, signature binary"), "sets")
+        start, "doc long, set binary, signature binary, bands binary"), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,44 +156,58 @@ def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (together - common)
 
 
-def _between(members: DataFrame, percent: int, most: int) -> DataFrame:
-    """Candidate pairs of documents of different components that share a bucket: for each two components in a block the
-    ``most`` likeliest that may reach the similarity. ``members``: key, doc, component, signature."""
+def _between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links between documents of different components that share a bucket, enough of them to unite what is
+    linked. ``members``: key, doc, component.
+
+    Each two blocks of a bucket meet in one group. Pairs are taken by descending estimate, and only while their
+    components are still apart; a pair that shares several buckets is looked at in that of its first common band.
+    """
     sizes = kept(
         members.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
         .where("a < b").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open",
     )
     own = F.pmod(F.xxhash64("doc", F.lit(11)), F.col("blocks")).cast("int")
-    # each two blocks of a bucket meet in one group
     dealt = members.join(sizes, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    groups = max(1, sizes.agg(F.coalesce(F.sum(F.col("blocks") * F.col("blocks")), F.lit(0))).first()[0] // 50)
-    dealt = dealt.withColumn("group", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)))
+    groups = max(1, sizes.agg(F.coalesce(F.sum(F.col("blocks") * F.col("blocks")), F.lit(0))).first()[0] // 20)
+    dealt = dealt.withColumn("group", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups))).join(sets, "doc")
 
     def run(table: pa.Table) -> pa.Table:
         t = table.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending")]).combine_chunks()
-        names = ("key", "i", "j", "doc", "component", "own")
-        key, i, j, doc, component, own = (t.column(c).to_numpy() for c in names)
-        signature = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint64).reshape(len(doc), -1)
+        key, i, j, doc, component, own = (t.column(c).to_numpy() for c in ("key", "i", "j", "doc", "component", "own"))
+        words = [np.frombuffer(s, np.uint64) for s in t.column("set").to_pylist()]
+        signature, bands = (np.frombuffer(b"".join(t.column(c).to_pylist()), kind).reshape(len(doc), -1)
+                            for c, kind in (("signature", np.uint64), ("bands", np.int64)))
         new = (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
         at = [0, *(np.flatnonzero(new) + 1), len(doc)]
-        out: list[tuple[int, int]] = []
+        least, out = percent / 100 - SLACK, []
+        above: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while above.get(c, c) != c:
+                c = above[c]
+            return c
+
         for a, b in zip(at, at[1:]):
-            best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
+            band = np.argmax(bands[a] == key[a])
+            found = []
             for x in range(a, b):
                 ys = np.arange(x + 1, b)
                 ys = ys[(component[ys] != component[x]) & ((i[a] == j[a]) | (own[ys] != own[x]))]
-                if len(ys):
-                    near = estimate(signature[x], signature[ys])
-                    for y, e in zip(ys[near >= percent / 100 - SLACK], near[near >= percent / 100 - SLACK], strict=True):
-                        two = (min(component[x], component[y]), max(component[x], component[y]))
-                        best.setdefault(two, []).append((-e, int(doc[x]), int(doc[y])))
-            for found in best.values():
-                out += [(max(u, v), min(u, v)) for _, u, v in sorted(found)[:most]]
+                near = estimate(signature[x], signature[ys])
+                ys, near = ys[near >= least], near[near >= least]
+                first = ~(bands[ys, :band] == bands[x, :band]).any(axis=1)
+                found += zip(-near[first], [x] * int(first.sum()), ys[first].tolist(), strict=True)
+            for _, x, y in sorted(found):
+                u, v = top(int(component[x])), top(int(component[y]))
+                if u != v and _alike(words[x], words[y], percent):
+                    above[max(u, v)] = min(u, v)
+                    out.append((max(doc[x], doc[y]), min(doc[x], doc[y])))
         return pa.table({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
 
-    columns = dealt.select("group", "key", "i", "j", "doc", "component", "own", "signature")
-    return columns.groupBy("group").applyInArrow(run, "u long, v long").distinct()
+    columns = dealt.select("group", "key", "i", "j", "doc", "component", "own", "set", "signature", "bands")
+    return kept(columns.groupBy("group").applyInArrow(run, "u long, v long").distinct(), "between")
 
 
 def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -218,7 +234,6 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     members = kept(shared.join(popular, "doc").select("key", "doc", "popularity"), "members")
     sets = _sets(docs, popular, size)
 
-    tested = []
     open_ = members
     for _ in range(CENTRE_ROUNDS):
         centres = kept(open_.groupBy("key").agg(F.max(F.struct("popularity", -F.col("doc"))).alias("c"))
@@ -226,26 +241,16 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         paired = open_.join(centres, "key").where("doc <> centre").select(
             "key", "doc", "popularity", F.greatest("doc", "centre").alias("u"), F.least("doc", "centre").alias("v")
         )
-        pairs = paired.select("u", "v").distinct()
-        tested.append(pairs)
-        confirmed = _confirmed(pairs, sets, percent)
+        confirmed = _confirmed(paired.select("u", "v").distinct(), sets, percent)
         links.append(confirmed)
         open_ = kept(paired.join(confirmed, ["u", "v"], "left_anti").select("key", "doc", "popularity"), "open")
 
-    known = kept(_union(tested).distinct(), "tested")
-    signed = kept(members.join(sets.select("doc", "signature").dropDuplicates(["doc"]), "doc").select("key", "doc", "signature"), "signed")
     found = components(_union(links))
-    for most in (4, 2**31 - 1):
-        labelled = signed.join(found, F.col("doc") == F.col("node"), "left").select(
-            "key", "doc", "signature", F.coalesce("component", "doc").alias("component"))
-        pairs = kept(_between(kept(labelled, "labelled"), percent, most).join(known, ["u", "v"], "left_anti"), "between")
-        if pairs.isEmpty():
-            break
-        confirmed = _confirmed(pairs, sets, percent)
-        known = known.unionByName(pairs)
-        if not confirmed.isEmpty():
-            links.append(confirmed)
-            found = components(_union(links))
+    labelled = kept(members.join(found, F.col("doc") == F.col("node"), "left").select(
+        "key", "doc", F.coalesce("component", "doc").alias("component")), "labelled")
+    more = _between(labelled, sets, percent)
+    if not more.isEmpty():
+        found = components(_union([*links, more]))
     return sketches.join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.col("component").isNull() | (F.col("component") == F.col("doc_id")), F.lit(True)).alias("kept"),
