@@ -33,21 +33,31 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a compressed table in the shared folder: computed once, whatever reads it."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_in = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of ``kept`` that nothing will read again."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.kept_in)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Unsigned numbers in as many bytes each as the largest needs."""
+    """Unsigned numbers in as many bytes each as the largest needs; all low bytes come first, since the high ones are
+    mostly alike and compress well."""
     width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
     raw = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + raw.tobytes()
+    return bytes([width]) + raw.T.tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
     width = data[0]
-    raw = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :width] = raw
+    raw = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((raw.shape[1], 8), np.uint8)
+    out[:, :width] = raw.T
     return out.view("<u8").reshape(-1)
 
 
@@ -70,7 +80,7 @@ def batches(texts: DataFrame, lower: bool, end: bool, words_per_batch: int = 1_0
     """Documents of a partition in batches of one ``fold``, stored.
 
     ``texts`` has ``doc_id``, ``fold``, ``mark`` (any number that goes with the row) and ``text``. ``words`` are the
-    64-bit hashes of the batch's distinct words, ``tokens`` the words of all its documents as 32-bit positions in it.
+    64-bit hashes of the batch's distinct words, ``tokens`` the words of all its documents as positions in it (``pack``).
     Bits 32 and 33 of the batch number are the fold (0 to 3).
     ``lower`` lower-cases A to Z; ``end`` adds a token (the empty word) to each document. A longer document is a batch of
     its own.
@@ -86,7 +96,7 @@ def batches(texts: DataFrame, lower: bool, end: bool, words_per_batch: int = 1_0
             words = np.fromiter(map(xxhash.xxh64_intdigest, local), np.uint64, len(local))
             tokens = np.concatenate(parts)
             columns = [[part << 34 | fold << 32 | made], [fold], [docs], [marks], [[len(p) for p in parts]], [words.tobytes()],
-                       [tokens.tobytes()], [len(tokens)]]
+                       [pack(tokens)], [len(tokens)]]
             made += 1
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
@@ -121,7 +131,7 @@ class Batch:
         self.id, self.fold, self.docs, self.marks = row["batch"], row["fold"], row["docs"], row["marks"]
         self.sizes = np.asarray(row["sizes"], np.int64)
         self.vocabulary = np.frombuffer(row["words"], np.uint64)
-        self.tokens = np.frombuffer(row["tokens"], np.int32)
+        self.tokens = unpack(row["tokens"]).view(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
 
     @property

@@ -2,9 +2,9 @@
 
 Every window of ``k`` words is an edge between the k - 1 words at its start and those at its end. Only windows that more
 than one document holds are kept. Where all documents that hold such an edge go on with the same next edge, the two are
-one path; joins on the nodes find out where that is so. Each passage in common so becomes a few paths, and a path's
-occurrences (document, place, length, a hash of its words) are grouped to find its first document. All other documents
-lose the words of the path there.
+one path; a join on the nodes finds out where that is so. Each passage in common so becomes a few paths, and a join on the
+paths finds the first document of each. All other documents lose the words at the path's source coordinates. A path is
+told by its first window, its length and a second hash of all its words, so a wrong match of windows does not count.
 """
 
 from __future__ import annotations
@@ -17,14 +17,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumetra.llm.asking import Batch, Questions, answer, ask, batches, bucket_count, kept, mix, per_row, told
+from lumetra.llm.asking import (
+    Batch, Questions, answer, ask, batches, bucket_count, forget, kept, mix, pack, per_row, told, total, unpack,
+)
 from lumetra.llm.common import per_batch
 
-WINDOW, NODE = 0, 1
-RUNS = ("batch long, docs array<long>, marks array<long>, starts array<int>, sizes array<int>, edges binary, nodes binary, "
-        "checks binary, n_nodes long")
-PATHS = "path long, size int, check long, doc long, mark long, start int"
-MAX_BROADCAST_ROWS = 200_000  # of three numbers each
+WINDOW, NODE, PATH = 0, 1, 2
+RUNS = ("batch long, docs array<long>, marks array<long>, starts array<int>, sizes array<int>, words binary, tokens binary, "
+        "n_edges long")
+PATHS = ("batch long, docs array<long>, marks array<long>, paths binary, owners binary, starts binary, sizes binary, "
+         "n_paths long")
+SPANS = "_doc long, _mark long, _spans array<struct<start:int,end:int>>"
 
 
 def window_hashes(words: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -46,43 +49,43 @@ def _windows(b: Batch, k: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[inside], inside
 
 
-def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values and the number of the value of each."""
-    return np.unique(values, return_inverse=True)
+class _Runs:
+    """A row of runs (stretches of windows in common) as arrays over all of its edges, or nodes."""
 
-
-class _Run:
-    """A row of runs as arrays."""
-
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, k: int):
         self.id, self.docs, self.marks = row["batch"], row["docs"], row["marks"]
         self.starts, self.sizes = np.asarray(row["starts"], np.int64), np.asarray(row["sizes"], np.int64)
-        self.edges, self.nodes, self.checks = (np.frombuffer(row[c], np.uint64) for c in ("edges", "nodes", "checks"))
+        words = np.frombuffer(row["words"], np.uint64)[unpack(row["tokens"]).view(np.int64)]
+        self.run = np.repeat(np.arange(len(self.sizes)), self.sizes)  # of each edge
+        self.first = np.cumsum([0, *self.sizes[:-1]]) if len(self.sizes) else np.empty(0, np.int64)
+        self.place = np.arange(len(self.run)) - self.first[self.run]  # in its run
+        at = np.arange(len(self.run)) + self.run * (k - 1)  # of each edge's first word
+        self.edges, self.checks = window_hashes(words, k, 1)[at], window_hashes(words, k, 3)[at]
+        self.node = np.arange(len(self.run)) + self.run  # the node at the start of each edge
+        ends = self.first + self.sizes + np.arange(len(self.sizes))  # the last node of each run
+        nodes = window_hashes(words, k - 1, 2)
+        self.nodes = np.empty(len(self.run) + len(self.sizes), np.uint64)
+        self.nodes[self.node] = nodes[at]
+        self.nodes[ends] = nodes[np.cumsum(self.sizes + k - 1) - (k - 1)]
 
     def sides(self) -> tuple[np.ndarray, np.ndarray]:
         """For each node, the edge into it and the edge out of it along the run; 0 where the run starts or ends."""
-        first = np.cumsum(np.concatenate([[0], self.sizes[:-1] + 1]))  # of each run's nodes
         into, out = np.zeros(len(self.nodes), np.uint64), np.zeros(len(self.nodes), np.uint64)
-        into[np.setdiff1d(np.arange(len(self.nodes)), first, assume_unique=True)] = self.edges
-        out[np.setdiff1d(np.arange(len(self.nodes)), first + self.sizes, assume_unique=True)] = self.edges
+        out[self.node], into[self.node + 1] = self.edges, self.edges
         return into, out
 
 
-def _find_paths(texts: DataFrame, k: int) -> DataFrame:
-    """Occurrences of compacted paths in ``texts`` (doc_id, fold, mark, text), stored."""
-    rows = batches(texts, lower=False, end=False)
-    n = rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+def _shared_runs(rows: DataFrame, k: int) -> DataFrame:
+    """For each batch, the stretches of windows that other documents seem to hold too, stored."""
+    n = total(rows, "n_tokens")
     buckets = bucket_count(rows, n)
     # windows are only candidates here, so a shorter hash does: of a thousand windows less than one is taken for another
-    keep = np.uint64(min(64, int(n).bit_length() + 12))
-
-    def short(hashes: np.ndarray) -> np.ndarray:
-        return hashes >> (np.uint64(64) - keep)
+    drop = np.uint64(64 - min(64, int(n).bit_length() + 12))
 
     def ask_windows(b: Batch) -> Questions:
         hashes, at = _windows(b, k)
-        keys, which = _groups(short(hashes))
-        ids = np.asarray([-1 if d is None else d for d in b.docs], np.int64)[b.doc[at]]
+        keys, which = np.unique(hashes >> drop, return_inverse=True)
+        ids = np.asarray(b.docs, np.int64)[b.doc[at]]
         low, high = np.full(len(keys), np.iinfo(np.int64).max), np.full(len(keys), np.iinfo(np.int64).min)
         np.minimum.at(low, which, ids)
         np.maximum.at(high, which, ids)
@@ -94,20 +97,14 @@ def _find_paths(texts: DataFrame, k: int) -> DataFrame:
     def runs(row: dict, replies: list[dict]) -> pa.Table:
         b = Batch(row)
         hashes, at = _windows(b, k)
-        keys, which = _groups(short(hashes))
-        hit = told(replies, WINDOW, keys, buckets, 1)[0][which] > 0
-        # a null id takes no part
-        null = np.asarray([d is None for d in b.docs])
-        hit &= ~null[b.doc[at]]
-        at, edges = at[hit], hashes[hit]
+        keys, which = np.unique(hashes >> drop, return_inverse=True)
+        at = at[told(replies, WINDOW, keys, buckets, 1)[0][which] > 0]
         doc = b.doc[at]
-        new = np.ones(len(at), bool)
-        new[1:] = (np.diff(at) != 1) | (np.diff(doc) != 0)
-        first = np.flatnonzero(new)
-        sizes = np.diff(np.append(first, len(at)))
-        starts = at[first]
-        node_hashes, checks = window_hashes(b.words, k - 1, 2), window_hashes(b.words, k, 3)
-        node_at = np.repeat(starts, sizes + 1) + np.concatenate([np.arange(s + 1) for s in sizes] or [np.empty(0, np.int64)])
+        first = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(doc) != 0))[: len(at)])
+        sizes, starts = np.diff(np.append(first, len(at))), at[first]
+        lengths = sizes + k - 1
+        place = np.repeat(starts - np.cumsum([0, *lengths[:-1]])[: len(starts)], lengths) + np.arange(lengths.sum())
+        used, tokens = np.unique(b.tokens[place], return_inverse=True)
         owner = doc[first]
         return pa.table({
             "batch": pa.array([b.id], pa.int64()),
@@ -115,59 +112,77 @@ def _find_paths(texts: DataFrame, k: int) -> DataFrame:
             "marks": pa.array([[b.marks[d] for d in owner]], pa.list_(pa.int64())),
             "starts": pa.array([(starts - b.starts[owner]).astype(np.int32)], pa.list_(pa.int32())),
             "sizes": pa.array([sizes.astype(np.int32)], pa.list_(pa.int32())),
-            "edges": pa.array([edges.tobytes()], pa.binary()),
-            "nodes": pa.array([node_hashes[node_at].tobytes()], pa.binary()),
-            "checks": pa.array([checks[at].tobytes()], pa.binary()), "n_nodes": pa.array([len(node_at)], pa.int64()),
+            "words": pa.array([b.vocabulary[used].tobytes()], pa.binary()), "tokens": pa.array([pack(tokens)], pa.binary()),
+            "n_edges": pa.array([len(at)], pa.int64()),
         })
 
-    found = kept(per_row(rows, answer(ask(rows, Batch, ask_windows, buckets), shared), runs, RUNS), "runs")
-    node_buckets = bucket_count(found, found.agg(F.coalesce(F.sum("n_nodes"), F.lit(0))).first()[0])
+    answers = answer(ask(rows, Batch, ask_windows, buckets), shared)
+    found = kept(per_row(rows, answers, runs, RUNS), "runs")
+    forget(answers)
+    return found
 
-    def ask_nodes(r: _Run) -> Questions:
+
+def _compacted(found: DataFrame, k: int) -> DataFrame:
+    """For each batch, the paths that its runs fall into, stored. A path's key covers its length and a second hash of
+    all its words, so that only occurrences that read the same have the same key."""
+    buckets = bucket_count(found, total(found, "n_edges"))
+    read = lambda row: _Runs(row, k)
+
+    def range_of(which: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = int(which.max(initial=-1)) + 1
+        low, high = np.full(n, np.uint64(2**64 - 1)), np.zeros(n, np.uint64)
+        np.minimum.at(low, which, values)
+        np.maximum.at(high, which, values)
+        return low, high
+
+    def ask_nodes(r: _Runs) -> Questions:
         into, out = r.sides()
-        sign = np.where((into != 0) & (out != 0), mix(into + mix(out)) | np.uint64(1), np.uint64(0))
-        keys, which = _groups(r.nodes)
-        low, high = np.full(len(keys), np.uint64(2**64 - 1)), np.zeros(len(keys), np.uint64)
-        np.minimum.at(low, which, sign)
-        np.maximum.at(high, which, sign)
+        # 40 bits that stand for the way through the node, 0 where a run starts or ends there
+        way = np.where((into != 0) & (out != 0), mix(into + mix(out)) >> np.uint64(24) | np.uint64(1), np.uint64(0))
+        keys, which = np.unique(r.nodes, return_inverse=True)
+        low, high = range_of(which, way)
         return [(NODE, keys, [np.where(low == high, low, np.uint64(0))])]
 
-    def inner(_: int, which: np.ndarray, values: list[np.ndarray]) -> list[np.ndarray]:
-        """Nodes with one way in and one way out wherever they occur."""
-        n_keys = int(which.max(initial=-1)) + 1
-        low, high = np.full(n_keys, np.uint64(2**64 - 1)), np.zeros(n_keys, np.uint64)
-        np.minimum.at(low, which, values[0])
-        np.maximum.at(high, which, values[0])
+    def one_way(_: int, which: np.ndarray, values: list[np.ndarray]) -> list[np.ndarray]:
+        """Nodes that all documents pass in the same way."""
+        low, high = range_of(which, values[0])
         return [((low == high) & (low != 0)).astype(np.uint64)]
 
     def compact(row: dict, replies: list[dict]) -> pa.Table:
-        r = _Run(row)
-        keys, which = _groups(r.nodes)
-        through = told(replies, NODE, keys, node_buckets, 1)[0][which] > 0
-        first_node = np.cumsum(np.concatenate([[0], r.sizes[:-1] + 1]))
-        run = np.repeat(np.arange(len(r.sizes)), r.sizes)
-        edge_node = np.arange(len(r.edges)) + run  # the node at the start of each edge
-        new = ~through[edge_node]
-        first_edge = first_node - np.arange(len(r.sizes))
-        new[first_edge] = True
-        at = np.flatnonzero(new)
+        r = _Runs(row, k)
+        keys, which = np.unique(r.nodes, return_inverse=True)
+        through = told(replies, NODE, keys, buckets, 1)[0][which] > 0
+        at = np.flatnonzero(~through[r.node] | (r.place == 0))
         sizes = np.diff(np.append(at, len(r.edges)))
-        # a second hash over all words of the path, to verify that occurrences read the same
-        place = np.arange(len(r.edges)) - np.repeat(at, sizes)
-        check = np.add.reduceat(mix(r.checks + place.astype(np.uint64)), at) if len(at) else np.empty(0, np.uint64)
-        owner = run[at]
+        step = (np.arange(len(r.edges)) - np.repeat(at, sizes)).astype(np.uint64)
+        check = np.add.reduceat(mix(r.checks + step), at) if len(at) else np.empty(0, np.uint64)
+        paths = mix(r.edges[at] + mix(check + sizes.astype(np.uint64)))
+        owners = r.run[at]
         return pa.table({
-            "path": r.edges[at].view(np.int64), "size": sizes.astype(np.int32), "check": check.view(np.int64),
-            "doc": pa.array([r.docs[i] for i in owner], pa.int64()), "mark": pa.array([r.marks[i] for i in owner], pa.int64()),
-            "start": (r.starts[owner] + at - first_edge[owner]).astype(np.int32),
+            "batch": pa.array([r.id], pa.int64()), "docs": pa.array([r.docs], pa.list_(pa.int64())),
+            "marks": pa.array([r.marks], pa.list_(pa.int64())), "paths": pa.array([paths.tobytes()], pa.binary()),
+            "owners": pa.array([pack(owners)], pa.binary()), "starts": pa.array([pack(r.starts[owners] + r.place[at])], pa.binary()),
+            "sizes": pa.array([pack(sizes)], pa.binary()), "n_paths": pa.array([len(at)], pa.int64()),
         })
 
-    told_nodes = answer(ask(found, _Run, ask_nodes, node_buckets), inner)
-    return kept(per_row(found, told_nodes, compact, PATHS), "paths")
+    answers = answer(ask(found, read, ask_nodes, buckets), one_way)
+    paths = kept(per_row(found, answers, compact, PATHS), "paths")
+    forget(answers)
+    return paths
+
+
+class _Paths:
+    """A row of paths as arrays."""
+
+    def __init__(self, row: dict):
+        self.id, self.marks = row["batch"], row["marks"]
+        self.docs = np.asarray(row["docs"], np.int64)
+        self.paths = np.frombuffer(row["paths"], np.uint64)
+        self.owners, self.starts, self.sizes = (unpack(row[c]).view(np.int64) for c in ("owners", "starts", "sizes"))
 
 
 def repeats(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Word spans to remove: ``doc``, ``mark`` (a hash of the text), ``spans`` (array of start and end, end exclusive).
+    """Word spans to remove: ``_doc``, ``_mark`` (a hash of the text), ``_spans`` (start and end, end exclusive).
 
     Of a window of ``k`` words that several documents hold, the one with the smallest id keeps it. Rows with a null id
     neither keep nor lose words; rows of the same id do not count against each other.
@@ -176,23 +191,51 @@ def repeats(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str
         F.col(id_col).cast("long").alias("doc_id"), F.lit(0).alias("fold"), F.xxhash64(text_col).alias("mark"),
         F.col(text_col).cast("string").alias("text"),
     )
-    paths = _find_paths(texts, k)
-    owners = kept(
-        paths.groupBy("path", "size", "check").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
-        .where("owner < last").drop("last"), "owners",
-    )
-    lost = paths.join(owners, ["path", "size", "check"]).where("doc > owner")
-    return lost.groupBy("doc", "mark").agg(
-        F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("size") + (k - 1)).alias("end")))).alias("spans")
-    )
+    rows = batches(texts, lower=False, end=False)
+    lowest = rows.select(F.min(F.array_min("docs"))).first()[0] or 0
+    found = _shared_runs(rows, k)
+    forget(rows)
+    paths = _compacted(found, k)
+    forget(found)
+    buckets = bucket_count(paths, total(paths, "n_paths"))
+
+    def ask_first(p: _Paths) -> Questions:
+        keys, which = np.unique(p.paths, return_inverse=True)
+        first = np.full(len(keys), np.uint64(2**64 - 1))
+        np.minimum.at(first, which, (p.docs[p.owners] - lowest).view(np.uint64))
+        return [(PATH, keys, [first])]
+
+    def first_of_all(_: int, which: np.ndarray, values: list[np.ndarray]) -> list[np.ndarray]:
+        first = np.full(int(which.max(initial=-1)) + 1, np.uint64(2**64 - 1))
+        np.minimum.at(first, which, values[0])
+        return [first]
+
+    def lost(row: dict, replies: list[dict]) -> pa.Table:
+        p = _Paths(row)
+        keys, which = np.unique(p.paths, return_inverse=True)
+        later = told(replies, PATH, keys, buckets, 1)[0][which] < (p.docs[p.owners] - lowest).view(np.uint64)
+        spans: dict[tuple[int, int], list[list[int]]] = {}
+        for owner, start, size in zip(p.owners[later].tolist(), p.starts[later].tolist(), p.sizes[later].tolist(), strict=True):
+            mine, end = spans.setdefault((int(p.docs[owner]), p.marks[owner]), []), start + size + k - 1
+            if mine and mine[-1][0] <= start <= mine[-1][1]:
+                mine[-1][1] = max(mine[-1][1], end)
+            else:
+                mine.append([start, end])
+        return pa.table({
+            "_doc": pa.array([d for d, _ in spans], pa.int64()), "_mark": pa.array([m for _, m in spans], pa.int64()),
+            "_spans": pa.array([[{"start": a, "end": b} for a, b in s] for s in spans.values()],
+                               pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+        })
+
+    answers = answer(ask(paths, _Paths, ask_first, buckets), first_of_all)
+    # rows of one id and text have the same spans
+    spans = kept(per_row(paths, answers, lost, SPANS).dropDuplicates(["_doc", "_mark"]), "spans")
+    forget(answers, paths)
+    return spans
 
 
 def _with_spans(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    spans = kept(repeats(docs, k, id_col, text_col).select(
-        F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans")), "spans")
-    n = spans.agg(F.coalesce(F.sum(F.size("_spans")), F.lit(0))).first()[0]
-    if n <= MAX_BROADCAST_ROWS:
-        spans = F.broadcast(spans)
+    spans = repeats(docs, k, id_col, text_col)
     same = (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(text_col) == F.col("_mark"))
     return docs.join(spans, same, "left").drop("_doc", "_mark")
 
