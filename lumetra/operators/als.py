@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from itertools import product
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
@@ -35,13 +36,13 @@ class AlsParams:
 
 
 RATINGS_PER_BLOCK = 25_000
-MAX_BLOCKS = 1000
 
 
-def factor_blocks(n_ratings: int, cores: int) -> int:
-    """Blocks of users and of items: one per core once the ratings fill them, fewer for few
-    ratings, and at most a thousand, as an iteration exchanges a message per pair of blocks."""
-    return max(1, min(math.ceil(n_ratings / RATINGS_PER_BLOCK), cores, MAX_BLOCKS))
+def factor_blocks(n_ratings: int, ratings_per_block: int = RATINGS_PER_BLOCK) -> int:
+    """Blocks of users and of items. Factors start per block, so the number follows from the ratings alone and the
+    same data gives the same model on any machine. An iteration exchanges a message per pair of blocks: pass ``blocks``
+    to ``fit`` for larger ones where ratings are very many."""
+    return max(1, math.ceil(n_ratings / ratings_per_block))
 
 
 def fit(ratings: DataFrame, params: AlsParams, seed: int = SEED, blocks: int | None = None) -> ALSModel:
@@ -52,7 +53,7 @@ def fit(ratings: DataFrame, params: AlsParams, seed: int = SEED, blocks: int | N
     """
     spark = ratings.sparkSession
     shared_dir(spark)
-    n = blocks or factor_blocks(ratings.count(), spark.sparkContext.defaultParallelism)
+    n = blocks or factor_blocks(ratings.count())
     als = ALS(
         rank=params.rank, maxIter=params.max_iter, regParam=params.reg, seed=seed, numUserBlocks=n,
         numItemBlocks=n, userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=False,
@@ -94,27 +95,33 @@ def grid_search(
 
     try:
         cores = spark.sparkContext.defaultParallelism
-        blocks = factor_blocks(inputs[0].count(), cores)
+        blocks = factor_blocks(inputs[0].count())
 
-        def run(params: AlsParams) -> tuple[ALSModel, float]:
+        kept: list[tuple[float, int, ALSModel]] = []  # only the best model so far
+        one_at_a_time = Lock()
+
+        def run(numbered: tuple[int, AlsParams]) -> float:
+            i, params = numbered
             model = fit(inputs[0], params, seed, blocks)
-            return model, rmse(model, inputs[1])
+            score = rmse(model, inputs[1])
+            with one_at_a_time:
+                if not math.isnan(score) and (not kept or (score, i) < kept[0][:2]):
+                    kept[:] = [(score, i, model)]
+            return score
 
         with ThreadPool(parallelism or max(2, min(8, 2 * cores // blocks))) as pool:
-            fitted = pool.map(inheritable_thread_target(spark)(run), grid, chunksize=1)
+            scores = pool.map(inheritable_thread_target(spark)(run), list(enumerate(grid)), chunksize=1)
     finally:
         for df in inputs:
             df.unpersist()
-    scores = [score for _, score in fitted]
-    finite = [i for i, s in enumerate(scores) if not math.isnan(s)]
-    if not finite:
+    if not kept:
         raise ValueError("no validation pair has a known user and item")
-    best = min(finite, key=lambda i: (scores[i], i))
+    lowest, best, model = kept[0]
     rows = [
         {"ord": i + 1, **asdict(p), "validation_rmse": scores[i], "is_best": i == best}
         for i, p in enumerate(grid)
     ]
-    return GridResult(spark.createDataFrame(pa.Table.from_pylist(rows)), grid[best], fitted[best][0], scores[best])
+    return GridResult(spark.createDataFrame(pa.Table.from_pylist(rows)), grid[best], model, lowest)
 
 
 def _vectors(factors: DataFrame) -> DataFrame:

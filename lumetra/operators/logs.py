@@ -49,9 +49,9 @@ def check_strict(df: DataFrame) -> DataFrame:
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Raw lines to the nine text fields, with ``raw`` and ``reason``; other columns are kept."""
     parsed = _computed_once(lines, _f=W.line_fields(column))
-    fields = [f"CASE WHEN size(_f) = {W.N_FIELDS} THEN get(_f, {i}) END AS `{n}`" for i, n in enumerate(LOG_RAW_COLUMNS)]
+    fields = [f"CASE WHEN coalesce(size(_f), 0) = {W.N_FIELDS} THEN get(_f, {i}) END AS `{n}`" for i, n in enumerate(LOG_RAW_COLUMNS)]
     others = [c for c in lines.columns if c != column]
-    reason = f"CASE WHEN size(_f) <> {W.N_FIELDS} THEN 'unparsable_line' END AS reason"
+    reason = f"CASE WHEN coalesce(size(_f), 0) <> {W.N_FIELDS} THEN 'unparsable_line' END AS reason"
     return parsed.selectExpr(*_named(others), *fields, f"{column} AS raw", reason)
 
 

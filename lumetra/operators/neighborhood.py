@@ -14,7 +14,8 @@ MIN_VOTES = 2
 def _votes(voted: DataFrame, ratings: DataFrame) -> DataFrame:
     """Similarity-weighted mean of the neighbours' ratings, for pairs with two votes or more,
     kept within the range of the ratings."""
-    low, high = ratings.select(F.min("rating")).scalar(), ratings.select(F.max("rating")).scalar()
+    bounds = ratings.select(F.struct(F.min("rating").alias("low"), F.max("rating").alias("high"))).scalar()
+    low, high = bounds.getField("low"), bounds.getField("high")
     weighted = F.try_divide(F.sum(F.col("sim") * F.col("rating")), F.sum("sim"))
     return (
         voted.groupBy("user", "item")

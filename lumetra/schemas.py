@@ -26,17 +26,6 @@ LOG_RAW = _strings(LOG_RAW_COLUMNS)
 LOG_CLEAN = _strings(LOG_CLEAN_COLUMNS)
 LOG_DETAIL = _strings(LOG_DETAIL_COLUMNS)
 
-RATINGS = T.StructType([
-    T.StructField("user", T.IntegerType()),
-    T.StructField("item", T.IntegerType()),
-    T.StructField("rating", T.DoubleType()),
-])
-
-REC_LIST = T.ArrayType(T.StructType([
-    T.StructField("product", T.IntegerType()),
-    T.StructField("rating", T.DoubleType()),
-]))
-
 
 def select_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """View a table through a schema by column name; missing columns or other types are an error."""

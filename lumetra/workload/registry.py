@@ -32,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 MIN_COSINE = 0.2
-SMALL_ALS = A.AlsParams(rank=10, reg=0.1, max_iter=5)
+JOB_ALS = A.AlsParams(**A.SIMILARITY_PARAMS)
 
 
 def query(fn: Query) -> Query:
@@ -329,7 +329,7 @@ def split_deterministic(spark, sf):
 @query
 def split_random(spark, sf):
     names = ["train", "validation", "test"]
-    parts = R.split_random(X.ratings(spark, sf))
+    parts = R.split_random(_stored_ratings(spark, sf))
     labelled = [df.withColumn("part", F.lit(n)) for n, df in zip(names, parts)]
     return labelled[0].unionByName(labelled[1]).unionByName(labelled[2])
 
@@ -346,7 +346,7 @@ def ratings_cast(spark, sf):
 
 def _als(spark: SparkSession, sf: str):
     parts = stored(_parts(spark, sf))
-    return parts, A.fit(_part(parts, "train"), SMALL_ALS)
+    return parts, A.fit(_part(parts, "train"), JOB_ALS)
 
 
 @query
@@ -385,7 +385,7 @@ def als_grid_search(spark, sf):
 @query
 def als_test_rmse(spark, sf):
     parts = stored(_parts(spark, sf))
-    found = A.grid_search(_part(parts, "train"), _part(parts, "validation"), iters=[5])
+    found = A.grid_search(_part(parts, "train"), _part(parts, "validation"))
     base = R.mean_baseline(parts).first()["rmse"]
     return R.error_metrics(A.predict(found.model, _part(parts, "test"))).withColumn(
         "improvement_percent", (F.lit(base) - F.col("rmse")) / F.lit(base) * 100
@@ -399,7 +399,7 @@ def baseline_mean_rmse(spark, sf):
 
 @query
 def als_recommend_flat(spark, sf):
-    model = A.fit(_stored_ratings(spark, sf), SMALL_ALS)
+    model = A.fit(_stored_ratings(spark, sf), JOB_ALS)
     return flat_recommendations(model, R.top_n_for("music_recommend_app.genre_col_model"), "user", "item")
 
 
@@ -450,7 +450,7 @@ def als_item_recs(spark, sf):
 def rec_job(spark, sf):
     name = _name("recommended")
     run_recommendation_job(
-        spark, X.ratings(spark, sf), name, top_n=5, path=scratch_path(spark, name), ranks=[5, 10], iters=[5]
+        spark, X.ratings(spark, sf), name, top_n=5, path=scratch_path(spark, name)
     )
     return read_table(spark, name)
 

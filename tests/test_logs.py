@@ -8,7 +8,7 @@ from lumetra.schemas import LOG_CLEAN, LOG_DETAIL_COLUMNS, LOG_RAW_COLUMNS, sele
 from lumetra.sources.logs import append_orc
 
 
-def line(target="/MobileInternet/user/welcome?userid=7", method="GET", time="24/May/2019:05:33:45 +0800", size="5"):
+def line(target="/MobileInternet/user/welcome?userid=7", method="GET", time="17/Aug/2021:08:12:30 +0800", size="5"):
     return f'1.2.3.4 - - [{time}] "{method} {target} HTTP/1.1" 200 {size} "-" "ua"'
 
 
@@ -22,7 +22,7 @@ def detail(spark, *values, **options):
 
 def test_bad_rows_are_quarantined_with_a_reason(spark):
     rows = detail(
-        spark, "bad line", '1 - - [24/May/2019:05:33:45 +0800] "GARBAGE" 400 - "-" "-"', line("/A/b/c?x=%zz"),
+        spark, "bad line", '1 - - [17/Aug/2021:08:12:30 +0800] "GARBAGE" 400 - "-" "-"', line("/A/b/c?x=%zz"),
         line(time=""), line("/A/b"), line("/A/b/c", method="POST"), line("/x/%zz", method="POST"), line(),
     )
     bad = {r["raw"]: r["reason"] for r in L.quarantine(rows).collect()}
@@ -100,7 +100,7 @@ def test_city_fallback_is_an_option(spark):
 
 def test_typed_extras(spark):
     row = L.typed_extras(L.clean(L.parse_lines(lines(spark, line(size="-"))))).first()
-    assert (row["status_code"], row["size_bytes"], str(row["event_ts"])) == (200, None, "2019-05-24 05:33:45")
+    assert (row["status_code"], row["size_bytes"], str(row["event_ts"])) == (200, None, "2021-08-17 08:12:30")
 
 
 def test_decoding_comes_before_the_parameters_are_cut(spark):

@@ -36,10 +36,10 @@ def test_interface_of(spark, path, want):
 
 
 TIMES = [
-    ("24/May/2019:05:33:45 +0800", "2019-05-24 05:33:45"), ("24/may/2019:05:33:45", "2019-05-24 05:33:45"),
-    ("32/May/2019:05:33:45 +0800", "2019-06-01 05:33:45"), ("29/Feb/2019:00:00:00", "2019-03-01 00:00:00"),
+    ("17/Aug/2021:08:12:30 +0800", "2021-08-17 08:12:30"), ("17/aug/2021:08:12:30", "2021-08-17 08:12:30"),
+    ("32/Aug/2021:08:12:30 +0800", "2021-09-01 08:12:30"), ("29/Feb/2019:00:00:00", "2019-03-01 00:00:00"),
     ("31/Dec/2019:24:00:00", "2020-01-01 00:00:00"), ("29/Feb/2020:23:59:59", "2020-02-29 23:59:59"),
-    ('"01/Jan/2020:00:00:00"', "2020-01-01 00:00:00"), ("24/Foo/2019:05:33:45", ""), ("soon", ""),
+    ('"01/Jan/2020:00:00:00"', "2020-01-01 00:00:00"), ("17/Foo/2021:08:12:30", ""), ("soon", ""),
     ("05/Jan/2019:05:61:00", "2019-01-05 06:01:00"), ("  ", None), ("", None), (None, None),
 ]
 
@@ -74,8 +74,8 @@ def test_url_text_with_plus_as_space(spark):
     assert evaluate(spark, "a+%2Bb", W.url_text("v", plus_as_space=True)) == "a +b"
 
 
-LINE = '1.2.3.4 - u [24/May/2019:05:33:45 +0800] "GET /a?b=\\"c HTTP/1.1" 200 - "-" "ua x" trailing'
-FIELDS = ["1.2.3.4", "-", "u", "[24/May/2019:05:33:45 +0800]", '"GET /a?b=\\"c HTTP/1.1"', "200", "-", '"-"', '"ua x"']
+LINE = '1.2.3.4 - u [17/Aug/2021:08:12:30 +0800] "GET /a?b=\\"c HTTP/1.1" 200 - "-" "ua x" trailing'
+FIELDS = ["1.2.3.4", "-", "u", "[17/Aug/2021:08:12:30 +0800]", '"GET /a?b=\\"c HTTP/1.1"', "200", "-", '"-"', '"ua x"']
 
 
 @pytest.mark.parametrize("line", [LINE, "noise " + LINE, "\u0085 " + LINE])
