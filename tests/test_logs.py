@@ -163,3 +163,8 @@ def test_partitioned_append(spark, tmp_path):
     append_orc(df, str(tmp_path / "p"), coalesce_to=1, partition_by=["dt"])
     assert spark.read.orc(str(tmp_path / "p")).count() == 12
     assert len(list((tmp_path / "p" / "dt=0").glob("*.orc"))) == 2
+
+
+def test_a_null_line_is_unparsable(spark):
+    row = L.parse_lines(spark.createDataFrame([(None,)], "value string")).first()
+    assert row["reason"] == "unparsable_line"
