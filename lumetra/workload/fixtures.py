@@ -59,6 +59,16 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(user, item, rating)``: the quantity of each part that each customer ordered; sparse in both directions."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias("user"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_partkey").cast("int").alias("item"), "l_quantity")
+    return (
+        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        .groupBy("user", "item").agg(F.sum(F.col("l_quantity").cast("double")).alias("rating"))
+    )
+
+
 MODULE_JSON_SQL = """
 concat('{{"module":"',
   CASE event_id % 8 WHEN 0 THEN 'playlist' WHEN 1 THEN 'radio' WHEN 2 THEN 'voice_search'

@@ -212,15 +212,17 @@ SELECT mid, product, round(s, 6) AS rating FROM ranked WHERE n <= 10"""
 
 
 def _pearson(name: str, key: str, dim: str, left: str = "r", right: str = "r", ordered: bool = False) -> str:
-    """Pairs ``a < b`` (or all pairs) of keys of two rating relations."""
+    """Pairs ``a < b`` (or all pairs) of keys of two rating relations. The ratings have two decimals at most; their sums
+    are exact decimals, so that equal similarities tie."""
     pairs = "<>" if ordered else "<"
+    one, two = (f"""(SELECT "{key}", "{dim}", rating::DECIMAL(12, 2) AS r FROM {side})""" for side in (left, right))
     return f"""{name}_sums AS (
-  SELECT x."{key}"::BIGINT AS a, y."{key}"::BIGINT AS b, count(*) AS n, sum(x.rating) AS sa, sum(y.rating) AS sb,
-    sum(x.rating * x.rating) AS saa, sum(y.rating * y.rating) AS sbb, sum(x.rating * y.rating) AS sab
-  FROM {left} x JOIN {right} y ON x."{dim}" = y."{dim}" AND x."{key}" {pairs} y."{key}" GROUP BY ALL),
-{name}_var AS (SELECT *, saa - sa * sa / n AS va, sbb - sb * sb / n AS vb FROM {name}_sums),
-{name} AS (SELECT a, b, n, CASE WHEN va > saa * 1e-12 AND vb > sbb * 1e-12
-  THEN round((sab - sa * sb / n) / sqrt(va * vb), 12) END AS sim FROM {name}_var)"""
+  SELECT x."{key}"::BIGINT AS a, y."{key}"::BIGINT AS b, count(*) AS n, sum(x.r) AS sa, sum(y.r) AS sb,
+    sum(x.r * x.r) AS saa, sum(y.r * y.r) AS sbb, sum(x.r * y.r) AS sab
+  FROM {one} x JOIN {two} y ON x."{dim}" = y."{dim}" AND x."{key}" {pairs} y."{key}" GROUP BY ALL),
+{name}_var AS (SELECT *, n * saa - sa * sa AS va, n * sbb - sb * sb AS vb, n * sab - sa * sb AS c FROM {name}_sums),
+{name} AS (SELECT a, b, n, CASE WHEN va > 0 AND vb > 0
+  THEN round(c::DOUBLE / sqrt(va::DOUBLE * vb::DOUBLE), 12) END AS sim FROM {name}_var)"""
 
 
 def _nearest(name: str, pairs: str, n: int) -> str:
@@ -247,7 +249,13 @@ ORACLES["user_pearson"] = f"WITH {_R}, {_pearson('u', 'user', 'item')} SELECT a,
 ORACLES["item_pearson"] = f"WITH {_R}, {_pearson('i', 'item', 'user')} SELECT a, b, n, round(sim, 6) AS sim FROM i"
 _NEAR = f"{_R}, {_pearson('u', 'user', 'item', ordered=True)}, {_nearest('near', 'u', 100)}"
 ORACLES["nearest_n_users"] = f'WITH {_NEAR} SELECT "user", other, round(sim, 6) AS sim FROM near'
-_RECOMMEND = f"{_NEAR}, {_estimates('est', 'near', 'r')}, {_recommend('rec', 'est', 'r', 10)}"
+_BOUGHT = """r AS (SELECT o_custkey AS "user", l_partkey AS item, sum(l_quantity) AS rating
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL)"""
+ORACLES["customer_pearson"] = f"WITH {_BOUGHT}, {_pearson('u', 'user', 'item')} SELECT a, b, n, round(sim, 6) AS sim FROM u"
+ORACLES["part_pearson"] = f"WITH {_BOUGHT}, {_pearson('i', 'item', 'user')} SELECT a, b, n, round(sim, 6) AS sim FROM i"
+ORACLES["nearest_n_customers"] = f"""WITH {_BOUGHT}, {_pearson('u', 'user', 'item', ordered=True)}, {_nearest('near', 'u', 10)}
+SELECT "user", other, round(sim, 6) AS sim FROM near"""
+_RECOMMEND = f"{_NEAR},{_estimates('est', 'near', 'r')}, {_recommend('rec', 'est', 'r', 10)}"
 ORACLES["user_based_recommend"] = f"""WITH {_RECOMMEND}
 SELECT "user"::BIGINT AS "user", item, round(prediction, 6) AS prediction FROM rec"""
 ORACLES["recommended_because"] = f"""WITH {_RECOMMEND}, {_pearson('i', 'item', 'user', ordered=True)},

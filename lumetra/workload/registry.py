@@ -473,6 +473,21 @@ def nearest_n_users(spark, sf):
     return _rounded(S.nearest(_stored_ratings(spark, sf), 100), "sim")
 
 
+@query
+def customer_pearson(spark, sf):
+    return _rounded(S.user_pearson(stored(X.purchases(spark, sf))), "sim")
+
+
+@query
+def part_pearson(spark, sf):
+    return _rounded(S.item_pearson(stored(X.purchases(spark, sf))), "sim")
+
+
+@query
+def nearest_n_customers(spark, sf):
+    return _rounded(S.nearest(stored(X.purchases(spark, sf)), 10), "sim")
+
+
 def _user_based(ratings: DataFrame, neighbours: int = 100, how_many: int = 10) -> DataFrame:
     return N.recommend(stored(S.nearest(ratings, neighbours)), ratings, how_many)
 

@@ -47,7 +47,8 @@ def same(got, want):
         assert v is None or abs(got[k] - v) < 1e-9, k
 
 
-GRIDS = [None, S.Grid(1, 1), S.Grid(5, 1), S.Grid(4, 3), S.Grid(7, 6, 1)]
+GRIDS = [None, S.Grid(1, 1), S.Grid(5, 1), S.Grid(4, 3), S.Grid(7, 6, 1),
+         S.Grid(5, 1, light=0), S.Grid(4, 3, light=0), S.Grid(4, 3, light=15), S.Grid(4, 1, 1, light=30), S.Grid(1, 1, 1, None)]
 
 
 @pytest.mark.parametrize("grid", GRIDS)
@@ -86,7 +87,7 @@ def test_one_common_item_or_no_variance_is_undefined(spark):
     assert (3, 5) not in got
 
 
-@pytest.mark.parametrize("grid", [S.Grid(1, 1), S.Grid(5, 1, 1), S.Grid(4, 3)])
+@pytest.mark.parametrize("grid", [S.Grid(1, 1), S.Grid(5, 1, 1), S.Grid(4, 3), S.Grid(5, 1, 1, 0), S.Grid(4, 3, 1, 0), S.Grid(4, 3, 1, 15)])
 @pytest.mark.parametrize("n", [1, 3, 100])
 def test_nearest(spark, grid, n):
     ratings = sample(seed=9)
@@ -101,7 +102,7 @@ def test_nearest(spark, grid, n):
         assert [b for _, b in sorted(got[u])] == [b for _, b in want]
 
 
-@pytest.mark.parametrize("grid", [S.Grid(3, 1), S.Grid(3, 4)])
+@pytest.mark.parametrize("grid", [S.Grid(3, 1), S.Grid(3, 4), S.Grid(3, 1, 1, 0), S.Grid(3, 4, 1, 0), S.Grid(3, 2, 1, 15)])
 def test_nearest_among_others(spark, grid):
     full = sample(seed=5)
     reduced = {k: v for k, v in full.items() if k[0] % 2 == 0 and k[1] % 3}
@@ -118,7 +119,7 @@ def test_identical_raters_do_not_grow_the_output(spark):
     """A third of all users are copies; each still has n neighbours only, the smallest ids."""
     ratings = {(u, i): float((i * 7) % 5 + 1 if u < 30 else (u * i) % 5 + 1) for u in range(90) for i in range(8)}
     got = {}
-    for r in S.nearest(frame(spark, ratings), 3, grid=S.Grid(4, 1)).collect():
+    for r in S.nearest(frame(spark, ratings), 3, grid=S.Grid(4, 1, light=0)).collect():
         got.setdefault(r["user"], []).append(r["other"])
     assert sorted(got[29]) == [0, 1, 2] and sorted(got[0]) == [1, 2, 3]
     assert max(map(len, got.values())) == 3
@@ -164,7 +165,7 @@ def test_close_ratings_tie_exactly_on_any_grid(spark):
     df = frame(spark, ratings)
     plain = S.tile_grid(df, "user", "item")
     assert plain.scale == 100
-    for grid in (plain, S.Grid(3, 1, 100), S.Grid(6, 2, 100)):
+    for grid in (plain, S.Grid(3, 1, 100), S.Grid(6, 2, 100), S.Grid(3, 1, 100, 0), S.Grid(6, 2, 100, 0)):
         got = {}
         for r in S.nearest(df, 3, grid=grid).collect():
             assert r["sim"] == 1.0
