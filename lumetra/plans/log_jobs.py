@@ -18,12 +18,18 @@ def run_page_job(
     spark: SparkSession, input_glob: str, output: str, pages: Sequence[str] = tuple(PAGES),
     dedupe: bool = False, quarantine_path: str | None = None, strict: bool = False,
 ) -> None:
-    """Text lines to an ORC folder of the rows of the listed pages, in one pass and one write."""
+    """Text lines to an ORC folder of the rows of the listed pages, in one pass and one write.
+
+    The write itself counts the bad lines; they are written in a second pass only if there are
+    any and a folder is given.
+    """
     parsed = L.parse_lines(read_lines(spark, input_glob))
     if strict:
         L.check_strict(parsed)
-    append_orc(L.page_filter(L.good_rows(parsed), pages, dedupe).select(*LOG_RAW_COLUMNS), output)
-    if quarantine_path:
+    counts = Observation("lines")
+    seen = parsed.observe(counts, F.count_if(F.col("reason").isNotNull()).alias("bad_rows"))
+    append_orc(L.page_filter(L.good_rows(seen), pages, dedupe).select(*LOG_RAW_COLUMNS), output)
+    if quarantine_path and counts.get["bad_rows"]:
         append_orc(L.quarantine(parsed), quarantine_path)
 
 
