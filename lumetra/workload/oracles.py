@@ -89,6 +89,10 @@ ORACLES["log_page_filter"] = f"""WITH {_RAW}, {_PAGES}
 SELECT raw.* EXCLUDE (value), page FROM raw JOIN pages_listed ON contains(request, page)"""
 ORACLES["log_page_filter_semi"] = f"""WITH {_RAW}, {_PAGES}
 SELECT raw.* EXCLUDE (value) FROM raw WHERE EXISTS (SELECT 1 FROM pages_listed WHERE contains(request, page))"""
+ORACLES["log_jobs_detail"] = f"""WITH {_DETAIL}, {_PAGES}
+SELECT d.* EXCLUDE (event_id, unmapped_interface) FROM detail_rows d
+JOIN (SELECT event_id AS id, request AS asked FROM raw) ON id = event_id JOIN pages_listed ON contains(asked, page)
+WHERE interface_type IS NOT NULL"""
 ORACLES["log_time_format"] = f"WITH {_RAW} SELECT event_id, {_TIME} AS time FROM raw"
 ORACLES["log_clean"] = f"WITH {_CLEAN} SELECT * EXCLUDE (value) FROM clean"
 ORACLES["log_typed"] = f"""WITH {_CLEAN}

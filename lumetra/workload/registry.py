@@ -20,6 +20,7 @@ from lumetra.operators import similarity as S
 from lumetra.operators import topk as K
 from lumetra.operators.geo import nearest_place
 from lumetra.plans.log_jobs import etl_row_counts as row_counts
+from lumetra.plans.log_jobs import run_detail_job, run_page_job
 from lumetra.plans.recommend_job import flat_recommendations, run_recommendation_job
 from lumetra.schemas import LOG_CLEAN_COLUMNS, LOG_DETAIL_COLUMNS, LOG_RAW_COLUMNS
 from lumetra.session import scratch_path, stored
@@ -125,6 +126,17 @@ def etl_row_counts(spark, sf):
     return row_counts(X.raw_log_lines(spark, sf))
 
 
+@query
+def log_jobs_detail(spark, sf):
+    """Both jobs in a row: text lines to the page table, and that catalog table to the detail table."""
+    lines, folder, pages, detail = scratch_path(spark, "lines"), scratch_path(spark, "pages"), _name("pages"), _name("detail")
+    X.raw_log_lines(spark, sf).select("value").write.text(lines)
+    run_page_job(spark, f"{lines}/*.txt", folder)
+    create_table(spark.read.orc(folder), pages, scratch_path(spark, pages))
+    run_detail_job(spark, pages, detail, path=scratch_path(spark, detail))
+    return read_table(spark, detail).select(*LOG_DETAIL_COLUMNS)
+
+
 # ---- access logs ----
 
 
