@@ -1,9 +1,11 @@
 """Personal data in texts: fixed patterns, and boosted trees over looser candidates.
 
 Only DataFrame and SQL functions touch the texts. High-recall patterns propose overlapping spans; each gets format and
-context features. The trees learn from what the fixed patterns confirm: a candidate that overlaps a confirmed span of its
-kind is an example, any other is a counter-example. Features take few values, so the training data of any number
-of documents is a table of counts per feature row, and the trees are grown on that. Per kind, a threshold is set on
+context features. The trees learn from what the fixed patterns confirm, by positive-unlabelled learning: a candidate that
+overlaps a confirmed span of its kind is an example, any other is unlabelled and only ranks below what looks more like the
+examples. The features leave out what tells a confirmed form from a loose one ('+' and country code, '@' and '.', the kind
+of separator), so that loose forms look as the confirmed ones do. Features take few values, so the training data of any
+number of documents is a table of counts per feature row, and the trees are grown on that. Per kind, a threshold is set on
 documents that the trees did not learn from.
 """
 
@@ -49,7 +51,7 @@ LOOSE = {
 #: Words before a span that speak for its kind.
 NEAR = r"(?i)(?:mail|contact|tel|phone|call|fax|mobile|card|visa|amex|iban|account|ip|host|server|address)\W*$"
 
-FEATURES = ("digits", "separators", "groups", "first", "before", "after", "near")
+FEATURES = ("digits", "groups", "last", "prior", "first", "before", "after", "near")
 MAX_DIGITS = 20
 
 
@@ -88,7 +90,7 @@ class Boosted:
 
 def _matches(text: str, pattern: str) -> str:
     """SQL for the matches in order: start and end as code points, the text, some of what stands before, and what
-    character comes after. ``split`` and ``regexp_extract_all`` find the same matches."""
+    two characters come after. ``split`` and ``regexp_extract_all`` find the same matches."""
     gaps, found = f"split({text}, r'{pattern}', -1)", f"regexp_extract_all({text}, r'{pattern}', 0)"
     return f"""aggregate(
       arrays_zip(slice({gaps}, 1, size({found})), {found}, slice({gaps}, 2, size({found}))),
@@ -98,7 +100,7 @@ def _matches(text: str, pattern: str) -> str:
         'at', a.at + char_length(x.`0`) + char_length(x.`1`),
         'out', array_append(a.out, named_struct(
           's', a.at + char_length(x.`0`), 'e', a.at + char_length(x.`0`) + char_length(x.`1`), 'm', x.`1`,
-          'before', right(x.`0`, 16), 'after', left(x.`2`, 1)))),
+          'before', right(x.`0`, 16), 'after', left(x.`2`, 2)))),
       a -> a.out)"""
 
 
@@ -125,22 +127,56 @@ def _base(kind: str) -> str:
                 x -> named_struct('s', x.s, 'k', {k}, 'e', x.e)) ELSE {_NONE} END"""
 
 
-def _class_of(text: str) -> str:
-    return f"""CASE WHEN {text} = '' THEN 0 WHEN {text} RLIKE r'\\s' THEN 1 WHEN {text} RLIKE '[0-9]' THEN 2
-      WHEN {text} RLIKE r'\\p{{L}}' THEN 3 WHEN {text} RLIKE r'[+(\\[]' THEN 4 ELSE 5 END"""
+#: The form of a candidate without what only the fixed pattern of its kind has. A phone number has no country code (what
+#: comes first after '+' or 00) and no 0 in front; separators are alike.
+_INTERNATIONAL = r"(x.before RLIKE r'[+][(]?$' OR x.m RLIKE '^00[1-9]')"
+_PHONE = r"regexp_replace(x.m, r'[\x20().-]+', '-')"
+FORM = {
+    "email": r"regexp_replace(regexp_replace(x.m, r'\x20?[(\[]at[)\]]\x20?', '@'), r'\x20?[(\[]dot[)\]]\x20?', '.')",
+    "ip": "replace(x.m, ',', '.')",
+    "card": r"regexp_replace(x.m, r'[\x20.-]+', '-')",
+    "phone": f"""ltrim('0-', CASE WHEN {_INTERNATIONAL} THEN regexp_replace({_PHONE}, '^(?:00)?[0-9]{{1,3}}-', '')
+      ELSE {_PHONE} END)""",
+}
+#: What shows that a candidate is not of its kind, whatever its form and context.
+AGAINST = {
+    "email": "false",
+    # a number above 255, or a part of a longer list
+    "ip": f"(NOT ({_VALID['ip'].replace('x.m', FORM['ip'])}) OR x.before RLIKE '[0-9][.,]$' OR x.after RLIKE '^[.,][0-9]')",
+    "card": f"NOT ({_VALID['card']})",
+    "phone": r"x.before RLIKE r'[0-9][\x20().-]{1,3}$'",  # the end of a longer number
+}
+
+
+def _features(kind: str) -> dict[str, str]:
+    """SQL by feature over ``y``: the ``parts`` of the form, and ``before`` and ``after`` the candidate."""
+    digits = "char_length(regexp_replace(array_join({}, ''), '[^0-9]', ''))"
+    length = "coalesce(least(char_length(try_element_at(y.parts, {})), 5), 0)"
+    digits = {"email": digits.format("slice(y.parts, -1, 1)"), "ip": f"least({digits.format('y.parts')}, 9)",
+              "card": digits.format("y.parts"), "phone": f"least({digits.format('y.parts')}, 10)"}[kind]
+    return {
+        # a mail address may have any digits but at its end; a number without separators may begin with a country code
+        "digits": f"least({digits}, {MAX_DIGITS})",
+        # a card number has no groups or groups of four and more; three threes in a row may be thousands
+        "groups": {"card": "int(exists(y.parts, p -> char_length(p) < 4))",
+                   "ip": "int(forall(slice(y.parts, 2, 3), p -> char_length(p) = 3))"}.get(kind, "least(size(y.parts), 3)"),
+        "last": "0" if kind in ("ip", "card") else length.format(-1),
+        "prior": length.format(-2) if kind == "phone" else "0",
+        "first": "int(left(y.parts[0], 1))" if kind == "card" else "0",
+        "before": r"int(regexp_replace(y.before, '[+(]+$', '') RLIKE r'[\p{L}0-9]$')",
+        "after": r"int(y.after RLIKE r'^[\p{L}0-9]')",
+        "near": f"int(y.before RLIKE r'{NEAR}')",
+    }
 
 
 def _loose(kind: str) -> str:
-    """Candidates of a kind with their features, all of them small whole numbers."""
-    return f"""CASE WHEN _text RLIKE r'{LOOSE_HINT[kind]}' THEN transform({_matches('_text', LOOSE[kind])}, x -> named_struct(
-      's', x.s, 'e', x.e, 'k', {KINDS.index(kind)},
-      'digits', least(char_length({_DIGITS}), {MAX_DIGITS}),
-      'separators', least(char_length(regexp_replace(x.m, r'[^\\x20.,()\\[\\]-]', '')), 9),
-      'groups', least(size(split(x.m, r'[^0-9A-Za-z]+')), 9),
-      'first', CASE WHEN left(x.m, 1) RLIKE '[0-9]' THEN int(left(x.m, 1)) ELSE 10 END,
-      'before', {_class_of('right(x.before, 1)')}, 'after', {_class_of('x.after')},
-      'near', int(x.before RLIKE r'{NEAR}'))) ELSE
-      cast(array() as array<struct<s:int,e:int,k:int,{','.join(f'{f}:int' for f in FEATURES)}>>) END"""
+    """Candidates of a kind with their features, all of them small whole numbers, and whether something speaks against them."""
+    features = ", ".join(f"'{f}', {sql}" for f, sql in _features(kind).items())
+    return f"""CASE WHEN _text RLIKE r'{LOOSE_HINT[kind]}' THEN transform(transform({_matches('_text', LOOSE[kind])},
+      x -> named_struct('s', x.s, 'e', x.e, 'parts', split({FORM[kind]}, '[^0-9A-Za-z]+'), 'before', x.before,
+        'after', x.after, 'against', {AGAINST[kind]})),
+      y -> named_struct('s', y.s, 'e', y.e, 'k', {KINDS.index(kind)}, 'against', y.against, {features})) ELSE
+      cast(array() as array<struct<s:int,e:int,k:int,against:boolean,{','.join(f'{f}:int' for f in FEATURES)}>>) END"""
 
 
 def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -152,8 +188,8 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def _grow(rows: list[tuple[dict[str, int], float, float]], depth: int, least: float) -> Split | float:
-    """A regression tree on (features, gradient, hessian) sums; splits need ``least`` hessian on both sides."""
+def _grow(rows: list[tuple[dict[str, int], float, float]], depth: int) -> Split | float:
+    """A regression tree on (features, gradient, hessian) sums. No split lets a word that speaks for the kind speak against it."""
     g, h = sum(r[1] for r in rows), sum(r[2] for r in rows)
     best = (1e-6, None, 0)
     for f in FEATURES if depth else ():
@@ -164,14 +200,14 @@ def _grow(rows: list[tuple[dict[str, int], float, float]], depth: int, least: fl
         gl = hl = 0.0
         for value in sorted(sums)[:-1]:
             gl, hl = gl + sums[value][0], hl + sums[value][1]
-            if hl >= least and h - hl >= least:
+            if f != "near" or gl / (hl + 1) <= (g - gl) / (h - hl + 1):
                 gain = gl * gl / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g * g / (h + 1)
                 best = max(best, (gain, f, value), key=lambda b: b[0])
     if best[1] is None:
         return g / (h + 1)
     yes = [r for r in rows if r[0][best[1]] <= best[2]]
     no = [r for r in rows if r[0][best[1]] > best[2]]
-    return Split(best[1], best[2], _grow(yes, depth - 1, least), _grow(no, depth - 1, least))
+    return Split(best[1], best[2], _grow(yes, depth - 1), _grow(no, depth - 1))
 
 
 def boost(rows: list[tuple[dict[str, int], int, int]], rounds: int, depth: int, rate: float) -> tuple[float, tuple[Split, ...]]:
@@ -187,7 +223,7 @@ def boost(rows: list[tuple[dict[str, int], int, int]], rounds: int, depth: int,
 
     for _ in range(rounds):
         p = [1 / (1 + math.exp(-s)) for s in scores]
-        tree = scaled(_grow([(x, pos - k * q, k * q * (1 - q)) for (x, pos, k), q in zip(rows, p, strict=True)], depth, 1.0))
+        tree = scaled(_grow([(x, pos - k * q, k * q * (1 - q)) for (x, pos, k), q in zip(rows, p, strict=True)], depth))
         if not isinstance(tree, Split):
             break
         trees.append(tree)
@@ -196,41 +232,52 @@ def boost(rows: list[tuple[dict[str, int], int, int]], rounds: int, depth: int,
 
 
 def fit(found: DataFrame, rounds: int = 25, depth: int = 3, rate: float = 0.3, precision: float = 0.98,
-        least_confirmed: int = 20) -> Boosted:
+        recall: float = 0.95) -> Boosted:
     """Trees and thresholds from all candidates in ``found`` (from ``with_candidates``).
 
     Candidates are counted per feature row, label and fold; the number of such rows is bounded by the features' values,
-    not by the data. A fifth of the documents, by a hash of the text, only sets thresholds: the lowest probability
-    from which at least ``precision`` of that fold's candidates are confirmed. Kinds with fewer than
-    ``least_confirmed`` confirmed candidates in either fold add nothing.
+    not by the data. A fifth of the documents, by a hash of the text, only sets thresholds: the probability that ``recall``
+    of that fold's confirmed candidates reach, or a higher one from which at least ``precision`` of the candidates that are
+    known are confirmed. Known are confirmed ones, and those that something speaks against: a check digit, a number
+    above 255, more digits around, a confirmed span of another kind. If a fold has no confirmed candidates of a kind, the other serves for
+    both; kinds without any add nothing.
     """
-    label = "exists(_base, b -> b.k = c.k AND b.s < c.e AND c.s < b.e)"
+    over = "b.s < c.e AND c.s < b.e"
     counts = (
         found.select(F.expr("pmod(xxhash64(_text), 5) = 0").alias("fold"), "_base", F.explode("_loose").alias("c"))
-        .select("fold", F.expr(label).cast("int").alias("label"), "c.k", *[f"c.{f}" for f in FEATURES])
-        .groupBy("fold", "k", *FEATURES).agg(F.sum("label").alias("positive"), F.count("*").alias("n")).collect()
+        .select("fold", F.expr(f"exists(_base, b -> b.k = c.k AND {over})").alias("label"),
+                F.expr(f"c.against OR exists(_base, b -> b.k <> c.k AND {over})").alias("against"), "c.k", *[f"c.{f}" for f in FEATURES])
+        .groupBy("fold", "k", *FEATURES)
+        .agg(F.count_if("label").alias("positive"), F.count_if(~F.col("label") & F.col("against")).alias("against"), F.count("*").alias("n"))
+        .collect()
     )
     bias, trees, threshold = {}, {}, {}
     for k, kind in enumerate(KINDS):
-        learn, check = (
+        folds = [
             sorted(
-                [({f: r[f] for f in FEATURES}, r["positive"], r["n"]) for r in counts if r["k"] == k and r["fold"] == fold],
+                [({f: r[f] for f in FEATURES}, r["positive"], r["n"], r["against"])
+                 for r in counts if r["k"] == k and r["fold"] == fold],
                 key=lambda r: tuple(r[0].values()),
             )
             for fold in (False, True)
-        )
-        if min(sum(r[1] for r in part) for part in (learn, check)) < least_confirmed:
+        ]
+        usable = [part for part in folds if any(r[1] for r in part)]
+        if not usable:
             continue
-        bias[kind], trees[kind] = boost(learn, rounds, depth, rate)
+        learn, check = usable[0], usable[-1]
+        bias[kind], trees[kind] = boost([r[:3] for r in learn], rounds, depth, rate)
         scored = sorted(
-            ((1 / (1 + math.exp(-bias[kind] - sum(t.value(x) for t in trees[kind]))), pos, n) for x, pos, n in check),
+            ((1 / (1 + math.exp(-bias[kind] - sum(t.value(x) for t in trees[kind]))), pos, no) for x, pos, _, no in check),
             reverse=True,
         )
-        sure, seen, threshold[kind] = 0, 0, 2.0
-        for i, (p, pos, n) in enumerate(scored):
-            sure, seen = sure + pos, seen + n
-            if sure >= precision * seen and (i + 1 == len(scored) or scored[i + 1][0] < p):
-                threshold[kind] = p
+        enough, sure, wrong, threshold[kind] = recall * sum(r[1] for r in check), 0, 0, 2.0
+        for i, (p, pos, no) in enumerate(scored):
+            sure, wrong = sure + pos, wrong + no
+            if i + 1 == len(scored) or scored[i + 1][0] < p:
+                if sure >= precision * (sure + wrong):
+                    threshold[kind] = p
+                if sure >= enough:
+                    break
     return Boosted(bias, trees, threshold)
 
 
@@ -238,13 +285,14 @@ def spans(found: DataFrame, model: Boosted) -> DataFrame:
     """``found`` with ``_spans``: the confirmed spans and the candidates that the model adds, by start, kind and end.
 
     Added spans overlap neither a confirmed span nor each other; of overlapping ones the likelier, then the longer
-    one stays.
+    one stays. Of candidates that something speaks against, only card numbers are added (a wrong digit).
     """
     parts = []
     for kind in model.trees:
         parts.append(
             f"""transform(filter(_loose, c -> c.k = {KINDS.index(kind)}
                 AND {model.probability(kind)} >= {model.threshold[kind] - 1e-12!r}D
+                AND NOT (c.against AND c.k <> {KINDS.index('card')})
                 AND NOT exists(_base, b -> b.s < c.e AND c.s < b.e)),
               c -> named_struct('p', -({model.probability(kind)}), 'l', c.s - c.e, 's', c.s, 'k', c.k, 'e', c.e))"""
         )

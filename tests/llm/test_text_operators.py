@@ -225,6 +225,38 @@ def test_trees_add_likely_spans_and_nothing_else(spark):
     assert all(set(filter(None, r["base"].split(","))) <= set(r["spans"].split(",")) for r in rows.values())
 
 
+def _loose_texts(often):
+    """Per kind a few confirmed spans, ``often`` times as many in looser forms, and numbers that are neither."""
+    rnd, texts = random.Random(8), []
+    card = lambda: next(c for c in iter(lambda: str(rnd.randrange(4 * 10**15, 5 * 10**15)), "") if _valid("card", c))
+    ip = lambda sep: sep.join([*(str(rnd.randrange(100, 256)) for _ in range(3)), str(rnd.randrange(10, 100))])
+    digits = lambda n: str(rnd.randrange(10 ** (n - 1), 10**n))
+    for _ in range(15):
+        c = card()
+        texts += [("base", t) for t in (f"+1 ({digits(3)}) 555-{digits(4)}", f"hein.{digits(2)}@mail{digits(1)}.example.com", c, ip("."))]
+    for _ in range(15 * often):
+        c = card()
+        texts += [("phone", f"{digits(3)}-555-{digits(4)}"), ("email", "jane (at) example (dot) org"),
+                  ("card", ".".join(c[i : i + 4] for i in range(0, 16, 4))), ("ip", ip(","))]
+        texts += [("", t) for t in (f"{digits(10)}", f"a{digits(11)}b", f"2024-0{digits(1)}-1{digits(1)} 1{digits(1)}", "1,999,300,777", "1,2,3,4,5,6")]
+    return texts
+
+
+@pytest.mark.parametrize("often", [1, 20])
+def test_frequent_loose_forms_are_found_and_other_numbers_are_not(spark, often):
+    texts = _loose_texts(often)
+    rows = enumerate(f"word nr{i % 7} is {t} and so on" for i, (_, t) in enumerate(texts))
+    got = {r["doc_id"]: (r["base"], r["spans"]) for r in pii.find(brute.frame(spark, list(rows))).collect()}
+    for i, (kind, t) in enumerate(texts):
+        base, spans = got[i]
+        assert bool(base) == (kind == "base"), t
+        if kind == "base":
+            assert spans == base, t
+        else:
+            start = len(f"word nr{i % 7} is ")
+            assert spans == (f"{kind}:{start}:{start + len(t)}" if kind else ""), t
+
+
 def test_toxicity_ranks_held_out_documents(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
     scored = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out").collect()
