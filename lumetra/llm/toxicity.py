@@ -74,8 +74,9 @@ def sample(docs: DataFrame, labels: DataFrame, max_positives: int, max_unlabelle
         F.col("doc_id").alias("_id"), F.lit(True).alias("_positive")
     )
     texts = id_and_text(docs).where(~held_out())
-    rate = min(1.0, max_unlabelled / max(1, texts.count()))
-    picked = F.pmod(order, F.lit(1_000_000)) < round(rate * 1_000_000)
+    least, every = -(2**63), 2**64
+    upto = least + max_unlabelled * every // max(1, texts.count())  # of a hash other than that of the positives
+    picked = F.xxhash64("doc_id", F.lit(seed + 1)) < F.lit(upto) if upto < least + every - 1 else F.lit(True)
     rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left").where(
         F.col("_positive").isNotNull() | picked
     ).select(F.col("_positive").isNotNull().alias("positive"), "text", picked.alias("picked"))

@@ -268,6 +268,12 @@ def test_toxicity_ranks_held_out_documents(spark, sf_dir):
     assert {r["predicted"] for r in none.collect()} == {0}
 
 
+def test_a_low_rate_still_samples_unlabelled_documents(spark):
+    docs = spark.range(20_000_000).selectExpr("id AS doc_id", "'x' AS text")
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    assert 1 <= toxicity.sample(docs, labels, 10, 6, 7)[0].count() <= 20
+
+
 def test_top_k_equals_sorting(spark):
     rnd = random.Random(6)
     rows = [(i, [rnd.gauss(0, 1) for _ in range(8)]) for i in range(400)] + [(i, [0.5] * 8) for i in range(400, 440)]
