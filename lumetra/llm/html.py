@@ -52,7 +52,7 @@ STOP_WORDS = frozenset(
 )
 
 SHORT, LONG = 70, 200  # characters
-FEW_STOPS, MANY_STOPS, MANY_LINKS = 0.20, 0.30, 0.5  # shares
+FEW_STOPS, MANY_STOPS, SOME_LINKS, MANY_LINKS = 0.20, 0.30, 0.2, 0.5  # shares
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -158,11 +158,12 @@ def blocks(page: str) -> list[Block]:
 def decide(found: list[Block]) -> list[bool]:
     """Which blocks are main text.
 
-    Pass one. Parts beside the main text and blocks made of links are not. Outside of an article, notices of copyright
-    are not either. Long blocks with many stop words are. What stands in an article or main element is never thrown out
-    for few stop words, it is only unclear; elsewhere such a block of some length is not main text.
+    Pass one. Parts beside the main text and blocks made of links are not. Outside of an article, short notices of
+    copyright are not either. Long blocks with many stop words are. Few stop words only make a block unclear, since it may
+    be a table, code or of another language; with some links too it is not main text, unless in an article or main element.
     Pass two. Unclear blocks are main text if the nearest decided block before or after them, in the same kind of place,
-    is; if there is none, they are if they stand in an article or main element.
+    is; if there is none, they are if they stand in an article or main element. On a page without any of these, unclear
+    blocks of some length count as decided main text.
     """
     verdict: list[bool | None] = []
     for b in found:
@@ -170,17 +171,20 @@ def decide(found: list[Block]) -> list[bool]:
         stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
         if b.side or b.linked > MANY_LINKS:
             verdict.append(False)
-        elif not b.main and ("©" in b.text or "all rights reserved" in b.text.lower()):
+        elif not b.main and len(b.text) < LONG and ("©" in b.text or "all rights reserved" in b.text.lower()):
             verdict.append(False)
         elif len(b.text) < SHORT:
             verdict.append(None)
         elif stops >= MANY_STOPS or b.main and stops >= FEW_STOPS and len(b.text) >= LONG:
             verdict.append(True)
-        elif b.main or stops >= FEW_STOPS:
+        elif b.main or stops >= FEW_STOPS or b.linked <= SOME_LINKS:
             verdict.append(None)
         else:
             verdict.append(False)
 
+    if not any(v or v is None and b.main for v, b in zip(verdict, found, strict=True)):
+        verdict = [True if v is None and len(b.text) >= SHORT else v for v, b in zip(verdict, found, strict=True)]
+
     def sweep(order: range) -> dict[int, bool]:
         seen: dict[int, bool] = {}
         last: dict[bool, bool] = {}

@@ -305,6 +305,20 @@ def test_main_text(spark):
     assert got[:2] == [(1, want, len(want))] * 2 and got[2:4] == [(2, "", 0), (3, "", 0)] and len(got) == 6
 
 
+POLISH = "Wczoraj rano mała dziewczynka poszła przez ciemny las, gdzie spotkała starego wilka, który czytał gazetę."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<nav><a href=x>Dom</a></nav><p>{POLISH}</p><div>{POLISH}</div><p>© Strona</p>", [POLISH, POLISH]),
+    (f"<p>{'The cat is on the mat and it was there for all of it. ' * 3}</p><pre>{'alpha = beta + gamma; ' * 6}</pre>", [0, 1]),
+    (f"<p>{'The cat is on the mat and it was there for all of it. ' * 4} © in the text</p>", [0]),
+    (f"<article><p>Text</p></article><p>{POLISH}</p>", ["Text"]),
+])
+def test_plain_blocks_with_few_known_words_are_kept(page, want):
+    texts = [b.text for b in html.blocks(page)]
+    assert html.main_text(page) == "\n\n".join(texts[x] if isinstance(x, int) else x for x in want)
+
+
 @pytest.mark.parametrize("run", [
     lambda d: neardups.classes(d), lambda d: substrings.digests(d), lambda d: lm.score(d), lambda d: bpe.digests(d, WORDS),
     lambda d: packing.pack_documents(d, RANKS, {}), lambda d: quality.ledger(d), lambda d: pii.find(d), lambda d: pii.redact(d),
