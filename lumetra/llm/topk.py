@@ -71,6 +71,29 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def _whole(column: pa.Array, width: int) -> np.ndarray:
+    """As ``_matrix``, in whole numbers."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    sizes = np.diff(ends)
+    out = np.zeros((len(sizes), width), np.int64)
+    out[np.arange(width)[None, :] < sizes[:, None]] = values[ends[0] : ends[-1]]
+    return out
+
+
+def exact_scores(vectors: np.ndarray, query: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whole scores of the rows of ``vectors``, of any size that a long holds; fails if that of one of ``others`` is beyond.
+
+    Sums may leave the longs on the way: they come back with the last term.
+    """
+    with np.errstate(over="ignore"):
+        scores = vectors @ query
+    near = np.abs(vectors.astype(float)) @ np.abs(query.astype(float)) >= 2.0**62
+    for row in np.flatnonzero(near & others):
+        if scores[row] != sum(a * b for a, b in zip(vectors[row].tolist(), query.tolist(), strict=True)):
+            raise ValueError("a score is beyond the longs")
+    return scores
+
+
 def _search(k: int):
     def run(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_id": [], "_query": [], "vec_id": [], "score": []}
@@ -82,7 +105,16 @@ def _search(k: int):
         width = max(int(np.diff(x.offsets.to_numpy()).max()) for x in columns)
         x, y = (_matrix(v, width) for v in columns)
         if width * (np.abs(x).max(initial=0) + 1) * (np.abs(y).max(initial=0) + 1) >= 2.0**53:
-            raise ValueError("components too large for exact scores")
+            x, y = (_whole(v, width) for v in columns)
+            ids = c.column("vec_id").to_numpy()
+            for own, number, query in zip(q.column("vec_id").to_numpy(), q.column("_query").to_numpy(), y, strict=True):
+                scores, rows = exact_scores(x, query, ids != own), np.flatnonzero(ids != own)
+                rows = rows[np.lexsort((ids[rows], ~scores[rows]))[:k]]  # ~ turns the order of all longs round
+                out["query_id"] += [own] * len(rows)
+                out["_query"] += [number] * len(rows)
+                out["vec_id"] += ids[rows].tolist()
+                out["score"] += scores[rows].tolist()
+            return pa.table(out, schema=schema)
         x = np.ascontiguousarray(x.T)
         ids, low, high = c.column("vec_id").to_numpy(), x.min(axis=1), x.max(axis=1)
         for own, number, query in zip(q.column("vec_id").to_numpy(), q.column("_query").to_numpy(), y, strict=True):
@@ -101,8 +133,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, per_shard: int =
 
     Both inputs have ``vec_id`` and ``v`` (whole numbers; the shorter of two vectors counts as filled with 0). A
     candidate with the query's own id takes no part. Equal scores go to the smaller id. Repeated candidates count each;
-    repeated queries are answered once. With fewer candidates all are given; empty tables give none. Scores must stay
-    below 2**53, else the job fails.
+    repeated queries are answered once. With fewer candidates all are given; empty tables give none. Groups whose
+    scores might reach 2**53 are scored in full in whole numbers; the job fails if a score is beyond the longs.
 
     Shards have about ``per_shard`` candidates by a hash of the id, blocks about ``per_block`` queries; each pair of a
     shard and a block is one group, and only its k best rows per query are merged.

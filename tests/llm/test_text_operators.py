@@ -274,6 +274,18 @@ def test_a_low_rate_still_samples_unlabelled_documents(spark):
     assert 1 <= toxicity.sample(docs, labels, 10, 6, 7)[0].count() <= 20
 
 
+def test_large_scores_are_exact(spark):
+    big = 2**31
+    rows = [(0, [big, big, 1]), (1, [big, -big, 5]), (2, [big, 1, 0]), (3, [big, 1, 1]), (4, [-big, -big, 0]), (5, [big, 1, 1])]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = topk.top_k(vectors, vectors.where("vec_id = 0"), k=5).collect()
+    scored = sorted((-sum(a * b for a, b in zip(rows[0][1], v, strict=True)), i) for i, v in rows[1:])
+    assert sorted(map(tuple, got)) == [(0, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    beyond = spark.createDataFrame([(0, [2**62, 1]), (1, [4, 0])], "vec_id long, v array<long>")
+    with pytest.raises(Exception, match="beyond the longs"):
+        topk.top_k(beyond, beyond.where("vec_id = 0")).collect()
+
+
 def test_top_k_equals_sorting(spark):
     rnd = random.Random(6)
     rows = [(i, [rnd.gauss(0, 1) for _ in range(8)]) for i in range(400)] + [(i, [0.5] * 8) for i in range(400, 440)]
