@@ -2,8 +2,8 @@
 
 Texts with the same shingle set are one class first. Of each class's set, the minima under ``BANDS * ROWS`` hash functions are taken.
 Bands of minima propose candidates; of the minima only the low ``BITS`` bits are kept, packed, and two packed signatures
-give an estimate of the similarity that is corrected for chance matches of the bits (Li and Koenig, 2010). What may reach
-the threshold by that estimate is confirmed on the full sets.
+give an estimate of the similarity that is corrected for chance matches of the bits (Li and Koenig, 2010). The estimate
+only says which pairs to look at first; every pair is decided on the full sets.
 
 A band's bucket can hold any share of all documents, so its pairs are never listed. Members are first compared with one
 centre, the member that shares most buckets; those that fail get a centre among themselves, a few times. Then components
@@ -27,7 +27,6 @@ from lumetra.llm.components import components
 from lumetra.llm.substrings import window_hashes
 
 BANDS, ROWS, BITS = 32, 4, 4  # at similarity 0.8 a pair shares no band once in 20 million
-SLACK = 0.15  # about four standard deviations of the estimate
 CENTRE_ROUNDS = 3
 BLOCK = 512
 MAX_BROADCAST_PAIRS = 200_000
@@ -125,21 +124,18 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``u``, ``v``) that reach the similarity, stored: by the estimate first, then on the full sets."""
+    """The pairs (``u``, ``v``) that reach the similarity on the full sets, stored."""
     pairs = kept(pairs, "pairs")
     sides = pairs.withColumn("doc", F.explode(F.array("u", "v")))
     if pairs.count() <= MAX_BROADCAST_PAIRS:
         sides = F.broadcast(sides)
-    both = sets.join(sides, "doc").groupBy("u", "v").agg(F.collect_list(F.struct("doc", "set", "signature")).alias("x"))
+    both = sets.select("doc", "set").join(sides, "doc").groupBy("u", "v").agg(F.collect_list(F.struct("doc", "set")).alias("x"))
 
     def of(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"u": [], "v": []}
         for u, v, found in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "x")), strict=True):
-            left, right = ([(np.frombuffer(f["signature"], np.uint64), np.frombuffer(f["set"], np.uint64))
-                            for f in found if f["doc"] == d] for d in (u, v))
-            if any(
-                estimate(s, t) >= percent / 100 - SLACK and _alike(a, b, percent) for s, a in left for t, b in right
-            ):
+            left, right = ([np.frombuffer(f["set"], np.uint64) for f in found if f["doc"] == d] for d in (u, v))
+            if any(_alike(a, b, percent) for a in left for b in right):
                 out["u"].append(u)
                 out["v"].append(v)
         return out
@@ -181,7 +177,7 @@ def _between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                             for c, kind in (("signature", np.uint64), ("bands", np.int64)))
         new = (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
         at = [0, *(np.flatnonzero(new) + 1), len(doc)]
-        least, out = percent / 100 - SLACK, []
+        sizes, out = np.array([len(x) for x in words]), []
         above: dict[int, int] = {}
 
         def top(c: int) -> int:
@@ -195,10 +191,9 @@ def _between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for x in range(a, b):
                 ys = np.arange(x + 1, b)
                 ys = ys[(component[ys] != component[x]) & ((i[a] == j[a]) | (own[ys] != own[x]))]
-                near = estimate(signature[x], signature[ys])
-                ys, near = ys[near >= least], near[near >= least]
-                first = ~(bands[ys, :band] == bands[x, :band]).any(axis=1)
-                found += zip(-near[first], [x] * int(first.sum()), ys[first].tolist(), strict=True)
+                ys = ys[100 * np.minimum(sizes[ys], sizes[x]) >= percent * np.maximum(sizes[ys], sizes[x])]
+                ys = ys[~(bands[ys, :band] == bands[x, :band]).any(axis=1)]
+                found += zip(-estimate(signature[x], signature[ys]), [x] * len(ys), ys.tolist(), strict=True)
             for _, x, y in sorted(found):
                 u, v = top(int(component[x])), top(int(component[y]))
                 if u != v and _alike(words[x], words[y], percent):

@@ -48,6 +48,15 @@ def test_a_group_that_drifts_is_one_component_and_blocks_do_not_matter(spark, mo
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_a_linked_pair_with_a_low_estimate_is_found(spark, monkeypatch, rounds):
+    monkeypatch.setattr(neardups, "CENTRE_ROUNDS", rounds)
+    words = [f"s22162w{i}" for i in range(103)]  # 80 of 100 shingles, estimate 0.63
+    rows = [(1, " ".join(words)), (2, " ".join(words[:83]))]
+    assert brute.components(rows, 4, 80) == {1: 1, 2: 1}
+    assert {r["component_id"] for r in neardups.classes(brute.frame(spark, rows), size=4).collect()} == {1}
+
+
 def test_bits_estimate_similarity():
     import numpy as np
 
