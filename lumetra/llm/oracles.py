@@ -83,4 +83,39 @@ rest AS (
 SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(rest.n, 0))::BIGINT AS n_removed,
   sha256(coalesce(rest.t, '')) AS kept_sha256
 FROM docs LEFT JOIN rest USING (doc_id)""",
+    "op11_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS s,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+),
+five AS (SELECT *, list_transform(range(8), lambda k: ('0x' || substr(s, 5 * k::INTEGER + 1, 5))::BIGINT) AS parts FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(flatten(list_transform(parts, lambda n: [n >> 15, (n >> 10) & 31, (n >> 5) & 31, n & 31])),
+    lambda d: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', d::INTEGER + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM five""",
+    "op13_hard_negatives": """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10""",
 }

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumetra.llm import bpe, html, lm, neardups, packing, pii, quality, substrings, topk, toxicity
+from lumetra.llm import align, bpe, html, lm, neardups, negatives, packing, pii, quality, substrings, topk, toxicity, warc
 from lumetra.llm.vocabularies import vocabulary
+from lumetra.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,3 +83,23 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = scratch_path(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), archive)
+    return warc.read(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = map(vocabulary, ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.align(_table(spark, sf_dir, "documents"), *files)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    rows = negatives.prepared(_table(spark, sf_dir, "embeddings"), label=label)
+    return negatives.mine(rows, rows.where("vec_id % 100 = 0"))
