@@ -16,8 +16,10 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 import tiktoken
@@ -37,50 +39,56 @@ BATCHES = ("batch long, docs array<long>, n_a array<long>, n_b array<long>, n_gr
 ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 GROUPS = "doc_id long, ends_a array<int>, ends_b array<int>, ids_a array<int>, ids_b array<int>"
 LONG_SPACE = 100_000
+FIRST_WIDTH = 16
+NONE = np.empty(0, np.int64)
+Runs = list[tuple[int, int, int]]
 
 
-def runs(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int]]:
+def runs(ends_a: np.ndarray, ends_b: np.ndarray) -> Runs:
     """(i, j, n): the groups of two ascending arrays of ends, in order; both arrays end alike. With n > 0 the tokens i to
-    i + n - 1 and j to j + n - 1 are one-to-one; with n = 0, i and j are the last tokens of an irregular group."""
-    i, j, n_a = 0, 0, len(ends_a)
+    i + n - 1 and j to j + n - 1 are one-to-one; with n = 0, i and j are the last tokens of an irregular group.
+
+    A window of ends is compared as one number: the lowest bit in which two windows differ lies in the first end that differs.
+    """
+    a, b = ends_a.astype("<u4"), ends_b.astype("<u4")  # a text is less than 2 GB
+    (raw_a, list_a), (raw_b, list_b) = (a.tobytes(), a.tolist()), (b.tobytes(), b.tolist())
+    number, i, j, n_a, out = int.from_bytes, 0, 0, len(a), []
     while i < n_a:
-        start, width = i, 1
-        while i < n_a and ends_a[i : i + width] == ends_b[j : j + width]:
+        start, width = i, FIRST_WIDTH
+        while True:
+            differ = number(raw_a[4 * i : 4 * (i + width)], "little") ^ number(raw_b[4 * j : 4 * (j + width)], "little")
+            if differ:
+                same = ((differ & -differ).bit_length() - 1) >> 5
+                i, j = i + same, j + same
+                break
             i, j, width = i + width, j + width, 2 * width
-        if i > n_a:  # the last window was cut off by the end
-            i, j = n_a, j - (i - n_a)
-        while width > 1:  # the first mismatch lies within the window that failed
-            width //= 2
-            if i + width <= n_a and ends_a[i : i + width] == ends_b[j : j + width]:
-                i, j = i + width, j + width
+            if i >= n_a:  # the last window was cut off by the end
+                i, j = n_a, j - (i - n_a)
+                break
         if i > start:
-            yield start, j - (i - start), i - start
+            out.append((start, j - (i - start), i - start))
         if i == n_a:
             break
-        a, b = ends_a[i], ends_b[j]
-        while a != b:
-            if a < b:
+        x, y = list_a[i], list_b[j]
+        while x != y:
+            if x < y:
                 i += 1
-                a = ends_a[i]
+                x = list_a[i]
             else:
                 j += 1
-                b = ends_b[j]
-        yield i, j, 0
+                y = list_b[j]
+        out.append((i, j, 0))
         i, j = i + 1, j + 1
+    return out
 
 
-def group_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
-    """The positions in both arrays of the ends that they share."""
-    at_a: list[int] = []
-    at_b: list[int] = []
-    for i, j, n in runs(ends_a, ends_b):
-        if n:
-            at_a.extend(range(i, i + n))
-            at_b.extend(range(j, j + n))
-        else:
-            at_a.append(i)
-            at_b.append(j)
-    return at_a, at_b
+def group_ends(found: list[Runs], starts_a: np.ndarray | int = 0, starts_b: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The positions of the last tokens of the groups in the arrays of several texts in a row, which start where told."""
+    sizes = list(map(len, found))
+    i, j, n = np.fromiter(chain.from_iterable(chain.from_iterable(found)), np.int64, 3 * sum(sizes)).reshape(-1, 3).T
+    i, j, n = i + np.repeat(starts_a, sizes), j + np.repeat(starts_b, sizes), np.maximum(n, 1)
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(i, n) + within, np.repeat(j, n) + within
 
 
 class Pair:
@@ -97,7 +105,9 @@ class Pair:
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.len_a, self.len_b = (np.array(list(map(len, t)), np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.names_a, self.names_b = (list(map(str, range(len(t)))) for t in (self.bytes_a, self.bytes_b))
+        # an id before another token of its side, and at the end of a group
+        self.said_a, self.said_b = (np.array([f"{i}{c}" for c in "," + end for i in range(len(t))], object)
+                                    for t, end in ((self.bytes_a, "|"), (self.bytes_b, ";")))
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -105,37 +115,45 @@ class Pair:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def ids_a(self, text: str) -> list[int]:
+    def ids_a(self, text: str) -> np.ndarray:
         """The ids of A. The rank library gives up on very long white space; the file's own library does not."""
         if len(text) > LONG_SPACE and max(map(len, re.findall(r"\s+", text)), default=0) > LONG_SPACE:
             if self.slow is None:
                 self.slow = Tokenizer.from_file(self.byte_file)
                 self.slow.encode_special_tokens = True
-            return self.slow.encode(text, add_special_tokens=False).ids
-        return self.a.encode_ordinary(text)
-
-    def __call__(self, text: str | None) -> tuple[list[int], list[int]]:
-        """The ids of A and of B; none if either spells other bytes than the text after a space."""
-        if not text:
-            return [], []
-        raw = (" " + text).encode()
-        a, b = self.ids_a(" " + text), self.b.encode(text)
-        same = b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
-        return (a, b) if same else ([], [])
-
-    def ends(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-        return self.len_a[a].cumsum().tolist(), self.len_b[b].cumsum().tolist()
-
-    def said(self, a: list[int], b: list[int], at_a: list[int], at_b: list[int]) -> str:
-        """The groups' ids, as ``a1,a2|b1;a3|b2,b3``."""
-        x, y = list(map(self.names_a.__getitem__, a)), list(map(self.names_b.__getitem__, b))
-        out, i, j = [], 0, 0
-        for m, n in zip(at_a, at_b, strict=True):
-            left = x[i] if m == i else ",".join(x[i : m + 1])
-            right = y[j] if n == j else ",".join(y[j : n + 1])
-            out.append(f"{left}|{right}")
-            i, j = m + 1, n + 1
-        return ";".join(out)
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.int64)
+        return np.array(self.a.encode_ordinary(text), np.int64)
+
+    def __call__(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text, the ids of A for a space and the text, and of B for the text; none if either spells other bytes
+        than these."""
+        of_b = iter(self.b.encode([t for t in texts if t], num_threads=1))
+        for text in texts:
+            if text:
+                raw = (" " + text).encode()
+                a, b = self.ids_a(" " + text), next(of_b)
+                # A cuts the bytes as they are: it could only leave some out
+                if self.len_a[a].sum() == len(raw) and b"".join(map(self.bytes_b.__getitem__, b)) == raw:
+                    yield a, np.array(b, np.int64)
+                    continue
+            yield NONE, NONE
+
+    def runs(self, a: np.ndarray, b: np.ndarray) -> Runs:
+        return runs(self.len_a[a].cumsum(), self.len_b[b].cumsum())
+
+    def said(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> list[str]:
+        """The strings of which ``a1,a2|b1;a3|b2,b3;`` is made, one by token: those of A before those of B in each group."""
+        last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        last_a[at_a], last_b[at_b] = True, True
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        out = np.empty(len(a) + len(b), object)
+        out[np.arange(len(a)) + np.concatenate([[0], at_b + 1])[group_a]] = self.said_a[a + len(self.bytes_a) * last_a]
+        out[np.arange(len(b)) + (at_a + 1)[group_b]] = self.said_b[b + len(self.bytes_b) * last_b]
+        return out.tolist()
+
+
+def _few(texts: list, size: int = 64) -> Iterator[list]:
+    return (texts[i : i + size] for i in range(0, len(texts), size))
 
 
 def groups(docs: DataFrame, ranks: str, byte_file: str, pieces: str) -> DataFrame:
@@ -149,16 +167,16 @@ def groups(docs: DataFrame, ranks: str, byte_file: str, pieces: str) -> DataFram
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(ranks, byte_file, pieces)
         for batch in rows:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                a, b = pair(text)
-                columns = [[doc], *[[c] for c in group_ends(*pair.ends(a, b))], [a], [b]]
+            docs_, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for doc, (a, b) in zip(docs_, chain.from_iterable(map(pair, _few(texts))), strict=True):
+                columns = [[doc], *[[c] for c in (*group_ends([pair.runs(a, b)]), a, b)]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return id_and_text(docs).mapInArrow(run, GROUPS)
 
 
-def _batches(docs: DataFrame, ranks: str, byte_file: str, pieces: str, links_per_batch: int) -> DataFrame:
-    """Documents of a partition in batches of about ``links_per_batch`` links, stored. ``links`` are positions in the batch's
+def _batches(docs: DataFrame, ranks: str, byte_file: str, pieces: str, tokens_per_batch: int) -> DataFrame:
+    """Documents of a partition in batches of about ``tokens_per_batch`` tokens of A, stored. ``links`` are positions in the batch's
     distinct ``pairs`` (A's id in the upper, B's in the lower half), ``sizes`` the number of links by document."""
     names = [c.split()[0] for c in BATCHES.split(", ")]
     kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
@@ -167,29 +185,36 @@ def _batches(docs: DataFrame, ranks: str, byte_file: str, pieces: str, links_per
 
     def start(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, part, made = Pair(ranks, byte_file, pieces), TaskContext.get().partitionId(), 0
-        docs_, held, parts, links = [], [], [], 0
+        docs_, ids_a, ids_b, found, sizes, n_a = [], [NONE], [NONE], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            all_ = np.concatenate(parts)
-            pairs, which, counts = np.unique(all_, return_inverse=True, return_counts=True)
-            columns = [[part << 34 | made], [docs_], *[[c] for c in zip(*held, strict=True)], [[len(p) for p in parts]], [pairs.tobytes()],
-                       [pack(counts)], [pack(which)], [len(pairs)]]
+            a, b = np.concatenate(ids_a), np.concatenate(ids_b)
+            of_a, of_b = ([len(x) for x in ids[1:]] for ids in (ids_a, ids_b))
+            starts_a, starts_b = np.cumsum([0, *of_a]), np.cumsum([0, *of_b])
+            at_a, at_b = group_ends(found, starts_a[:-1], starts_b[:-1])
+            which, pairs = pd.factorize(a[at_a].astype(np.uint64) << np.uint64(32) | b[at_b].astype(np.uint64))
+            tokens, upto = pair.said(a, b, at_a, at_b), starts_a + starts_b
+            said = ["".join(tokens[x:y])[:-1] for x, y in zip(upto, upto[1:])]
+            hashes = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in said]
+            # only the last tokens of a group end together, so links are groups
+            columns = [[part << 34 | made], [docs_], [of_a], [of_b], [sizes], [hashes], [sizes], [pairs.astype(np.uint64).tobytes()],
+                       [pack(np.bincount(which, minlength=len(pairs)))], [pack(which)], [len(pairs)]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
         for batch in rows:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                a, b = pair(text)
-                at_a, at_b = group_ends(*pair.ends(a, b))
-                said = hashlib.sha256(pair.said(a, b, at_a, at_b).encode()).hexdigest() if a else ""
-                docs_.append(doc)
-                held.append((len(a), len(b), len(at_a), said))
-                # the tokens before a shared end are the only two that end there
-                parts.append(np.array(a, np.uint64)[at_a] << np.uint64(32) | np.array(b, np.uint64)[at_b])
-                links += len(at_a)
-                if links >= links_per_batch or len(docs_) >= 100_000:
-                    yield flush()
-                    made += 1
-                    docs_, held, parts, links = [], [], [], 0
+            for few in _few(list(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True))):
+                for (doc, _), (a, b) in zip(few, pair([text for _, text in few]), strict=True):
+                    mine = pair.runs(a, b)
+                    found.append(mine)
+                    sizes.append(sum(n or 1 for _, _, n in mine))
+                    docs_.append(doc)
+                    ids_a.append(a)
+                    ids_b.append(b)
+                    n_a += len(a)
+                    if n_a >= tokens_per_batch or len(docs_) >= 100_000:
+                        yield flush()
+                        made += 1
+                        docs_, ids_a, ids_b, found, sizes, n_a = [], [NONE], [NONE], [], [], 0
         if docs_:
             yield flush()
 
@@ -223,7 +248,7 @@ def _pair_counts(rows: DataFrame) -> DataFrame:
     return out
 
 
-def align(docs: DataFrame, ranks: str, byte_file: str, pieces: str, links_per_batch: int = 1_000_000,
+def align(docs: DataFrame, ranks: str, byte_file: str, pieces: str, tokens_per_batch: int = 1_000_000,
           pairs_per_bucket: int = 1_000_000, asks_per_group: int = 256) -> DataFrame:
     """Per document, what its two tokenizations share (``ALIGNED``).
 
@@ -233,7 +258,7 @@ def align(docs: DataFrame, ranks: str, byte_file: str, pieces: str, links_per_ba
     their B id, ties included. Null and empty texts, and those that a tokenizer spells in other bytes, have zeros and ''
     as ``groups_sha256``. Repeated rows are counted and kept each; an empty table gives no rows; other columns are not read.
     """
-    rows = _batches(docs, ranks, byte_file, pieces, links_per_batch)
+    rows = _batches(docs, ranks, byte_file, pieces, tokens_per_batch)
     counts = _pair_counts(rows)
     buckets = max(1, -(-counts.count() // pairs_per_bucket), rows.sparkSession.sparkContext.defaultParallelism)
     salts = max(1, -(-rows.count() // asks_per_group))

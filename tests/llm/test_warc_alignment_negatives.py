@@ -102,6 +102,7 @@ DOCS = [
     (1, None), (2, ""), (3, "hello world"), (3, "hello world"), (4, "The quick brown fox, aged 12345, ünïcödé 😀 jumps.\n\n\tover"),
     (5, " "), (6, "▁x"), (7, "<|endoftext|> <s> </s> <unk> <0x41>"), (None, "hello world again"), (8, "x" * 3000), (9, " " * 300_000 + "a"),
     (10, "internationalization " * 500), (11, "\x00　﻿"),
+    (12, " lead and  two\n next \n\tx \x1c y trail "), (13, "a ▁ b"), (14, "don't  it's\u00a0 we'll \u2028x\u0085 y"),
 ]
 
 
@@ -136,7 +137,7 @@ def aligned_plainly(rows):
     )
 
 
-@pytest.mark.parametrize("sizes", [{}, {"links_per_batch": 1, "pairs_per_bucket": 3, "asks_per_group": 2}])
+@pytest.mark.parametrize("sizes", [{}, {"tokens_per_batch": 1, "pairs_per_bucket": 3, "asks_per_group": 2}])
 def test_alignment_equals_the_plain_one(spark, sizes):
     docs = spark.createDataFrame([(*d, "x", 1) for d in DOCS], "doc_id long, text string, batch string, n_a int")
     got = align.align(docs, RANKS, BYTES, PIECES, **sizes)
@@ -160,13 +161,13 @@ def test_groups_cover_both_tokenizations(spark):
 def test_runs_find_all_shared_ends():
     rnd = random.Random(3)
     for _ in range(300):
-        n = rnd.randrange(1, 80)
+        n = rnd.randrange(1, 300)
         a, b = (sorted({*rnd.sample(range(1, n + 1), rnd.randrange(0, n)), n}) for _ in range(2))
         if rnd.random() < 0.5:
             b = sorted({*a, *b[:2], n})
-        at_a, at_b = align.group_ends(a, b)
+        at_a, at_b = align.group_ends([align.runs(np.array(a), np.array(b))])
         assert [a[i] for i in at_a] == [b[j] for j in at_b] == sorted(set(a) & set(b))
-    assert list(align.runs([], [])) == [] and list(align.runs([1, 2, 3], [1, 2, 3])) == [(0, 0, 3)]
+    assert align.runs(align.NONE, align.NONE) == [] and align.runs(np.array([1, 2, 3]), np.array([1, 2, 3])) == [(0, 0, 3)]
 
 
 # ---- hard negatives ----
