@@ -7,11 +7,13 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumetra.operators.skew import HOT_PAIRS, HOT_ROWS, found, hot_keys, split_join
+from lumetra.operators import placetree
+from lumetra.operators.skew import HOT_PAIRS, HOT_ROWS
 
 EARTH_KM = 6371.0088
 _MARGIN = 1 + 1e-9
 SMALL_PLACES = 50_000
+CROWDED = 64
 
 
 def haversine_km(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
@@ -34,9 +36,11 @@ def nearest_place(
     so that a point meets in its own cell all places that can be near enough. Places at one spot
     count once, by the smallest id.
 
-    Up to ``small_places`` places (nine entries each) are broadcast as one list per cell, and the
-    points are not shuffled at all. Beyond that the points are joined by cell, crowded cells
-    split by point.
+    Up to ``small_places`` places (nine entries each) of which no cell meets more than ``CROWDED``
+    are broadcast as one list per cell, and the points are not shuffled at all. Otherwise the
+    points go down a tree of places (``placetree``), where they meet a few places each at any
+    density; its nodes are broadcast up to ``small_places`` places, and joined by cell beyond that.
+    Points without coordinates have no place; repeated points are kept.
     """
     reach = max_km / EARTH_KM * _MARGIN
     band = math.degrees(reach)
@@ -69,12 +73,17 @@ def nearest_place(
         found_place = f"struct({km} AS km, {place}.place_id AS place_id, {place}.address AS address)"
         return f"CASE WHEN {km} <= {float(max_km)!r}D THEN {found_place} END"
 
-    if places.count() <= small_places:
+    small = places.count() <= small_places
+    if small:
         cells = entered.groupBy("_x", "_y").agg(F.collect_list(F.struct("_lon", "_lat", "_p")).alias("_near"))
-        best = f"array_min(transform(_near, e -> {near('e._lon', 'e._lat', 'e._p')})).address AS address"
-        return placed.join(F.broadcast(cells), ["_x", "_y"], "left").selectExpr("id", "lon", "lat", best)
-
-    hot = found(hot_keys(placed, entered, ["_x", "_y"], hot_rows, hot_pairs))
-    met = split_join(placed, entered, ["_x", "_y"], ["id"], hot, how="left")
-    best = F.expr(f"min({near('_lon', '_lat', '_p')}).address")
-    return met.groupBy("id", "lon", "lat").agg(best.alias("address"))
+        if (cells.agg(F.max(F.size("_near"))).first()[0] or 0) <= CROWDED:
+            best = f"array_min(transform(_near, e -> {near('e._lon', 'e._lat', 'e._p')})).address AS address"
+            return placed.join(F.broadcast(cells), ["_x", "_y"], "left").selectExpr("id", "lon", "lat", best)
+
+    tree = placetree.Tree(places, 2 * math.sin(min(reach, math.pi) / 2))
+    met = placetree.search(points.select("id", "lon", "lat"), tree, small, hot_rows, hot_pairs)
+    # a point met no place once, as often as it is repeated
+    best = met.groupBy("id", "lon", "lat").agg(
+        F.expr(f"min({near('_lon', '_lat', '_p')}).address").alias("address"), F.count_if(F.col("_p").isNull()).alias("_n")
+    )
+    return best.select("id", "lon", "lat", "address", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_n")).drop("_n")

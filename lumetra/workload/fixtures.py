@@ -112,3 +112,24 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(110.0) + (e % 1000) / F.lit(100.0)).alias("lon"),
         (F.lit(30.0) + (e % 200) / F.lit(100.0)).alias("lat"),
     )
+
+
+def town_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as a place, all within a town of some ten kilometres."""
+    k = F.col("c_custkey").cast("bigint")
+    return table(spark, sf_dir, "customer").select(
+        k.alias("place_id"),
+        (F.lit(117.2) + (k * 7919 % 10007) / F.lit(100000.0)).alias("lon"),
+        (F.lit(31.8) + (k * 104729 % 10009) / F.lit(100000.0)).alias("lat"),
+        F.col("c_name").alias("address"),
+    )
+
+
+def town_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a point in or around the town."""
+    e = F.col("event_id").cast("bigint")
+    return spread(table(spark, sf_dir, "events")).select(
+        e.alias("id"),
+        (F.lit(117.15) + (e * 31 % 20011) / F.lit(100000.0)).alias("lon"),
+        (F.lit(31.75) + (e * 17 % 20021) / F.lit(100000.0)).alias("lat"),
+    )

@@ -136,16 +136,28 @@ SELECT event_id, {_LABEL} AS label, CASE WHEN {_LABEL} IS NULL THEN 'unknown_mod
 ORACLES["sql_function_surface"] = f"""WITH {_CLEAN}, {_MODULES}
 SELECT event_id, time, {_param('city')} AS city, {_param('appname')} AS appname,
   {_interface(_PATH)} AS interface_type, {_LABEL} AS label FROM clean JOIN modules USING (event_id)"""
-ORACLES["reverse_geocode_nearest"] = f"""
-WITH places AS (SELECT n_nationkey AS place_id, 110.0::DOUBLE + n_nationkey * 0.4::DOUBLE AS lon,
-    30.0::DOUBLE + (n_nationkey % 5) * 0.4::DOUBLE AS lat, n_name AS address FROM nation),
-points AS (SELECT event_id AS id, 110.0::DOUBLE + (event_id % 1000) / 100.0::DOUBLE AS lon,
-    30.0::DOUBLE + (event_id % 200) / 100.0::DOUBLE AS lat FROM events),
+def _nearest(places: str, points: str, max_km: int) -> str:
+    return f"""
+WITH places AS ({places}), points AS ({points}),
 met AS (SELECT id, place_id, address, round(2 * {EARTH_KM} * asin(sqrt(least(1.0,
       pow(sin(radians(q.lat - p.lat) / 2), 2)
       + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2)))), 9) AS km
     FROM points p, places q)
-SELECT id, arg_min(address, (km, place_id)) FILTER (km <= 30) AS address FROM met GROUP BY id"""
+SELECT id, arg_min(address, (km, place_id)) FILTER (km <= {max_km}) AS address FROM met GROUP BY id"""
+
+
+ORACLES["reverse_geocode_nearest"] = _nearest(
+    """SELECT n_nationkey AS place_id, 110.0::DOUBLE + n_nationkey * 0.4::DOUBLE AS lon,
+    30.0::DOUBLE + (n_nationkey % 5) * 0.4::DOUBLE AS lat, n_name AS address FROM nation""",
+    """SELECT event_id AS id, 110.0::DOUBLE + (event_id % 1000) / 100.0::DOUBLE AS lon,
+    30.0::DOUBLE + (event_id % 200) / 100.0::DOUBLE AS lat FROM events""", 30,
+)
+ORACLES["reverse_geocode_town"] = _nearest(
+    """SELECT c_custkey::BIGINT AS place_id, 117.2::DOUBLE + (c_custkey::BIGINT * 7919 % 10007) / 100000.0::DOUBLE AS lon,
+    31.8::DOUBLE + (c_custkey::BIGINT * 104729 % 10009) / 100000.0::DOUBLE AS lat, c_name AS address FROM customer""",
+    """SELECT event_id::BIGINT AS id, 117.15::DOUBLE + (event_id::BIGINT * 31 % 20011) / 100000.0::DOUBLE AS lon,
+    31.75::DOUBLE + (event_id::BIGINT * 17 % 20021) / 100000.0::DOUBLE AS lat FROM events""", 5,
+)
 
 # ---- ratings ----
 

@@ -247,6 +247,12 @@ def reverse_geocode_nearest(spark, sf):
     return nearest_place(X.points(spark, sf), X.places(spark, sf), max_km=30.0).select("id", "address")
 
 
+@query
+def reverse_geocode_town(spark, sf):
+    """As many places as there are customers, all in one town."""
+    return nearest_place(X.town_points(spark, sf), X.town_places(spark, sf), max_km=5.0).select("id", "address")
+
+
 @query
 def sql_function_surface(spark, sf):
     register_sql_functions(spark)

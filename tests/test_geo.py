@@ -65,3 +65,22 @@ def test_no_points_or_no_places(spark):
     places = spark.range(2).selectExpr("id AS place_id", "1D AS lon", "1D AS lat", "'a' AS address")
     assert nearest_place(points.filter("id < 0"), places, 30).count() == 0
     assert [r["address"] for r in nearest_place(points, places.filter("place_id < 0"), 30).collect()] == [None, None]
+
+
+@pytest.mark.parametrize("options", [{}, {"small_places": 0}, {"small_places": 0, "hot_rows": 50}])
+@pytest.mark.parametrize("max_km", [0.2, 30, 3000])
+def test_places_at_city_density(spark, max_km, options):
+    """One dense town, a few villages, copies of spots, and points in the town, far off and on places."""
+    rng = random.Random(4)
+    town = [(116 + rng.gauss(0, 0.01), 40 + rng.gauss(0, 0.01)) for _ in range(900)]
+    places = town + [(116 + rng.uniform(-2, 2), 40 + rng.uniform(-2, 2)) for _ in range(60)] + town[:100]
+    points = [(116 + rng.gauss(0, 0.02), 40 + rng.gauss(0, 0.02)) for _ in range(150)]
+    points += [(116 + rng.uniform(-2, 2), 40 + rng.uniform(-2, 2)) for _ in range(100)] + town[:20] + [(0, 0), (-64, -40)]
+    check(spark, points, places, max_km, **options)
+
+
+def test_points_without_coordinates_and_repeated_points(spark):
+    points = spark.createDataFrame([(1, 1.0, 1.0), (1, 1.0, 1.0), (2, None, 1.0), (3, 9.0, 9.0)], "id int, lon double, lat double")
+    places = spark.range(200).selectExpr("id AS place_id", "1D + id / 1e5 AS lon", "1D AS lat", "concat('a', id) AS address")
+    got = sorted((r["id"], r["address"]) for r in nearest_place(points, places, 30).collect())
+    assert got == [(1, "a0"), (1, "a0"), (2, None), (3, None)] or [x[1] for x in got] == ["a0", "a0", None, None]
