@@ -23,3 +23,16 @@ def best_of_rows(score: np.ndarray, k: int) -> np.ndarray:
     above, ties = low > kth, low == kth
     room = k - above.sum(axis=1, keepdims=True)
     return finite & (above | (ties & (np.cumsum(ties, axis=1) <= room)))
+
+
+def about_best_of_rows(score: np.ndarray, k: int, near: float) -> np.ndarray:
+    """As ``best_of_rows``, and what is within ``near`` of the k-th best of a row; of equal scores the k leftmost."""
+    finite = np.isfinite(score)
+    columns = score.shape[1]
+    if k >= columns:
+        return finite
+    low = np.where(finite, score, -np.inf)
+    kth = np.partition(low, columns - k, axis=1)[:, columns - k, None]
+    close = np.where(np.isfinite(kth), kth - near, -np.inf)
+    ties, below = low == kth, (low < kth) & (low >= close)
+    return finite & ((low > kth) | (ties & (np.cumsum(ties, axis=1) <= k)) | (below & (np.cumsum(below, axis=1) <= k)))

@@ -47,8 +47,7 @@ def same(got, want):
         assert v is None or abs(got[k] - v) < 1e-9, k
 
 
-GRIDS = [None, S.Grid(1, 1), S.Grid(5, 1), S.Grid(4, 3), S.Grid(7, 6, 1),
-         S.Grid(5, 1, light=0), S.Grid(4, 3, light=0), S.Grid(4, 3, light=15), S.Grid(4, 1, 1, light=30), S.Grid(1, 1, 1, None)]
+GRIDS = [None, S.Grid(1, 1), S.Grid(7, 6), S.Grid(5, 1, 0), S.Grid(4, 3, 0), S.Grid(4, 3, 15), S.Grid(4, 1, 30), S.Grid(1, 1, None)]
 
 
 @pytest.mark.parametrize("grid", GRIDS)
@@ -68,14 +67,14 @@ def test_item_pearson_is_the_transposed(spark):
 def test_more_dimensions_than_one_chunk(monkeypatch):
     monkeypatch.setattr(S, "_CHUNK_DIMS", 4)
     ratings = sample(users=12, items=30)
-    left = pa.table({"cells": [[{"k": u, "d": i, "x": r} for (u, i), r in ratings.items()]]})
+    left = pa.table({"cells": [[{"k": u, "d": i, "x": int(r)} for (u, i), r in ratings.items()]]})
     a, b, sums = S._tile_sums(left, left.rename_columns(["r_cells"]))
     for i, u in enumerate(a):
         for j, v in enumerate(b):
             common = [k for k in range(30) if (u, k) in ratings and (v, k) in ratings]
             assert sums["n"][i, j] == len(common)
-            assert math.isclose(sums["sab"][i, j], sum(ratings[u, k] * ratings[v, k] for k in common), abs_tol=1e-9)
-            assert math.isclose(sums["sbb"][i, j], sum(ratings[v, k] ** 2 for k in common), abs_tol=1e-9)
+            assert sums["sab_low"][i, j] == sum(ratings[u, k] * ratings[v, k] for k in common) and sums["sab_high"][i, j] == 0
+            assert sums["sbb_low"][i, j] == sum(ratings[v, k] ** 2 for k in common)
 
 
 def test_one_common_item_or_no_variance_is_undefined(spark):
@@ -87,7 +86,7 @@ def test_one_common_item_or_no_variance_is_undefined(spark):
     assert (3, 5) not in got
 
 
-@pytest.mark.parametrize("grid", [S.Grid(1, 1), S.Grid(5, 1, 1), S.Grid(4, 3), S.Grid(5, 1, 1, 0), S.Grid(4, 3, 1, 0), S.Grid(4, 3, 1, 15)])
+@pytest.mark.parametrize("grid", [S.Grid(1, 1), S.Grid(4, 3), S.Grid(5, 1, 0), S.Grid(4, 3, 0), S.Grid(4, 3, 15)])
 @pytest.mark.parametrize("n", [1, 3, 100])
 def test_nearest(spark, grid, n):
     ratings = sample(seed=9)
@@ -102,7 +101,7 @@ def test_nearest(spark, grid, n):
         assert [b for _, b in sorted(got[u])] == [b for _, b in want]
 
 
-@pytest.mark.parametrize("grid", [S.Grid(3, 1), S.Grid(3, 4), S.Grid(3, 1, 1, 0), S.Grid(3, 4, 1, 0), S.Grid(3, 2, 1, 15)])
+@pytest.mark.parametrize("grid", [S.Grid(3, 1), S.Grid(3, 1, 0), S.Grid(3, 4, 0), S.Grid(3, 2, 15)])
 def test_nearest_among_others(spark, grid):
     full = sample(seed=5)
     reduced = {k: v for k, v in full.items() if k[0] % 2 == 0 and k[1] % 3}
@@ -147,27 +146,67 @@ def test_no_ratings(spark):
     assert S.nearest(none, 3, grid=S.Grid(2, 2)).count() == 0
 
 
-def test_scale_makes_ratings_whole(spark):
-    def scale(*values):
-        return S.tile_grid(frame(spark, {(1, i): v for i, v in enumerate(values)}), "user", "item").scale
-
-    assert [scale(1.0, 4.0), scale(0.5, 3.0), scale(0.1, 3.0), scale(50.01, 50.02), scale(0.0005)] == [1, 2, 10, 100, 10_000]
-    assert scale(1 / 3) == 0 and scale(0.1, math.pi) == 0
+@pytest.mark.parametrize("largest", [9, 10**5, S.LARGEST])
+def test_block_sums_are_exact(monkeypatch, largest):
+    """Products beyond what a double holds, of either sign, in several chunks of dimensions."""
+    monkeypatch.setattr(S, "_CHUNK_DIMS", 50)
+    rng = random.Random(largest)
+    sides = [{(k, d): rng.choice([largest, -largest, rng.randint(-largest, largest)]) for k in range(6) for d in range(130) if rng.random() < 0.9}
+             for _ in range(2)]
+    left, right = (pa.table({"cells": [[{"k": k, "d": d, "x": x} for (k, d), x in side.items()]]}) for side in sides)
+    a, b, sums = S._tile_sums(left, right.rename_columns(["r_cells"]))
+    for i, u in enumerate(a):
+        for j, v in enumerate(b):
+            pairs = [(sides[0][u, d], sides[1][v, d]) for d in range(130) if (u, d) in sides[0] and (v, d) in sides[1]]
+            total = lambda m: (int(sums[f"{m}_high"][i, j]) << 32) + int(sums[f"{m}_low"][i, j])  # noqa: E731, B023
+            assert (sums["n"][i, j], sums["sa"][i, j], sums["sb"][i, j]) == (len(pairs), sum(x for x, _ in pairs), sum(y for _, y in pairs))
+            assert total("saa") == sum(x * x for x, _ in pairs) and total("sbb") == sum(y * y for _, y in pairs)
+            assert total("sab") == sum(x * y for x, y in pairs)
 
 
-def test_close_ratings_tie_exactly_on_any_grid(spark):
-    """Two common ratings correlate perfectly, however close and large they are."""
+@pytest.mark.parametrize("odd", [0, 1])
+def test_close_ratings_tie_exactly_on_any_grid(spark, odd):
+    """Two common ratings correlate perfectly, however close and large they are; a rating with five decimals changes nothing."""
     rng = random.Random(8)
     ratings = {}
     for u in range(40):
         first = rng.randrange(90_000, 91_000)
         ratings[u, 0], ratings[u, 1] = first / 100, (first + rng.choice([1, 2, 30])) / 100
+    if odd:
+        ratings[99, 7] = 0.12345
     df = frame(spark, ratings)
-    plain = S.tile_grid(df, "user", "item")
-    assert plain.scale == 100
-    for grid in (plain, S.Grid(3, 1, 100), S.Grid(6, 2, 100), S.Grid(3, 1, 100, 0), S.Grid(6, 2, 100, 0)):
+    for grid in (None, S.Grid(3, 1), S.Grid(6, 2), S.Grid(3, 1, 0), S.Grid(6, 2, 0), S.Grid(6, 2, 1)):
         got = {}
         for r in S.nearest(df, 3, grid=grid).collect():
             assert r["sim"] == 1.0
             got.setdefault(r["user"], []).append(r["other"])
         assert sorted(got[30]) == [0, 1, 2] and sorted(got[1]) == [0, 2, 3]
+
+
+def test_a_million_co_ratings_are_exact(spark):
+    """Three keys with a million common dimensions, large ratings that differ in the last place only."""
+    n = 1_000_000
+    rows = spark.range(n).selectExpr("cast(id AS INT) AS item", "id % 7 AS r").selectExpr(
+        "item", "inline(array(struct(1 AS user, 3000 + r / 1e6D AS rating), struct(2 AS user, 3000 - r / 1e6D AS rating),"
+        " struct(3 AS user, 3000 + (r % 2) / 1e6D AS rating)))"
+    )
+    x = {1: 3_000_000_000, 2: 3_000_000_000, 3: 3_000_000_000}
+    per = [n // 7 + (1 if r < n % 7 else 0) for r in range(7)]
+    value = {1: lambda r: x[1] + r, 2: lambda r: x[2] - r, 3: lambda r: x[3] + r % 2}
+    want = {}
+    for a, b in ((1, 2), (1, 3), (2, 3)):
+        s = lambda f: sum(c * f(value[a](r), value[b](r)) for r, c in enumerate(per))  # noqa: E731, B023
+        want[a, b] = (n, s(lambda p, q: p), s(lambda p, q: q), s(lambda p, q: p * p), s(lambda p, q: q * q), s(lambda p, q: p * q))
+    for grid in (S.Grid(1, 1, None), S.Grid(1, 245, 0)):
+        got = {(r["a"], r["b"]): (r["n"], r["sa"], r["sb"], int(r["saa"]), int(r["sbb"]), int(r["sab"]))
+               for r in S.co_moments(rows, "user", "item", grid=grid).collect()}
+        assert got == want
+    sims = {(r["a"], r["b"]): r["sim"] for r in S.pearson(rows, "user", "item", S.Grid(1, 1, None)).collect()}
+    assert sims[1, 2] == -1.0
+
+
+def test_a_rating_beyond_the_declared_steps_is_an_error_and_fewer_places_help(spark):
+    ratings = frame(spark, {(1, 1): 9000.5, (2, 1): 1.0, (1, 2): 2.0, (2, 2): 3.0})
+    with pytest.raises(Exception, match="declare fewer places"):
+        S.user_pearson(ratings).collect()
+    assert S.pearson(ratings, "user", "item", places=2).first()["sim"] == -1.0
