@@ -15,7 +15,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumetra.operators.factors import best_items, best_partners, similar_items
+from lumetra.operators.factors import best_items, similar_items
 from lumetra.operators.ratings import error_metrics
 from lumetra.session import shared_dir
 
@@ -129,8 +129,9 @@ def _vectors(factors: DataFrame) -> DataFrame:
 
 
 def recommend_for_users(model: ALSModel, n: int) -> DataFrame:
-    """``(id, other, score)``: the n best items of each user, whatever the score; seen items stay in."""
-    return best_partners(_vectors(model.userFactors), _vectors(model.itemFactors), n)
+    """``(id, other, score)``: the model's own n best items of each user, whatever the score; seen items stay in."""
+    listed = model.recommendForAllUsers(n).select(F.col("user").cast("bigint").alias("id"), F.inline("recommendations"))
+    return listed.select("id", F.col("item").cast("bigint").alias("other"), F.col("rating").cast("double").alias("score"))
 
 
 def positive_lists(model: ALSModel, n: int = 10) -> DataFrame:

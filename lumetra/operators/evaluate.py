@@ -6,22 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumetra.operators import similarity as S
-from lumetra.operators.neighborhood import estimates, recommend
+from lumetra.operators.neighborhood import estimates_of, recommend
 from lumetra.operators.ratings import SPLIT_70_30, error_metrics, join_predictions, split_parts
 from lumetra.operators.topk import top_k
 from lumetra.session import stored
 
 
 def holdout_errors(ratings: DataFrame, n_neighbours: int = 2) -> DataFrame:
-    """One row ``(mae, rmse, n_scored)``: learn from 70 % of the pairs, estimate the others.
+    """One row ``(mae, rmse, n_scored)``: learn from 70 % of the pairs, estimate the others and nothing else.
 
     Pairs without an estimate are left out.
     """
     parts = split_parts(ratings, SPLIT_70_30)
-    train = parts.filter(F.col("part") == "train").drop("part")
+    train = stored(parts.filter(F.col("part") == "train").drop("part"), "train")
     test = parts.filter(F.col("part") == "test").drop("part")
     neighbours = stored(S.nearest(train, n_neighbours))
-    return error_metrics(join_predictions(estimates(neighbours, train), test))
+    return error_metrics(join_predictions(estimates_of(test, neighbours, train), test))
 
 
 def relevance_threshold(ratings: DataFrame) -> DataFrame:
@@ -49,9 +49,9 @@ def precision_recall(ratings: DataFrame, at: int = 4, n_neighbours: int = 4) ->
     """
     relevant = stored(relevant_items(ratings, at))
     judged = relevant.groupBy("user").agg(F.count(F.lit(1)).alias("n_relevant"))
-    reduced = ratings.join(judged.select("user"), "user", "left_semi").join(
+    reduced = stored(ratings.join(judged.select("user"), "user", "left_semi").join(
         relevant, ["user", "item"], "left_anti"
-    )
+    ), "reduced")
     neighbours = stored(S.nearest(reduced, n_neighbours, others=ratings))
     recommended = recommend(neighbours, ratings, at, seen=reduced)
     hits = recommended.join(relevant.withColumn("_hit", F.lit(1)), ["user", "item"], "left")

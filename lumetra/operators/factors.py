@@ -1,12 +1,19 @@
-"""Scores of factor vectors: best partners by dot product or cosine.
+"""Scores of factor vectors: best partners by dot product or cosine, without scoring all pairs.
 
-Vectors are cut into blocks; each pair of blocks is one group and one matrix product, of which
-only the k best of each row leave the group. Pairs are never written out, and no side is
-broadcast.
+Vectors are packed into blocks; a pair of blocks that may hold a hit is one group and one matrix product, of which only the
+k best of each row leave the group. Two bounds decide which pairs of a vector and a block need not meet:
+
+* Best items (``best_items``): no score exceeds the product of the norms. Items are banded by norm; users first meet the
+  longest items, and from then on only bands in which an item could still beat their k-th best.
+* Similar items (``similar_items``): items are grouped around pivots. Two unit vectors are no more than an angle apart only if
+  one lies within that angle of the other's group, whose width around its pivot is known.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,16 +21,25 @@ from pyspark.sql import functions as F
 
 from lumetra.operators.blocks import best_of_rows, block_count
 from lumetra.operators.topk import as_list, top_k
+from lumetra.session import stored
 
 LEFT_BLOCK = 8192
 RIGHT_BLOCK = 2048
+BAND_GROWTH = 2
+PIVOTS, PIVOT_SAMPLE = 64, 2048
 _CHUNK_ROWS = 1024
+_SLACK = 1e-9
+_BEST = "id bigint, other bigint, score double"
 
 
 def _dot(f: Column, g: Column) -> Column:
     return F.aggregate(F.zip_with(f, g, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def _plain(vectors: DataFrame, *more: str) -> DataFrame:
+    return vectors.select(F.col("id").cast("bigint").alias("id"), F.col("features").cast("array<double>").alias("features"), *more)
+
+
 def unit_vectors(vectors: DataFrame) -> DataFrame:
     """Vectors of length one. Zero vectors have no cosine and are left out."""
     f = F.col("features")
@@ -32,15 +48,16 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def _block_kernel(k: int, min_score: float | None, strict: bool, exclude_same: bool):
-    def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids, features = t.column(0).to_numpy(), t.column(1).combine_chunks().flatten()
-        return ids, features.to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+    def matrix(t: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+        cells = t.column(column).combine_chunks().flatten()
+        ids, features = cells.field("id").to_numpy(zero_copy_only=False), cells.field("features")
+        return ids, features.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
 
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         if left.num_rows and right.num_rows:
-            a, fa = matrix(left)
-            b, fb = matrix(right)
+            a, fa = matrix(left, "cells")
+            b, fb = matrix(right, "r_cells")
             by_id = np.argsort(b)
             b, fb = b[by_id], fb[by_id]
             for start in range(0, len(a), _CHUNK_ROWS):
@@ -58,11 +75,30 @@ def _block_kernel(k: int, min_score: float | None, strict: bool, exclude_same: b
     return kernel
 
 
+def _hashed(n: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+
+
+def _packed(vectors: DataFrame, *keys: str) -> DataFrame:
+    """One row per block. ``keys`` bound its size."""
+    return vectors.groupBy(*keys).agg(F.collect_list(F.struct("id", "features")).alias("cells"))
+
+
+def _every(n: int | Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), (F.lit(n) if isinstance(n, int) else n) - 1))
+
+
+def _meet(left: DataFrame, right: DataFrame, kernel) -> DataFrame:
+    """``kernel`` of the packed blocks (``lb``, ``rb``, ``cells``) with the same numbers."""
+    named = right.select(F.col("lb").alias("r_lb"), F.col("rb").alias("r_rb"), F.col("cells").alias("r_cells"))
+    return left.select("lb", "rb", "cells").groupBy("lb", "rb").cogroup(named.groupBy("r_lb", "r_rb")).applyInArrow(kernel, _BEST)
+
+
 def best_partners(
     left: DataFrame, right: DataFrame, k: int, min_score: float | None = None, strict: bool = False,
     exclude_same: bool = False, blocks: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """``(id, other, score)``: the k right vectors of highest dot product for each left vector.
+    """``(id, other, score)``: the k right vectors of highest dot product for each left vector, by scoring all pairs.
 
     Scores are rounded to 12 places and ties go to the smaller id. Inputs are ``(id, features)``.
     """
@@ -72,37 +108,175 @@ def best_partners(
             block_count(left.count(), LEFT_BLOCK, 128, parallelism),
             block_count(right.count(), RIGHT_BLOCK, 128, parallelism),
         )
+    lt = _packed(_plain(left, _hashed(blocks[0]).alias("lb")), "lb").withColumn("rb", _every(blocks[1]))
+    rt = _packed(_plain(right, _hashed(blocks[1]).alias("rb")), "rb").withColumn("lb", _every(blocks[0]))
+    partial = _meet(lt, rt, _block_kernel(k, min_score, strict, exclude_same))
+    return partial if blocks[1] == 1 else _top(partial, k)
 
-    def block(n: int) -> Column:
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
 
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+def _top(scored: DataFrame, k: int) -> DataFrame:
+    return top_k(scored, ["id"], [F.desc("score"), F.asc("other")], k)
 
-    columns = [F.col("id").cast("bigint").alias("id"), F.col("features").cast("array<double>").alias("features")]
-    lt = left.select(*columns).withColumn("lb", block(blocks[0])).withColumn("rb", every(blocks[1]))
-    rt = (
-        right.select(*columns).withColumn("rb", block(blocks[1])).withColumn("lb", every(blocks[0]))
-        .toDF("r_id", "r_features", "r_rb", "r_lb")
-    )
-    kernel = _block_kernel(k, min_score, strict, exclude_same)
-    partial = lt.groupBy("lb", "rb").cogroup(rt.groupBy("r_lb", "r_rb")).applyInArrow(
-        kernel, "id bigint, other bigint, score double"
+
+# ---- best items ----
+
+
+def norm_bands(items: DataFrame, first: int = RIGHT_BLOCK) -> tuple[DataFrame, list[dict]]:
+    """Items with their band by norm, stored, and the bands: the longest ``first`` items, then twice as many each.
+
+    The borders are approximate quantiles; a band's largest norm and size are exact. There are about log2(items / first) bands.
+    """
+    normed = stored(_plain(items).withColumn("norm", F.sqrt(_dot(F.col("features"), F.col("features")))), "items")
+    n = normed.count()
+    shares, size = [], first
+    while size < n:
+        shares.append(1 - size / n)
+        size *= BAND_GROWTH
+    borders = normed.agg(F.percentile_approx("norm", F.array([F.lit(s) for s in shares]), 10_000)).first()[0] if shares else []
+    band = sum((F.when(F.col("norm") < b, 1).otherwise(0) for b in borders), F.lit(0)).cast("int")
+    banded = normed.withColumn("band", band)
+    rows = banded.groupBy("band").agg(F.max("norm").alias("longest"), F.count(F.lit(1)).alias("n")).orderBy("band").collect()
+    return banded, [r.asDict() | {"parts": max(1, math.ceil(r["n"] / RIGHT_BLOCK))} for r in rows]
+
+
+def best_items(users: DataFrame, items: DataFrame, k: int = 10, first: int = RIGHT_BLOCK) -> DataFrame:
+    """``(id, other, score)``: up to k items of positive score for each user; seen items stay in.
+
+    Users meet the band of the longest items, which gives each a k-th best score, and then those bands whose longest item
+    could reach it by the product of the norms. The lists are those of scoring all pairs.
+    """
+    return _top(_best_items(users, items, k, first)[0], k)
+
+
+def scored_pairs(users: DataFrame, items: DataFrame, k: int = 10, first: int = RIGHT_BLOCK) -> DataFrame:
+    """One row: ``n_pairs`` of users and items, and ``n_scored``, those that ``best_items`` scores."""
+    _, met, n_users, bands = _best_items(users, items, k, first)
+    n_items = sum(b["n"] for b in bands)
+    size = F.element_at(F.array([F.lit(b["n"]) for b in bands] or [F.lit(0)]), F.col("band") + 1)
+    return met.agg(F.lit(n_users * n_items).alias("n_pairs"), F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("n_scored"))
+
+
+def _best_items(users: DataFrame, items: DataFrame, k: int, first: int) -> tuple[DataFrame, DataFrame, int, list[dict]]:
+    """Candidates for the lists, which user met which band (numbered from 0), the number of users, the bands."""
+    banded, bands = norm_bands(items, first)
+    numbers = {b["band"]: i for i, b in enumerate(bands)}
+    number = F.lit(-1)
+    for b, i in numbers.items():
+        number = F.when(F.col("band") == b, i).otherwise(number)
+    banded = banded.withColumn("band", number.cast("int"))
+    asking = stored(_plain(users).withColumn("norm", F.sqrt(_dot(F.col("features"), F.col("features")))), "users")
+    n_users = asking.count()
+    parallelism = users.sparkSession.sparkContext.defaultParallelism
+    blocks = block_count(n_users, LEFT_BLOCK, 128, parallelism)
+    kernel = _block_kernel(k, 0.0, True, False)
+    # parts of all bands are numbered in a row
+    starts = np.cumsum([0, *(b["parts"] for b in bands)]).tolist()
+    parts = F.array([F.lit(b["parts"]) for b in bands] or [F.lit(1)])
+    begin = F.array([F.lit(s) for s in starts])
+    rb = F.element_at(begin, F.col("band") + 1) + F.pmod(F.xxhash64("id"), F.element_at(parts, F.col("band") + 1)).cast("int")
+    right = _packed(banded.withColumn("rb", rb), "rb").withColumn("lb", _every(blocks))
+
+    def search(met: DataFrame) -> DataFrame:
+        """``met``: users (id, features) with a ``band`` to search."""
+        left = _packed(met.withColumn("lb", _hashed(blocks)), "lb", "band")
+        begins, n = F.element_at(begin, F.col("band") + 1), F.element_at(parts, F.col("band") + 1)
+        return _meet(left.withColumn("rb", F.explode(F.sequence(begins, begins + n - 1))), right, kernel)
+
+    met = asking.withColumn("band", F.lit(0))
+    if not bands:
+        return search(met), met.select("id", "band"), n_users, bands
+    found = stored(_top(search(met), k), "found")
+    if len(bands) == 1:
+        return found, met.select("id", "band"), n_users, bands
+    kth = found.groupBy("id").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k).select("id", "kth")
+    longest = F.array([F.lit(b["longest"]) for b in bands])
+    reach = F.col("norm") * (1 + _SLACK) * F.element_at(longest, F.col("band") + 1) + F.lit(_SLACK)
+    more = (
+        asking.join(kth, "id", "left").withColumn("band", F.explode(F.sequence(F.lit(1), F.lit(len(bands) - 1))))
+        .where((F.col("norm") > 0) & (reach >= F.coalesce("kth", F.lit(0.0)))).select("id", "features", "band")
     )
-    if blocks[1] == 1:
-        return partial
-    return top_k(partial, ["id"], [F.desc("score"), F.asc("other")], k)
+    all_met = met.select("id", "band").unionByName(more.select("id", "band"))
+    return found.unionByName(search(more)), all_met, n_users, bands
+
+
+# ---- similar items ----
 
 
-def similar_items(vectors: DataFrame, k: int = 10, min_similarity: float = 0.6) -> DataFrame:
+def pivots(unit: DataFrame, n: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> np.ndarray:
+    """Up to ``n`` directions out of at most ``sample`` vectors (those of smallest hash), each the farthest from those
+    before it. They decide how much is pruned, not what is found."""
+    rows = [r["features"] for r in unit.orderBy(F.xxhash64("id"), "id").limit(sample).select("features").collect()]
+    x = np.array(rows, np.float64).reshape(len(rows), -1)
+    chosen, nearest = ([0] if len(x) else []), np.full(len(x), -2.0)
+    while chosen and len(chosen) < min(n, len(x)):
+        nearest = np.maximum(nearest, x @ x[chosen[-1]])
+        far = int(np.argmin(nearest))
+        if nearest[far] > 1 - 1e-9:
+            break
+        chosen.append(far)
+    return x[chosen]
+
+
+def _grouped(unit: DataFrame, around: np.ndarray) -> DataFrame:
+    """Vectors with the pivot they are nearest to (``home``) and their angles to all pivots, stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            angles = np.arccos(np.clip(x @ around.T, -1, 1))
+            home = pa.array(angles.argmin(axis=1).astype(np.int32))
+            listed = pa.ListArray.from_arrays(np.arange(0, angles.size + 1, len(around), dtype=np.int32), angles.reshape(-1))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("features"), home, listed], names=["id", "features", "home", "angles"])
+
+    return stored(unit.mapInArrow(run, "id bigint, features array<double>, home int, angles array<double>"), "grouped")
+
+
+def _visits(unit: DataFrame, min_similarity: float, n_pivots: int) -> tuple[DataFrame, DataFrame, list[dict]]:
+    """Grouped vectors, each with every group (``visit``) that may hold one similar enough, and the groups."""
+    grouped = _grouped(unit, pivots(unit, n_pivots))
+    own = F.element_at("angles", F.col("home") + 1)
+    # at most one row per pivot
+    groups = [r.asDict() for r in grouped.groupBy("home").agg(F.max(own).alias("width"), F.count(F.lit(1)).alias("n")).orderBy("home").collect()]
+    apart = math.acos(max(-1.0, min(1.0, min_similarity))) + 1e-6
+    near = F.array([
+        F.when(F.element_at("angles", g["home"] + 1) <= g["width"] + apart, F.lit(i)) for i, g in enumerate(groups)
+    ] or [F.lit(None).cast("int")])
+    return grouped, grouped.withColumn("visit", F.explode(F.array_compact(near))), groups
+
+
+def similar_items(vectors: DataFrame, k: int = 10, min_similarity: float = 0.6, n_pivots: int = PIVOTS) -> DataFrame:
     """``(id, other, score)``: up to k items of cosine at least ``min_similarity`` for each item."""
-    unit = unit_vectors(vectors)
-    return best_partners(unit, unit, k, min_score=min_similarity, exclude_same=True)
+    unit = stored(_plain(unit_vectors(vectors)), "unit")
+    if not unit.take(1):
+        return unit.select("id", F.col("id").alias("other"), F.lit(0.0).alias("score"))
+    grouped, visits, groups = _visits(unit, min_similarity, n_pivots)
+    parts = [max(1, math.ceil(g["n"] / RIGHT_BLOCK)) for g in groups]
+    starts = np.cumsum([0, *parts]).tolist()
+    by_home = {g["home"]: i for i, g in enumerate(groups)}
+    number = F.element_at(F.array([F.lit(by_home.get(h, 0)) for h in range(max(by_home) + 1)]), F.col("home") + 1)
+
+    def part(c: Column) -> Column:
+        n, start = (F.element_at(F.array([F.lit(x) for x in xs]), c + 1) for xs in (parts, starts))
+        return start + F.pmod(F.xxhash64("id"), n).cast("int")
+
+    left = _packed(visits.withColumn("lb", part(number)), "lb", "visit")
+    first, n = (F.element_at(F.array([F.lit(x) for x in xs]), F.col("visit") + 1) for xs in (starts, parts))
+    left = left.withColumn("rb", F.explode(F.sequence(first, first + n - 1)))
+    # a block goes to the blocks of the groups that visit its own
+    wanted = stored(visits.select(part(number).alias("lb"), "visit").distinct(), "wanted")
+    right = _packed(grouped.select("id", "features", number.alias("visit"), part(number).alias("rb")), "visit", "rb").join(wanted, "visit")
+    return _top(_meet(left, right, _block_kernel(k, min_similarity, False, True)), k)
 
 
-def best_items(users: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
-    """``(id, other, score)``: up to k items of positive score for each user; seen items stay in."""
-    return best_partners(users, items, k, min_score=0.0, strict=True)
+def compared_pairs(vectors: DataFrame, min_similarity: float = 0.6, n_pivots: int = PIVOTS) -> DataFrame:
+    """One row: ``n_pairs`` of items, and ``n_scored``, those that ``similar_items`` scores (both in either order)."""
+    unit = stored(_plain(unit_vectors(vectors)), "unit")
+    _, visits, groups = _visits(unit, min_similarity, n_pivots)
+    size = F.element_at(F.array([F.lit(g["n"]) for g in groups] or [F.lit(0)]), F.col("visit") + 1)
+    total = sum(g["n"] for g in groups)
+    return visits.agg(F.lit(total * total).alias("n_pairs"), F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("n_scored"))
 
 
 def user_lists(best: DataFrame) -> DataFrame:

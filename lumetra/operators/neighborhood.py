@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumetra.operators.similarity import both_ways, moments_of, pearson_of
 from lumetra.operators.skew import HOT_PAIRS, HOT_ROWS, found, hot_keys, split_join
 from lumetra.operators.topk import top_k
+from lumetra.session import stored
 
 MIN_VOTES = 2
 
@@ -38,6 +40,17 @@ def estimates(
     return _votes(split_join(others, neighbours, ["other"], ["item"], hot), ratings)
 
 
+def estimates_of(
+    pairs: DataFrame, neighbours: DataFrame, ratings: DataFrame, hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS
+) -> DataFrame:
+    """As ``estimates``, of the given unique pairs ``(user, item)`` alone: each meets its user's neighbours, and these
+    their rating of the item."""
+    asked = pairs.select("user", "item")
+    hot = found(hot_keys(asked, neighbours, ["user"], hot_rows, hot_pairs))
+    met = split_join(asked, neighbours, ["user"], ["item"], hot)
+    return _votes(met.join(_others(ratings), ["other", "item"]), ratings)
+
+
 def recommend(
     neighbours: DataFrame, ratings: DataFrame, how_many: int, seen: DataFrame | None = None,
     for_users: Column | None = None,
@@ -54,18 +67,23 @@ def recommend(
 
 
 def recommended_because(
-    targets: DataFrame, ratings: DataFrame, item_pairs: DataFrame, how_many: int = 10,
+    targets: DataFrame, ratings: DataFrame, item_pairs: DataFrame | None = None, how_many: int = 10,
     hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """``(user, item, because, score)``: the user's own items that speak most for an item.
 
-    ``targets`` are unique pairs ``(user, item)``; ``item_pairs`` is ``(a, b, sim)`` in both orders.
+    ``targets`` are unique pairs ``(user, item)``; ``item_pairs`` is ``(a, b, sim)`` in both orders. Without them,
+    similarities are computed for the asked pairs of a target and an own item alone.
     """
     own = ratings.select("user", F.col("item").alias("because"), "rating")
     asked = targets.select("user", "item")
     hot_users = found(hot_keys(own, asked, ["user"], hot_rows, hot_pairs))
     candidates = split_join(own, asked, ["user"], ["because"], hot_users).filter(F.col("because") != F.col("item"))
 
+    if item_pairs is None:
+        pair = candidates.select(F.least("item", "because").alias("a"), F.greatest("item", "because").alias("b")).distinct()
+        item_pairs = stored(both_ways(pearson_of(moments_of(pair, ratings, "item", "user", hot_rows=hot_rows, hot_pairs=hot_pairs))), "similar")
+
     # A pair of items occurs at most once per target of its first item.
     sims = item_pairs.select(F.col("a").alias("item"), F.col("b").alias("because"), "sim")
     often = asked.groupBy("item").agg(F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).cast("int").alias("_parts"))

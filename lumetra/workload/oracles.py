@@ -218,10 +218,11 @@ scored AS (SELECT u.id AS uid, i.id AS product, round(list_inner_product(u.f, i.
   FROM v u, v i WHERE u.id % 2 = 0 AND i.id % 2 = 1),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY s DESC, product) AS n FROM scored WHERE s > 0)
 SELECT uid, product, round(s, 6) AS rating FROM ranked WHERE n <= 10"""
-ORACLES["item_cosine_topk"] = f"""WITH {_V},
+for _name, _least in (("item_cosine_topk", MIN_COSINE), ("item_similar_at_60", 0.6)):
+    ORACLES[_name] = f"""WITH {_V},
 scored AS (SELECT a.id AS mid, b.id AS product, round(list_cosine_similarity(a.f, b.f), 12) AS s
   FROM v a, v b WHERE a.id <> b.id),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY mid ORDER BY s DESC, product) AS n FROM scored WHERE s >= {MIN_COSINE})
+ranked AS (SELECT *, row_number() OVER (PARTITION BY mid ORDER BY s DESC, product) AS n FROM scored WHERE s >= {_least})
 SELECT mid, product, round(s, 6) AS rating FROM ranked WHERE n <= 10"""
 
 # ---- neighbourhoods ----

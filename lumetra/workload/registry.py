@@ -458,6 +458,13 @@ def item_cosine_topk(spark, sf):
     return _rounded(K.flatten_list(lists, "mid"), "rating")
 
 
+@query
+def item_similar_at_60(spark, sf):
+    """The similarity that the job asks for."""
+    lists = B.item_lists(B.similar_items(X.vectors(spark, sf), min_similarity=0.6))
+    return _rounded(K.flatten_list(lists, "mid"), "rating")
+
+
 @query
 def als_item_recs(spark, sf):
     _, model = _als(spark, sf)
@@ -519,8 +526,7 @@ def user_based_recommend(spark, sf):
 def recommended_because(spark, sf):
     ratings = _stored_ratings(spark, sf)
     targets = stored(_user_based(ratings).select("user", "item"))
-    sims = S.both_ways(S.item_pearson(ratings))
-    return _rounded(N.recommended_because(targets, ratings, sims), "score")
+    return _rounded(N.recommended_because(targets, ratings), "score")
 
 
 @query

@@ -84,10 +84,43 @@ def test_lists(spark):
 def test_plan_has_no_product_of_all_pairs(spark):
     v = vectors(spark, range(5), np.eye(5))
     plan = B.similar_items(v)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Broadcast" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_no_vectors(spark):
     none = vectors(spark, [1], [[1.0]]).filter("id > 1")
     assert B.best_items(none, vectors(spark, [2], [[1.0]])).count() == 0
     assert B.similar_items(none).count() == 0
+
+
+def test_long_items_first_gives_the_same_lists_with_fewer_products(spark):
+    """Norms that fall off, copies, zero vectors, and a user whom only short items suit."""
+    rng = np.random.default_rng(5)
+    users, items = rng.normal(size=(60, 4)), rng.normal(size=(400, 4)) * np.exp(-np.arange(400) / 60)[:, None]
+    users[7], items[50], items[60:80] = 0, 0, items[60]
+    users[9] = -np.sign(items[:20].sum(axis=0)) * 3
+    want = brute(range(60), users, range(400), items, 10, lambda i, j, s: s > 0)
+    u, v = vectors(spark, range(60), users), vectors(spark, range(400), items)
+    for first in (20, 100, 1000):
+        same(collected(B.best_items(u, v, 10, first)), want)
+    work = B.scored_pairs(u, v, 10, 20).first()
+    assert work["n_pairs"] == 24_000 and work["n_scored"] < 18_000
+    assert B.scored_pairs(u, v, 10, 1000).first()["n_scored"] == 24_000
+
+
+@pytest.mark.parametrize("least", [0.6, -0.5, 1.0])
+def test_groups_around_pivots_lose_no_pair(spark, least):
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(8, 6))[rng.integers(0, 8, 150)] + rng.normal(size=(150, 6)) * 0.2
+    m[100:120] = m[100]
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    want = brute(range(150), unit, range(150), unit, 10, lambda i, j, s: i != j and s >= least)
+    for n in (1, 8, 64):
+        same(collected(B.similar_items(vectors(spark, range(150), m), min_similarity=least, n_pivots=n)), want)
+
+
+def test_groups_apart_are_not_compared(spark):
+    rng = np.random.default_rng(7)
+    m = np.eye(8)[rng.integers(0, 8, 200)] + rng.normal(size=(200, 8)) * 0.02
+    work = B.compared_pairs(vectors(spark, range(200), m), 0.6).first()
+    assert work["n_pairs"] == 40_000 and work["n_scored"] < 10_000

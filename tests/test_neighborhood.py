@@ -88,7 +88,10 @@ def test_recommended_because(spark, limits):
     got = {}
     pairs = S.both_ways(S.item_pearson(df))
     wanted = spark.createDataFrame(targets, "user int, item int")
-    for r in N.recommended_because(wanted, df, pairs, 4, *limits).collect():
+    asked = N.recommended_because(wanted, df, None, 4, *limits).collect()
+    listed = N.recommended_because(wanted, df, pairs, 4, *limits).collect()
+    assert sorted(asked) == sorted(listed)
+    for r in listed:
         got.setdefault((r["user"], r["item"]), []).append((-round(r["score"], 9), r["because"]))
     for u, i in targets:
         own = [(-round((1 + sims[i, j]) * r, 9), j) for (v, j), r in ratings.items() if v == u and j != i and (i, j) in sims]
