@@ -36,16 +36,30 @@ class AlsParams:
 
 
 RATINGS_PER_BLOCK = 25_000
+RATINGS_PER_MESSAGE = 1_000
+MOST_PER_BLOCK = 20_000_000
 
 
 def factor_blocks(n_ratings: int, ratings_per_block: int = RATINGS_PER_BLOCK) -> int:
     """Blocks of users and of items. Factors start per block, so the number follows from the ratings alone and the
-    same data gives the same model on any machine. An iteration exchanges a message per pair of blocks: pass ``blocks``
-    to ``fit`` for larger ones where ratings are very many."""
-    return max(1, math.ceil(n_ratings / ratings_per_block))
+    same data gives the same model on any machine.
+
+    An iteration sends a message per pair of blocks, so small blocks are made only while messages stay below one per
+    ``RATINGS_PER_MESSAGE`` ratings; beyond that blocks grow with the root of the ratings, up to what a task can hold.
+    """
+    fine = math.ceil(n_ratings / ratings_per_block)
+    few_messages = math.ceil(math.sqrt(n_ratings / RATINGS_PER_MESSAGE))
+    return max(1, min(fine, few_messages), math.ceil(n_ratings / MOST_PER_BLOCK))
+
+
+def block_grid(ratings: DataFrame) -> tuple[int, int]:
+    """Blocks of users and of items: no more than there are of either, by mergeable sketches that any machine gets alike."""
+    row = ratings.agg(F.count(F.lit(1)), F.approx_count_distinct("user"), F.approx_count_distinct("item")).first()
+    blocks = factor_blocks(row[0])
+    return min(blocks, max(1, row[1])), min(blocks, max(1, row[2]))
 
 
-def fit(ratings: DataFrame, params: AlsParams, seed: int = SEED, blocks: int | None = None) -> ALSModel:
+def fit(ratings: DataFrame, params: AlsParams, seed: int = SEED, blocks: int | tuple[int, int] | None = None) -> ALSModel:
     """Explicit-feedback ALS on ``(user INT, item INT, rating)``, one row per pair.
 
     Unique pairs bound a popular item's or busy user's rows. Long lineages are cut in the
@@ -53,10 +67,10 @@ def fit(ratings: DataFrame, params: AlsParams, seed: int = SEED, blocks: int | N
     """
     spark = ratings.sparkSession
     shared_dir(spark)
-    n = blocks or factor_blocks(ratings.count())
+    users, items = (blocks, blocks) if isinstance(blocks, int) else blocks or block_grid(ratings)
     als = ALS(
-        rank=params.rank, maxIter=params.max_iter, regParam=params.reg, seed=seed, numUserBlocks=n,
-        numItemBlocks=n, userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=False,
+        rank=params.rank, maxIter=params.max_iter, regParam=params.reg, seed=seed, numUserBlocks=users,
+        numItemBlocks=items, userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=False,
         nonnegative=False, coldStartStrategy="drop", checkpointInterval=5,
     )
     return als.fit(ratings)
@@ -95,7 +109,7 @@ def grid_search(
 
     try:
         cores = spark.sparkContext.defaultParallelism
-        blocks = factor_blocks(inputs[0].count())
+        blocks = block_grid(inputs[0])
 
         kept: list[tuple[float, int, ALSModel]] = []  # only the best model so far
         one_at_a_time = Lock()
@@ -109,7 +123,7 @@ def grid_search(
                     kept[:] = [(score, i, model)]
             return score
 
-        with ThreadPool(parallelism or max(2, min(8, 2 * cores // blocks))) as pool:
+        with ThreadPool(parallelism or max(2, min(8, 2 * cores // max(blocks)))) as pool:
             scores = pool.map(inheritable_thread_target(spark)(run), list(enumerate(grid)), chunksize=1)
     finally:
         for df in inputs:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -40,9 +42,35 @@ class JdbcTarget:
         return {k: v for k, v in given.items() if v is not None}
 
 
-def read_jdbc(spark: SparkSession, target: JdbcTarget) -> DataFrame:
+def key_bounds(keys: DataFrame, key: str, parts: int) -> list:
+    """Up to ``parts - 1`` ascending borders that cut a sample of a table's keys into parts of about the same size."""
+    if parts < 2:
+        return []
+    shares = F.array([F.lit(i / parts) for i in range(1, parts)])
+    return sorted(set(keys.agg(F.percentile_approx(key, shares, 10 * parts)).first()[0] or []))
+
+
+def key_predicates(key: str, bounds: Sequence) -> list[str]:
+    """Conditions that together hold each row once, null keys with the smallest."""
+    if not bounds:
+        return []
+    first, *_, last = [bounds[0], *bounds]
+    between = [f"{key} >= {_text(a)} AND {key} < {_text(b)}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{key} < {_text(first)} OR {key} IS NULL", *between, f"{key} >= {_text(last)}"]
+
+
+def _text(value) -> str:
+    return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
+
+
+def read_jdbc(spark: SparkSession, target: JdbcTarget, key: str | None = None, bounds: Sequence = ()) -> DataFrame:
+    """A table: one query per part that ascending ``bounds`` cut the values of ``key`` into (``key_bounds`` gives such
+    from a sample, so that parts are alike however the keys lie), else one query and one partition."""
     properties = {k: v for k, v in target.properties().items() if k in ("user", "password", "driver")}
-    return spark.read.jdbc(target.url, target.table, properties=properties)
+    predicates = key_predicates(key, bounds) if key else []
+    if not predicates:
+        return spark.read.jdbc(target.url, target.table, properties=properties)
+    return spark.read.jdbc(target.url, target.table, predicates=predicates, properties=properties)
 
 
 def append_jdbc(df: DataFrame, target: JdbcTarget) -> None:

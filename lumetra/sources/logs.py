@@ -22,3 +22,13 @@ def append_orc(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.orc(path)
+
+
+def replace_days(df: DataFrame, path: str, day: str = "dt") -> None:
+    """Write whole days to an ORC folder with a subfolder per day, in place of what it holds of the same days.
+
+    A rerun adds nothing twice, and other days stay. Rows are dealt out by day, big days over several files of about the
+    same size, small days in one each (adaptive execution does this; without it a day is one file).
+    """
+    out = df.hint("rebalance", day)
+    out.write.mode("overwrite").partitionBy(day).option("partitionOverwriteMode", "dynamic").orc(path)

@@ -123,7 +123,8 @@ ORACLES["rec_job_lists"] = _LISTS
 
 @query
 def als_list_scores(spark, sf):
-    """Per user with a vector: how many listed scores differ from the product of the two vectors, or are not positive."""
+    """Per user with a vector: how many listed scores differ from the product of the two vectors or are not positive, and
+    whether the list is as long as positive products allow and leaves none out that is higher than its last."""
     parts = stored(Q._parts(spark, sf))
     model = A.fit(Q._part(parts, "train"), Q.JOB_ALS)
     listed = flatten_list(user_lists(A.positive_lists(model)), "uid")
@@ -132,20 +133,44 @@ def als_list_scores(spark, sf):
     product = F.aggregate(F.zip_with("_f", "_g", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
     wrong = (F.col("rating") <= 0) | (F.abs(F.col("rating") - product) > _TOLERANCE)
     counted = listed.join(users, "uid").join(items, "product").groupBy("uid").agg(
-        F.count_if(wrong).alias("n_wrong"), (F.count(F.lit(1)) <= 10).alias("short")
+        F.count_if(wrong).alias("n_wrong"), F.count(F.lit(1)).alias("n"), F.min("rating").alias("last")
     )
-    return users.select("uid").join(counted, "uid", "left").select(
-        "uid", F.coalesce("n_wrong", F.lit(0)).alias("n_wrong"), F.coalesce("short", F.lit(True)).alias("short")
+    return _complete(users.select("uid"), counted, _products(users, items, "uid", "product", product), "uid", 0.0)
+
+
+def _products(left, right, key: str, other: str, score):
+    """Every pair of a vector with another's item, and its score. Facts about the lists need them all; items are dealt in
+    blocks, not broadcast."""
+    blocks = 8
+    dealt = left.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    met = dealt.join(right.withColumn("_b", F.pmod(F.xxhash64(other), F.lit(blocks)).cast("int")), "_b")
+    return (met.where(F.col(key) != F.col(other)) if key == "id" else met).select(key, score.alias("score"))
+
+
+def _complete(keys, counted, products, key: str, least: float):
+    """``n_wrong``, and whether the list of each key has all that it should: by counts of the scores above the lowest that
+    may be listed, and above the last that is."""
+    bounds = keys.join(counted, key, "left")
+    met = products.join(bounds.select(key, "last"), key).groupBy(key).agg(
+        F.count_if(F.col("score") > least + _TOLERANCE).alias("must"), F.count_if(F.col("score") > least - _TOLERANCE).alias("may"),
+        F.count_if(F.col("score") > F.col("last") + _TOLERANCE).alias("above"),
+    )
+    n = F.coalesce("n", F.lit(0))
+    return bounds.join(met, key, "left").select(
+        key, F.coalesce("n_wrong", F.lit(0)).alias("n_wrong"),
+        (n.between(F.least(F.coalesce("must", F.lit(0)), F.lit(10)), F.least(F.coalesce("may", F.lit(0)), F.lit(10)))
+         & (F.coalesce("above", F.lit(0)) < F.greatest(n, F.lit(1)))).alias("complete"),
     )
 
 
 ORACLES["als_list_scores"] = f"""WITH {_P}
-SELECT DISTINCT "user" AS uid, 0::BIGINT AS n_wrong, true AS short FROM p WHERE part = 'train'"""
+SELECT DISTINCT "user" AS uid, 0::BIGINT AS n_wrong, true AS complete FROM p WHERE part = 'train'"""
 
 
 @query
 def als_similar_items(spark, sf):
-    """Per item with a vector: how many listed cosines differ from that of the two vectors, are too low, or its own."""
+    """Per item with a vector: how many listed cosines differ from that of the two vectors, are too low, or its own, and
+    whether the list holds as many as there are, and the highest."""
     parts = stored(Q._parts(spark, sf))
     model = A.fit(Q._part(parts, "train"), Q.JOB_ALS)
     listed = A.item_similarity(model)
@@ -158,16 +183,13 @@ def als_similar_items(spark, sf):
     cosine = dot("_f", "_g") / F.sqrt(dot("_f", "_f") * dot("_g", "_g"))
     wrong = (F.abs(F.col("score") - cosine) > _TOLERANCE) | (F.col("score") < 0.6) | (F.col("id") == F.col("other"))
     counted = listed.join(own, "id").join(others, "other").groupBy("id").agg(
-        F.count_if(wrong).alias("n_wrong"), (F.count(F.lit(1)) <= 10).alias("short")
-    )
-    return own.select("id").join(counted, "id", "left").select(
-        F.col("id").alias("mid"), F.coalesce("n_wrong", F.lit(0)).alias("n_wrong"),
-        F.coalesce("short", F.lit(True)).alias("short"),
+        F.count_if(wrong).alias("n_wrong"), F.count(F.lit(1)).alias("n"), F.min("score").alias("last")
     )
+    return _complete(own.select("id"), counted, _products(own, others, "id", "other", cosine), "id", 0.6).withColumnRenamed("id", "mid")
 
 
 ORACLES["als_similar_items"] = f"""WITH {_P}
-SELECT DISTINCT item AS mid, 0::BIGINT AS n_wrong, true AS short FROM p WHERE part = 'train'"""
+SELECT DISTINCT item AS mid, 0::BIGINT AS n_wrong, true AS complete FROM p WHERE part = 'train'"""
 
 
 @query

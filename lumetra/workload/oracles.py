@@ -95,6 +95,9 @@ JOIN (SELECT event_id AS id, request AS asked FROM raw) ON id = event_id JOIN pa
 WHERE interface_type IS NOT NULL"""
 ORACLES["log_time_format"] = f"WITH {_RAW} SELECT event_id, {_TIME} AS time FROM raw"
 ORACLES["log_clean"] = f"WITH {_CLEAN} SELECT * EXCLUDE (value) FROM clean"
+ORACLES["sink_orc_days"] = f"""WITH {_CLEAN}
+SELECT substr(time, 1, 10) AS dt, count(*) AS n_rows, count(DISTINCT event_id) AS n_events, sum(event_id)::BIGINT AS sum_ids
+FROM clean GROUP BY 1"""
 ORACLES["log_typed"] = f"""WITH {_CLEAN}
 SELECT event_id, try_cast(status AS BIGINT) AS status_code, try_cast(size AS BIGINT) AS size_bytes,
   time[1:13] AS event_hour FROM clean"""

@@ -24,7 +24,7 @@ from lumetra.plans.log_jobs import run_detail_job, run_page_job
 from lumetra.plans.recommend_job import flat_recommendations, run_recommendation_job
 from lumetra.schemas import LOG_CLEAN_COLUMNS, LOG_DETAIL_COLUMNS, LOG_RAW_COLUMNS
 from lumetra.session import scratch_path, stored
-from lumetra.sources.logs import append_orc, read_lines
+from lumetra.sources.logs import append_orc, read_lines, replace_days
 from lumetra.sources.ratings_file import read_ratings_file
 from lumetra.sources.tables import create_table, read_table, replace_table
 from lumetra.workload import fixtures as X
@@ -104,6 +104,17 @@ def sink_orc_append(spark, sf):
     return spark.read.orc(path)
 
 
+@query
+def sink_orc_days(spark, sf):
+    """The cleaned lines by day, written twice: the rerun replaces its days."""
+    path = scratch_path(spark, "days")
+    cleaned = L.good_rows(L.clean(_parsed(spark, sf))).select("event_id", *LOG_CLEAN_COLUMNS).withColumn("dt", F.substring("time", 1, 10))
+    replace_days(cleaned, path)
+    replace_days(cleaned, path)
+    days = spark.read.schema(cleaned.schema).orc(path)
+    return days.groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_events"), F.sum("event_id").alias("sum_ids"))
+
+
 @query
 def sink_table_create(spark, sf):
     name = _name("detail")

@@ -95,7 +95,14 @@ def test_grid_search(frame):
 def test_factor_blocks():
     assert A.factor_blocks(0) == 1
     assert A.factor_blocks(60_000) == 3
-    assert A.factor_blocks(10**9, 10**6) == 1000
+    for n in (10**9, 10**11, 10**12):
+        blocks = A.factor_blocks(n)
+        assert blocks**2 <= n / 100 and n / blocks <= A.MOST_PER_BLOCK
+
+
+def test_no_more_blocks_than_users_or_items(spark):
+    rows = spark.range(200_000).selectExpr("cast(id % 50000 AS INT) AS user", "cast(id % 3 AS INT) AS item", "1.0 AS rating")
+    assert A.block_grid(rows) == (8, 3)
 
 
 def test_default_grid_has_sixteen_fits():

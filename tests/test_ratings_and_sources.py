@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lumetra.operators import ratings as R
 from lumetra.session import scratch_path, shared_dir
 from lumetra.sources import jdbc
-from lumetra.sources.logs import read_lines
+from lumetra.sources.logs import read_lines, replace_days
 from lumetra.sources.ratings_file import read_ratings_file
 from lumetra.sources.tables import create_table, read_table, replace_table, table_columns
 
@@ -131,3 +131,28 @@ def test_jdbc_target_from_the_environment(monkeypatch):
     monkeypatch.setenv("LUMETRA_JDBC_USER", "u")
     target = jdbc.JdbcTarget.from_env("t")
     assert (target.url, target.user, target.password) == ("jdbc:x", "u", None)
+
+
+def test_jdbc_parts_hold_each_row_once(spark, monkeypatch):
+    keys = spark.createDataFrame([(k,) for k in [None, *[1] * 500, *range(2, 400)]], "k int")
+    bounds = jdbc.key_bounds(keys, "k", 6)
+    predicates = jdbc.key_predicates("k", bounds)
+    counts = [keys.where(p).count() for p in predicates]
+    assert sum(counts) == keys.count() and len(predicates) == len(bounds) + 1 and max(counts[1:]) < 2 * keys.count() / 6 + 500
+    assert jdbc.key_bounds(keys.where("false"), "k", 6) == [] == jdbc.key_bounds(keys, "k", 1)
+    assert jdbc.key_predicates("k", ["a'b"]) == ["k < 'a''b' OR k IS NULL", "k >= 'a''b'"]
+    asked = {}
+    monkeypatch.setattr(type(spark.read), "jdbc", lambda self, url, table, **options: asked.update(options) or (url, table))
+    assert jdbc.read_jdbc(spark, jdbc.JdbcTarget("jdbc:x", "t"), "k", bounds) == ("jdbc:x", "t") and asked["predicates"] == predicates
+    asked.clear()
+    jdbc.read_jdbc(spark, jdbc.JdbcTarget("jdbc:x", "t"))
+    assert "predicates" not in asked
+
+
+def test_replaced_days_are_balanced_and_not_doubled(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.range(1000).selectExpr("id", "CASE WHEN id < 900 THEN '2024-01-01' ELSE '2024-01-02' END AS dt")
+    replace_days(rows, path)
+    replace_days(rows.where("dt = '2024-01-02' AND id < 950"), path)
+    got = {str(r["dt"]): r["count"] for r in spark.read.orc(path).groupBy("dt").count().collect()}
+    assert got == {"2024-01-01": 900, "2024-01-02": 50}

@@ -103,3 +103,14 @@ def test_a_hot_key_is_spread_over_parts(spark):
     sizes = big.filter("g = 1").groupBy(F.pmod(F.xxhash64("id"), F.lit(10))).count().collect()
     assert len(sizes) == 10 and max(r["count"] for r in sizes) < 160
     assert joined.count() == 2000
+
+
+def test_many_hot_keys_are_joined_not_broadcast(spark):
+    big = spark.range(3000).selectExpr("id % 5 AS g", "id AS x")
+    small = spark.range(50).selectExpr("id % 7 AS g", "id AS y")
+    table = hot_keys(big, small, ["g"], 100, 10**9)
+    hot = found(table, most=2)
+    assert not hot.isLocal() and found(table).isLocal()
+    for how in ("inner", "left"):
+        got = split_join(big, small, ["g"], ["x"], hot, how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, big.join(small, ["g"], how).collect()))
