@@ -143,8 +143,10 @@ def best_items(users: DataFrame, items: DataFrame, k: int = 10, first: int = RIG
     """``(id, other, score)``: up to k items of positive score for each user; seen items stay in.
 
     Users meet the band of the longest items, which gives each a k-th best score, and then those bands whose longest item
-    could reach it by the product of the norms. The lists are those of scoring all pairs.
+    could reach it by the product of the norms. The lists are those of scoring all pairs, which is done if there is one band.
     """
+    if items.count() <= first:
+        return best_partners(users, items, k, min_score=0.0, strict=True)
     return _top(_best_items(users, items, k, first)[0], k)
 
 
@@ -246,9 +248,16 @@ def _visits(unit: DataFrame, min_similarity: float, n_pivots: int) -> tuple[Data
     return grouped, grouped.withColumn("visit", F.explode(F.array_compact(near))), groups
 
 
-def similar_items(vectors: DataFrame, k: int = 10, min_similarity: float = 0.6, n_pivots: int = PIVOTS) -> DataFrame:
-    """``(id, other, score)``: up to k items of cosine at least ``min_similarity`` for each item."""
-    unit = stored(_plain(unit_vectors(vectors)), "unit")
+def similar_items(vectors: DataFrame, k: int = 10, min_similarity: float = 0.6, n_pivots: int | None = None) -> DataFrame:
+    """``(id, other, score)``: up to k items of cosine at least ``min_similarity`` for each item.
+
+    There is a pivot for every ``RIGHT_BLOCK`` items, up to ``PIVOTS``; with one pivot all pairs are scored.
+    """
+    unit = _plain(unit_vectors(vectors))
+    n_pivots = n_pivots or min(PIVOTS, math.ceil(vectors.count() / RIGHT_BLOCK))
+    if n_pivots <= 1:
+        return best_partners(unit, unit, k, min_score=min_similarity, exclude_same=True)
+    unit = stored(unit, "unit")
     if not unit.take(1):
         return unit.select("id", F.col("id").alias("other"), F.lit(0.0).alias("score"))
     grouped, visits, groups = _visits(unit, min_similarity, n_pivots)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumetra.operators.similarity import both_ways, moments_of, pearson_of
+from lumetra.operators.similarity import both_ways, pearson_of_pairs
 from lumetra.operators.skew import HOT_PAIRS, HOT_ROWS, found, hot_keys, split_join
 from lumetra.operators.topk import top_k
 from lumetra.session import stored
@@ -82,7 +82,7 @@ def recommended_because(
 
     if item_pairs is None:
         pair = candidates.select(F.least("item", "because").alias("a"), F.greatest("item", "because").alias("b")).distinct()
-        item_pairs = stored(both_ways(pearson_of(moments_of(pair, ratings, "item", "user", hot_rows=hot_rows, hot_pairs=hot_pairs))), "similar")
+        item_pairs = stored(both_ways(pearson_of_pairs(pair, ratings, "item", "user", hot_rows=hot_rows, hot_pairs=hot_pairs)), "similar")
 
     # A pair of items occurs at most once per target of its first item.
     sims = item_pairs.select(F.col("a").alias("item"), F.col("b").alias("because"), "sim")

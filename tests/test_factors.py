@@ -54,7 +54,8 @@ def test_similar_items_with_copies_and_a_zero_vector(spark):
     for blocks in ((1, 1), (4, 4)):
         v = B.unit_vectors(vectors(spark, ids, m))
         same(collected(B.best_partners(v, v, 10, 0.6, exclude_same=True, blocks=blocks)), want)
-    same(collected(B.similar_items(vectors(spark, ids, m))), want)
+    for n in (None, 5):
+        same(collected(B.similar_items(vectors(spark, ids, m), n_pivots=n)), want)
 
 
 def test_filter_then_top_equals_top_then_filter(spark):

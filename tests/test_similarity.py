@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lumetra.operators import similarity as S
 from lumetra.operators.blocks import best_of_rows, block_count
@@ -47,7 +48,7 @@ def same(got, want):
         assert v is None or abs(got[k] - v) < 1e-9, k
 
 
-GRIDS = [None, S.Grid(1, 1), S.Grid(7, 6), S.Grid(5, 1, 0), S.Grid(4, 3, 0), S.Grid(4, 3, 15), S.Grid(4, 1, 30), S.Grid(1, 1, None)]
+GRIDS = [None, S.Grid(1, 1), S.Grid(7, 6), S.Grid(5, 1, 0), S.Grid(4, 3, 0, 10**6, True), S.Grid(4, 3, 15), S.Grid(4, 1, 30, 100, True), S.Grid(1, 1, None)]
 
 
 @pytest.mark.parametrize("grid", GRIDS)
@@ -175,7 +176,7 @@ def test_close_ratings_tie_exactly_on_any_grid(spark, odd):
     if odd:
         ratings[99, 7] = 0.12345
     df = frame(spark, ratings)
-    for grid in (None, S.Grid(3, 1), S.Grid(6, 2), S.Grid(3, 1, 0), S.Grid(6, 2, 0), S.Grid(6, 2, 1)):
+    for grid in (None, S.Grid(3, 1), S.Grid(3, 1, 0), S.Grid(6, 2, 0), S.Grid(6, 2, 0, 10, True), S.Grid(6, 2, 1)):
         got = {}
         for r in S.nearest(df, 3, grid=grid).collect():
             assert r["sim"] == 1.0
@@ -197,7 +198,7 @@ def test_a_million_co_ratings_are_exact(spark):
     for a, b in ((1, 2), (1, 3), (2, 3)):
         s = lambda f: sum(c * f(value[a](r), value[b](r)) for r, c in enumerate(per))  # noqa: E731, B023
         want[a, b] = (n, s(lambda p, q: p), s(lambda p, q: q), s(lambda p, q: p * p), s(lambda p, q: q * q), s(lambda p, q: p * q))
-    for grid in (S.Grid(1, 1, None), S.Grid(1, 245, 0)):
+    for grid in (None, S.Grid(1, 1, None), S.Grid(1, 245, 0)):
         got = {(r["a"], r["b"]): (r["n"], r["sa"], r["sb"], int(r["saa"]), int(r["sbb"]), int(r["sab"]))
                for r in S.co_moments(rows, "user", "item", grid=grid).collect()}
         assert got == want
@@ -210,3 +211,25 @@ def test_a_rating_beyond_the_declared_steps_is_an_error_and_fewer_places_help(sp
     with pytest.raises(Exception, match="declare fewer places"):
         S.user_pearson(ratings).collect()
     assert S.pearson(ratings, "user", "item", places=2).first()["sim"] == -1.0
+
+
+def test_plain_sums_and_halves_agree(spark):
+    """Whether sums are plain and ratings divided by a step changes no moment."""
+    df = frame(spark, {k: v / 4 for k, v in sample(seed=21).items()})
+    plain = S.tile_grid(df, "user", "item")
+    assert plain.plain and plain.step == 10**4
+    assert not S.tile_grid(df.withColumn("rating", df.rating * 1000 + 1e-6), "user", "item").plain
+    want = sorted(S.co_moments(df, "user", "item", grid=S.Grid(4, 3, 0)).collect())
+    for grid in (plain, plain._replace(light=0, dims=2, keys=3), plain._replace(light=20), S.Grid(2, 1, 0)):
+        assert sorted(S.co_moments(df, "user", "item", grid=grid).collect()) == want
+
+
+@pytest.mark.parametrize("share", [1, 20])
+def test_asked_pairs_alone(spark, share):
+    """Few asked pairs are looked up, many are picked; both are those of all pairs."""
+    ratings = sample(seed=22)
+    df = frame(spark, ratings)
+    pairs = S.user_pearson(df)
+    asked = pairs.where(F.col("a") % share == 0).select("a", "b")
+    got = sorted(S.pearson_of_pairs(asked, df, "user", "item", hot_rows=10, hot_pairs=100).collect(), key=lambda r: r[:2])
+    assert got == sorted(pairs.where(F.col("a") % share == 0).collect(), key=lambda r: r[:2])
