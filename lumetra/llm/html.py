@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ BLOCK_TAGS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search "
     "section select summary table tbody td tfoot th thead tr ul noscript".split()
 )
-RAW_TAGS = frozenset("script style title textarea template iframe svg math object video audio canvas".split())
+RAW_TAGS = frozenset("script style title textarea template iframe svg video audio canvas".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN_TAGS = frozenset(("article", "main"))
 SIDE_TAGS = frozenset("nav footer aside form button select dialog menu noscript search optgroup option head".split())
@@ -85,7 +86,9 @@ def blocks(page: str) -> list[Block]:
     or to the end of the page."""
     out: list[Block] = []
     parts: list[tuple[str, bool]] = []
-    open_: list[tuple[str, str]] = []  # open block tags with "main", "side", "reply" or ""
+    # open block tags, each with whether it stands in a part of replies, in a main part, and beside the main text of that
+    open_: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    n_open: Counter[str] = Counter()
     link = False
 
     def flush() -> None:
@@ -94,10 +97,8 @@ def blocks(page: str) -> list[Block]:
             text = " ".join("".join(t for t, _ in parts).split())
             if text:
                 inside = sum(len("".join(t.split())) for t, is_link in parts if is_link)
-                kinds = [kind for _, kind in open_]
-                last_main = max((i for i, kind in enumerate(kinds) if kind == "main"), default=-1)
-                side = "reply" in kinds or "side" in kinds[last_main + 1 :]
-                out.append(Block(text, inside / max(1, len(text.replace(" ", ""))), last_main >= 0, side))
+                _, reply, main, side = open_[-1]
+                out.append(Block(text, inside / max(1, len(text.replace(" ", ""))), main, reply or side))
             parts = []
 
     at, n = 0, len(page)
@@ -116,13 +117,14 @@ def blocks(page: str) -> list[Block]:
                 link = False
             if name in BLOCK_TAGS:
                 flush()
-                for i in range(len(open_) - 1, -1, -1):
-                    if open_[i][0] == name:
-                        del open_[i:]
+                while n_open[name]:
+                    last = open_.pop()[0]
+                    n_open[last] -= 1
+                    if last == name:
                         break
             continue
         if name in RAW_TAGS:
-            if not m["rest"].endswith("/"):
+            if name != "svg" or not m["rest"].endswith("/"):
                 end = re.compile(rf"</{name}(?![a-zA-Z0-9])[^>]*>?", re.IGNORECASE).search(page, at)
                 at = end.end() if end else n
             continue
@@ -140,7 +142,7 @@ def blocks(page: str) -> list[Block]:
                 kind = "reply"
             elif name in MAIN_TAGS or "main" in words and name in ("div", "section") and not words & SIDE_WORDS:
                 kind = "main"
-            elif name in SIDE_TAGS or name == "header" and not any(k == "main" for _, k in open_):
+            elif name in SIDE_TAGS or name == "header" and not open_[-1][2]:
                 kind = "side"
             elif name not in ("body", "html") and (
                 words & SIDE_WORDS and not words & MAIN_WORDS or m["rest"] and _HIDDEN.search(m["rest"])
@@ -148,9 +150,12 @@ def blocks(page: str) -> list[Block]:
                 kind = "side"
             else:
                 kind = ""
-            if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and open_ and open_[-1][0] == name:
+            if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and open_[-1][0] == name:
                 open_.pop()
-            open_.append((name, kind))
+                n_open[name] -= 1
+            _, reply, main, side = open_[-1]
+            open_.append((name, reply or kind == "reply", main or kind == "main", kind != "main" and (side or kind == "side")))
+            n_open[name] += 1
     flush()
     return out
 
@@ -158,19 +163,22 @@ def blocks(page: str) -> list[Block]:
 def decide(found: list[Block]) -> list[bool]:
     """Which blocks are main text.
 
-    Pass one. Parts beside the main text and blocks made of links are not. Outside of an article, short notices of
+    Pass one. Parts beside the main text are not, and blocks made of links are only where they stand in an article or main
+    element and their neighbours are. Outside of an article, short notices of
     copyright are not either. Long blocks with many stop words are. Few stop words only make a block unclear, since it may
     be a table, code or of another language; with some links too it is not main text, unless in an article or main element.
     Pass two. Unclear blocks are main text if the nearest decided block before or after them, in the same kind of place,
     is; if there is none, they are if they stand in an article or main element. On a page without any of these, unclear
-    blocks of some length count as decided main text.
+    blocks of some length count as decided main text, and all of them where none is of some length.
     """
     verdict: list[bool | None] = []
     for b in found:
         words = _WORD.findall(b.text.lower())
         stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-        if b.side or b.linked > MANY_LINKS:
+        if b.side or b.linked > MANY_LINKS and not b.main:
             verdict.append(False)
+        elif b.linked > MANY_LINKS:
+            verdict.append(None)
         elif not b.main and len(b.text) < LONG and ("©" in b.text or "all rights reserved" in b.text.lower()):
             verdict.append(False)
         elif len(b.text) < SHORT:
@@ -183,7 +191,8 @@ def decide(found: list[Block]) -> list[bool]:
             verdict.append(False)
 
     if not any(v or v is None and b.main for v, b in zip(verdict, found, strict=True)):
-        verdict = [True if v is None and len(b.text) >= SHORT else v for v, b in zip(verdict, found, strict=True)]
+        least = SHORT if any(v is None and len(b.text) >= SHORT for v, b in zip(verdict, found, strict=True)) else 0
+        verdict = [True if v is None and len(b.text) >= least else v for v, b in zip(verdict, found, strict=True)]
 
     def sweep(order: range) -> dict[int, bool]:
         seen: dict[int, bool] = {}
