@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,6 +36,25 @@ def byte_encoding(path: str, special: dict[str, int]) -> tiktoken.Encoding:
     return tiktoken.Encoding("bytes", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+#: Fixed value: white space by Unicode.
+WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LONG_WHITE = 100_000
+
+
+def encode(bpe: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a text. The pattern gives up on very long white space, which is a piece of its own but for its last
+    character, if more text follows; so it is encoded apart."""
+    if len(text) <= LONG_WHITE:
+        return bpe.encode_to_numpy(text, allowed_special="all")
+    out, at = [], 0
+    for m in re.finditer(WHITE + "{2,}+", text):
+        if len(m[0]) > LONG_WHITE:
+            end = m.end() - (m.end() < len(text))
+            out += [bpe.encode_to_numpy(text[at : m.start()], allowed_special="all"), bpe._encode_single_piece(text[m.start() : end])]
+            at = end
+    return np.concatenate([*out, bpe.encode_to_numpy(text[at:], allowed_special="all")]) if out else bpe.encode_to_numpy(text, allowed_special="all")
+
+
 def cut(docs: DataFrame, path: str, special: dict[str, int], end_id: int = 0, capacity: int = 2048) -> DataFrame:
     """The pieces of each document: its ids and then ``end_id``; only longer documents are cut, into pieces of
     ``capacity`` tokens of which the first may be shorter. ``ids_crc32`` is of the piece's ids as little-endian
@@ -49,7 +70,7 @@ def cut(docs: DataFrame, path: str, special: dict[str, int], end_id: int = 0, ca
         def of(batch: pa.RecordBatch) -> dict:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = bpe.encode_to_numpy(text or "", allowed_special="all").astype("<u4").tobytes() + end
+                ids = encode(bpe, text or "").astype("<u4").tobytes() + end
                 n = len(ids) // 4
                 at, upto, k = 0, (n - 1) % capacity + 1, 0
                 while at < n:
