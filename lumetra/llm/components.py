@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumetra.llm.asking import kept
+from lumetra.llm.asking import forget, kept
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -17,7 +17,8 @@ def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest id that links reach, for all nodes but those smallest ones.
 
     ``links`` has ``u`` and ``v``; loops, repeated links and nulls are ignored. Each round joins every node's neighbours
-    to the smallest among them; the number of rounds is about the logarithm of the longest chain.
+    to the smallest among them; the number of rounds is about the logarithm of the longest chain. Tables of a round go when
+    the next one's are stored; what is returned can be given to ``forget``.
     """
     edges = kept(
         links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"
@@ -29,6 +30,7 @@ def components(links: DataFrame) -> DataFrame:
         large = kept(
             both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct(), "large"
         )
+        before, first = edges, least
         least = _least(large)
         joined = large.join(least, "u")
         edges = kept(
@@ -36,7 +38,10 @@ def components(links: DataFrame) -> DataFrame:
                 joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             ).distinct(), "links",
         )
+        forget(before, first, large, least)
         now = edges.agg(F.count("*"), F.sum(F.col("v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            out = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            out.kept_in = edges.kept_in
+            return out
         state = now

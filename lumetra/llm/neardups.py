@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumetra.llm.asking import kept, mix
+from lumetra.llm.asking import forget, kept, mix
 from lumetra.llm.common import Memo, id_and_text, per_batch
 from lumetra.llm.components import components
 from lumetra.llm.substrings import window_hashes
@@ -141,7 +141,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return out
 
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-    return kept(both.mapInArrow(per_batch(of, schema), "u long, v long"), "confirmed")
+    confirmed = kept(both.mapInArrow(per_batch(of, schema), "u long, v long"), "confirmed")
+    forget(pairs)
+    return confirmed
 
 
 def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -202,7 +204,9 @@ def _between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pa.table({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
 
     columns = dealt.select("group", "key", "i", "j", "doc", "component", "own", "set", "signature", "bands")
-    return kept(columns.groupBy("group").applyInArrow(run, "u long, v long").distinct(), "between")
+    out = kept(columns.groupBy("group").applyInArrow(run, "u long, v long").distinct(), "between")
+    forget(sizes)
+    return out
 
 
 def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -219,15 +223,20 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     prints = ["n_shingles", "print1", "print2"]
     copies = kept(full.groupBy(*prints).agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
                   .drop("last"), "copies")
-    links = [full.join(copies, prints).where("doc > first").select(F.col("doc").alias("u"), F.col("first").alias("v"))]
+    same = full.join(copies, prints).where("doc > first").select(F.col("doc").alias("u"), F.col("first").alias("v"))
+    links = [kept(same, "same")]
     single = full.join(copies, prints, "left").where("first IS NULL OR doc = first")
     banded = single.select("doc", F.explode("bands").alias("key"))
     buckets = kept(banded.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n"))
                    .where("a < b").select("key", "n"), "buckets")
     shared = kept(banded.join(buckets, "key").distinct(), "shared")
+    sizes = kept(sketches.select("doc_id", "n_shingles"), "sizes")
+    forget(sketches, copies, buckets)  # every table goes with its last reader
     popular = kept(shared.groupBy("doc").agg(F.sum("n").alias("popularity")), "popular")
     members = kept(shared.join(popular, "doc").select("key", "doc", "popularity"), "members")
+    forget(shared)
     sets = _sets(docs, popular, size)
+    forget(popular)
 
     open_ = members
     for _ in range(CENTRE_ROUNDS):
@@ -238,15 +247,21 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         )
         confirmed = _confirmed(paired.select("u", "v").distinct(), sets, percent)
         links.append(confirmed)
+        before = open_
         open_ = kept(paired.join(confirmed, ["u", "v"], "left_anti").select("key", "doc", "popularity"), "open")
+        forget(centres, *([before] if before is not members else []))
 
     found = components(_union(links))
     labelled = kept(members.join(found, F.col("doc") == F.col("node"), "left").select(
         "key", "doc", F.coalesce("component", "doc").alias("component")), "labelled")
+    forget(*([members] if open_ is members else [members, open_]))
     more = _between(labelled, sets, percent)
+    forget(labelled, sets)
     if not more.isEmpty():
+        forget(found)
         found = components(_union([*links, more]))
-    return sketches.join(found, F.col("doc_id") == F.col("node"), "left").select(
+    forget(*links, more)
+    return sizes.join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.col("component").isNull() | (F.col("component") == F.col("doc_id")), F.lit(True)).alias("kept"),
     )
