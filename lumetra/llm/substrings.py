@@ -181,6 +181,9 @@ class _Paths:
         self.owners, self.starts, self.sizes = (unpack(row[c]).view(np.int64) for c in ("owners", "starts", "sizes"))
 
 
+FILTER_BITS = 1 << 26  # 8 MB
+
+
 def repeats(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Word spans to remove: ``_doc``, ``_mark`` (a hash of the text), ``_spans`` (start and end, end exclusive).
 
@@ -235,9 +238,20 @@ def repeats(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str
 
 
 def _with_spans(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with ``_spans``. Only texts that may have some are joined with them: a filter of ``FILTER_BITS`` bits by the
+    hash of id and text, which is broadcast and has the same size for any corpus, lets the others pass."""
     spans = repeats(docs, k, id_col, text_col)
-    same = (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(text_col) == F.col("_mark"))
-    return docs.join(spans, same, "left").drop("_doc", "_mark")
+    bit = F.pmod(F.xxhash64("_doc", "_mark"), F.lit(FILTER_BITS))
+    words = spans.select(bit.alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_bit & 63 AS INT))")).alias("_bits")
+    )
+    marked = docs.select("*", F.col(id_col).cast("long").alias("_doc"), F.xxhash64(text_col).alias("_mark")).withColumn("_bit", bit)
+    marked = marked.withColumn("_word", F.shiftright("_bit", 6)).join(F.broadcast(words), "_word", "left")
+    may = F.coalesce(F.expr("shiftright(_bits, cast(_bit & 63 AS INT)) & 1") == 1, F.lit(False)) & F.col("_doc").isNotNull()
+    columns = [*docs.columns, "_doc", "_mark"]
+    without = marked.where(~may).select(*docs.columns, F.lit(None).cast(spans.schema["_spans"].dataType).alias("_spans"))
+    joined = marked.where(may).select(*columns).join(spans, ["_doc", "_mark"], "left").select(*docs.columns, "_spans")
+    return without.unionByName(joined)
 
 
 def covered(n: int, spans: list) -> np.ndarray:

@@ -8,6 +8,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 
 import public_tokenizers
@@ -346,3 +347,41 @@ def test_plain_blocks_with_few_known_words_are_kept(page, want):
 ])
 def test_empty_tables(spark, run):
     assert run(brute.frame(spark).limit(0)).count() == 0
+
+
+# ---- long texts ----
+
+
+@pytest.mark.parametrize("text", [" " * 1_200_000 + "a", "x " + " \n" * 100_001 + "y<|endoftext|>", "a" + "\n" * 150_000, "\u3000" * 100_005 + " c"])
+def test_long_white_space_is_encoded_as_the_library_does(text):
+    encoding = packing.byte_encoding(RANKS, {"<|endoftext|>": 50256})
+    assert packing.encode(encoding, text).tolist() == Tokenizer.from_file(BYTES).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 100_000, "<div><p>x" * 50_000 + "</b></ul>" * 50_000, "<header>" * 50_000 + "y"])
+def test_deep_pages_take_seconds(page):
+    start = time.perf_counter()
+    html.main_text(page)
+    assert time.perf_counter() - start < 20
+
+
+def test_articles_stay_whole():
+    short = [f"Plain paragraph number {i} of forty letters" for i in range(20)]
+    assert html.main_text("<body>" + "".join(f"<p>{t}</p>" for t in short)) == "\n\n".join(short)
+    colours = " ".join(["gelb", "blau"] * 16)
+    assert html.main_text(f"<article><p>{colours}</p><ul><li><a href=x>a link</a></li></ul></article>") == f"{colours}\n\na link"
+    said = "Let <math><mi>x</mi></math> and <object>this</object> be some of the terms that are in the sum of all of these"
+    assert html.main_text(f"<article><p>{said}</p></article>") == re.sub("<[^>]*>", "", said)
+    assert "text" not in html.main_text("<p>" + "the of and is in to a " * 10 + "</p><iframe src=http://x/>text</iframe>")
+    assert html.main_text("") == "" == html.main_text("<nav><a href=x>menu</a></nav>")
+
+
+def test_empty_pages_table(spark):
+    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_spans_are_joined_with_texts_that_have_some(spark):
+    docs = brute.frame(spark)
+    plan = substrings._with_spans(docs.select("doc_id", "text"), 13, "doc_id", "text")
+    rows = plan.collect()
+    assert len(rows) == len(brute.TEXTS) and any(r["_spans"] for r in rows) and any(r["_spans"] is None for r in rows)
