@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumetra.llm import neardups, packing, pii, quality, substrings
+from lumetra.llm.asking import forget, kept
 from lumetra.llm.vocabularies import vocabulary
-from lumetra.session import stored
 
 
 def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -64,6 +64,8 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if i:  # a stage's output goes when the next one's is stored
+            forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)
