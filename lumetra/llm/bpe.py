@@ -12,6 +12,7 @@ import codecs
 import hashlib
 import json
 import struct
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -31,7 +32,12 @@ def byte_letters() -> list[str]:
 
 
 class Merges:
-    """The merge list of a tokenizer file, with what the transducer needs of it."""
+    """The merge list of a tokenizer file as tables of whole numbers, with what the transducer needs of it.
+
+    Tokens go by their ids. The states of a suffix-linked trie stand for the starts of tokens; each knows the tokens that
+    end there, longest first, inside a word (``inner``) and at its end (``last``). ``plain`` gives the tables as built-in
+    containers (their size is bounded by the file), ``of`` takes them back, so that they are built once and broadcast.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -41,59 +47,104 @@ class Merges:
         self.end: str = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.byte_level = (spec.get("decoder") or {}).get("type") == "ByteLevel"
-        rules = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.rank = {(a, b): r for r, (a, b) in enumerate(rules)}
-        self.parts = {a + b: (a, b) for a, b in rules}
-        self.made = {a + b: r for r, (a, b) in enumerate(rules)}
-        self.words = {t: i for t, i in self.ids.items() if self.reachable(t)}
-        self.lookahead = max(len(self.bare(t)) for t in self.words)
-        self.tails = self._tails(t for t in self.words if not self.end or not t.endswith(self.end))
-        self.last_tails = self._tails(t.removesuffix(self.end) for t in self.words if t.endswith(self.end))
-        self.pairs = Memo(lambda pair: self.holds(*pair), 500_000)
+        self.width = max(self.ids.values()) + 1
+        self.rank: dict[int, int] = {}
+        self.made, self.first, self.second = ([-1] * self.width for _ in range(3))
+        for r, rule in enumerate(model["merges"]):
+            a, b = rule if isinstance(rule, list) else rule.split(" ")
+            whole, a, b = self.ids[a + b], self.ids[a], self.ids[b]
+            self.rank[a * self.width + b] = r
+            self.made[whole], self.first[whole], self.second[whole] = r, a, b
+        words = [(t, i) for t, i in self.ids.items() if t not in self.special and self.reachable(i)]
+        self.lookahead = max(len(self.bare(t)) for t, _ in words)
+        self._trie(words)
+        self._start()
+
+    def _start(self) -> None:
+        self.pairs = Memo(lambda pair: self.holds(*divmod(pair, self.width)), 500_000)
+        self.steps = Memo(self._next, 500_000)
         self.letters = byte_letters()
 
-    @staticmethod
-    def _tails(tokens: Iterable[str]) -> dict[str, bool]:
-        """Every ending of a token, and whether it is a token itself."""
-        whole = set(tokens)
-        return {t[i:]: t[i:] in whole for t in whole for i in range(len(t))}
+    def plain(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k not in ("pairs", "steps", "letters")}
+
+    @classmethod
+    def of(cls, plain: dict) -> Merges:
+        self = cls.__new__(cls)
+        vars(self).update(plain)
+        self._start()
+        return self
+
+    def _trie(self, words: list[tuple[str, int]]) -> None:
+        """``step`` leads from state and letter to the next state, ``shorter`` to the state of the longest ending."""
+        step: dict[int, int] = {}
+        at, parent, letter = [{}, {}], [0], [0]
+        for t, i in words:
+            state = 0
+            for c in map(ord, self.bare(t)):
+                key = state << 9 | c
+                if key not in step:
+                    step[key] = len(parent)
+                    parent.append(state)
+                    letter.append(c)
+                state = step[key]
+            ends = bool(self.end) and t.endswith(self.end)
+            for kind in (0, 1) if not self.end else (int(ends),):
+                at[kind][state] = (len(self.bare(t)), i)
+        depth = [0] * len(parent)
+        for state in range(1, len(parent)):  # a state comes after its parent
+            depth[state] = depth[parent[state]] + 1
+        shorter = [0] * len(parent)
+        self.step, self.shorter = step, shorter
+        found: list[list[tuple]] = [[()] * len(parent) for _ in range(2)]
+        for state in sorted(range(1, len(parent)), key=depth.__getitem__):
+            if depth[state] > 1:
+                shorter[state] = self._next(shorter[parent[state]] << 9 | letter[state])
+            for kind in range(2):
+                own = (at[kind][state],) if state in at[kind] else ()
+                found[kind][state] = own + found[kind][shorter[state]]
+        self.inner, self.last = found
+
+    def _next(self, key: int) -> int:
+        """The state of the longest ending of state and letter that starts a token."""
+        state, c = key >> 9, key & 511
+        while state and state << 9 | c not in self.step:
+            state = self.shorter[state]
+        return self.step.get(state << 9 | c, 0)
 
     def bare(self, token: str) -> str:
         return token.removesuffix(self.end) if self.end else token
 
-    def spine(self, token: str, side: int, until: float) -> list[tuple[str, int, float]]:
-        """The parts of a token that touch its left (0) or right (1) end, with the ranks that make and use them."""
-        out = []
+    def holds(self, left: int, right: int, until: float = float("inf")) -> bool:
+        """Does the border between two tokens outlive all merges of a rank below ``until``? Merges are undone from the
+        last one back, which gives the parts that touch the border at the same time; a merge of two of them takes place
+        while both are there. At equal rank the merge further left comes first."""
+        made, rank, width = self.made, self.rank, self.width
+        used_left = used_right = until
         while True:
-            out.append((token, self.made.get(token, -1), until))
-            if token not in self.parts:
-                return out
-            until = self.made[token]
-            token = self.parts[token][side]
-
-    def holds(self, left: str, right: str, until: float = float("inf")) -> bool:
-        """Does the border between two tokens outlive all merges of a rank below ``until``? A merge across it takes
-        place while both of its parts touch the border; at equal rank the merge further left comes first."""
-        others = self.spine(right, 0, until)
-        for a, made_a, used_a in self.spine(left, 1, until):
-            for b, made_b, used_b in others:
-                r = self.rank.get((a, b))
-                if r is not None and r < until and made_a < r < used_a and made_b < r <= used_b:
-                    return False
-        return True
-
-    def reachable(self, token: str) -> bool:
+            made_left, made_right = made[left], made[right]
+            r = rank.get(left * width + right)
+            if r is not None and r < until and made_left < r < used_left and made_right < r <= used_right:
+                return False
+            if made_left > made_right:
+                used_left, left = made_left, self.second[left]
+            elif made_right >= 0:
+                used_right, right = made_right, self.first[right]
+            else:
+                return True
+
+    def reachable(self, token: int) -> bool:
         """Does the token's own text encode to it?"""
-        if token not in self.parts:
+        if self.made[token] < 0:
             return True
-        left, right = self.parts[token]
+        left, right = self.first[token], self.second[token]
         return self.holds(left, right, self.made[token]) and self.reachable(left) and self.reachable(right)
 
 
 class Encoder:
-    """Takes the symbols of one word in turn; gives out tokens once they are stable.
+    """Takes the symbols of one word in turn; gives out the ids of tokens once they are stable.
 
-    ``feed`` and ``finish`` yield tokens. No more than about twice ``lookahead`` positions are kept, plus those
+    ``feed`` and ``finish`` yield ids. No more than about twice ``lookahead`` positions are kept, plus those
     on which the paths still differ.
     """
 
@@ -102,45 +153,51 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        # before[i]: the last token of the encoding of text[:i]; starts[i]: where it starts
-        self.text, self.before, self.starts = "", [None], [0]
-
-    def _advance(self, upto: int, tails: dict[str, bool], end: str) -> None:
-        """Finds the last token of the encoding of ``text[:n]`` for each n up to ``upto``."""
-        text, before, starts, pairs = self.text, self.before, self.starts, self.m.pairs
-        for n in range(len(before), upto + 1):
-            for start in range(n - 1, -1, -1):
-                token = text[start:n]
-                known = tails.get(token)
-                if known is None:  # no token ends so
-                    raise ValueError(f"no token for {text[:n]!r}")
-                if known:
-                    left = before[start]
-                    token += end
-                    if left is None or pairs[left, token]:
-                        before.append(token)
-                        starts.append(start)
-                        break
-            else:
-                raise ValueError(f"no token for {text[:n]!r}")
+        # states[i]: of the trie after text[:i]; before[i]: the last token of the encoding of text[:i], None if not asked
+        # yet; starts[i]: where it starts
+        self.text, self.states, self.before, self.starts = "", [0], [-1], [0]
+
+    def _take(self, symbols: str) -> None:
+        step, states, state = self.m.steps, self.states, self.states[-1]
+        for c in map(ord, symbols):
+            state = step[state << 9 | c]
+            states.append(state)
+        self.text += symbols
+        self.before += [None] * len(symbols)
+        self.starts += [0] * len(symbols)
+
+    def _last(self, n: int, ending: list[tuple]) -> int:
+        """The last token of the encoding of ``text[:n]``: the one whose border with the encoding before it holds. A token
+        that would start before the window is none: all paths meet where the window starts."""
+        before = self.before
+        for size, token in ending[self.states[n]]:
+            if size <= n:
+                left = before[n - size]
+                if left is None:
+                    left = self._last(n - size, self.m.inner)
+                if left < 0 or self.m.pairs[left * self.m.width + token]:
+                    before[n], self.starts[n] = token, n - size
+                    return token
+        raise ValueError(f"no token for {self.text[:n]!r}")
 
     def _ends(self, at: int) -> list[int]:
         """Positions down from ``at`` to 0 where tokens end."""
         out = [at]
         while at > 0:
+            if self.before[at] is None:
+                self._last(at, self.m.inner)
             at = self.starts[at]
             out.append(at)
         return out
 
-    def feed(self, symbols: str) -> Iterator[str]:
-        step = self.m.lookahead
-        for i in range(0, len(symbols), step):
-            self.text += symbols[i : i + step]
-            self._advance(len(self.text), self.m.tails, "")
-            if len(self.text) > 2 * step:
+    def feed(self, symbols: str) -> Iterator[int]:
+        size = self.m.lookahead
+        for i in range(0, len(symbols), size):
+            self._take(symbols[i : i + size])
+            if len(self.text) > 2 * size:
                 yield from self._stable()
 
-    def _stable(self) -> Iterator[str]:
+    def _stable(self) -> Iterator[int]:
         n = len(self.text)
         shared = set(self._ends(n))
         for at in range(n - self.m.lookahead, n):
@@ -149,17 +206,18 @@ class Encoder:
         if cut > 0:
             yield from (self.before[i] for i in reversed(self._ends(cut)[:-1]))
             # the token before the cut stays, as the left neighbour of what follows
-            self.text, self.before = self.text[cut:], self.before[cut:]
+            self.text, self.states, self.before = self.text[cut:], self.states[cut:], self.before[cut:]
             self.starts = [max(0, i - cut) for i in self.starts[cut:]]
 
-    def finish(self, symbol: str) -> list[str]:
-        """Ends the word with its last symbol; the tokens that were still open."""
-        self.text += symbol
-        self._advance(len(self.text), self.m.last_tails, self.m.end)
-        out, at = [], len(self.text)
+    def finish(self, symbols: str) -> list[int]:
+        """Ends the word with its last symbols, one at least; the tokens that were still open."""
+        self._take(symbols)
+        at = len(self.text)
+        self._last(at, self.m.last)
+        out, before, starts = [], self.before, self.starts
         while at > 0:
-            out.append(self.before[at])
-            at = self.starts[at]
+            out.append(self._last(at, self.m.inner) if before[at] is None else before[at])
+            at = starts[at]
         self.clear()
         return out[::-1]
 
@@ -178,7 +236,7 @@ class Decoder:
         self.started, self.bytes = False, codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> str:
-        tokens = [self.token[i] for i in ids]
+        tokens = list(map(self.token.__getitem__, ids))
         if not self.m.byte_level:
             text = (" " if self.started and tokens else "") + " ".join(tokens)
             self.started = self.started or bool(tokens)
@@ -199,74 +257,120 @@ class Decoder:
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 
 
+#: Where a long text may be cut: a word ends at any white space.
+BREAK = regex.compile(r"[\x20\x09-\x0D]")
+#: White space for ``str.split`` but not for the word pattern.
+SEPARATORS = regex.compile(r"[\x1C-\x1F]")
+PIECE = 1 << 18
+
+
 class WordBpe:
     """Encodes and decodes texts for a word tokenizer file (lower case, white space dropped, word ends).
 
-    The words of a text are independent of each other, so what a word gives is kept for a while (``Memo``).
+    Words are independent of each other, so the ids of a word, and of what stands between two white spaces, are kept for
+    a while (``Memo``). Decoding takes the stream of ids.
     """
 
-    def __init__(self, path: str, memo: int = 200_000):
-        self.m = Merges(path)
+    def __init__(self, merges: Merges | str, memo: int = 200_000):
+        self.m = Merges(merges) if isinstance(merges, str) else merges
         self.encoder, self.decoder = Encoder(self.m), Decoder(self.m)
         self.split = regex.compile(WORD_PATTERN)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.m.special)) + ")")
-        self.word = Memo(self._word, memo)
+        self.symbols = dict(enumerate(self.m.letters))
+        self.word, self.chunk = Memo(self._word, memo), Memo(self._chunk, memo)
+
+    def _word(self, word: str) -> bytes:
+        symbols = word.encode().decode("latin-1").translate(self.symbols)
+        ahead = self.m.lookahead  # nothing of a shorter word is stable before its end
+        ids = list(self.encoder.feed(symbols[:-ahead])) if len(symbols) > ahead else []
+        ids += self.encoder.finish(symbols[-ahead:])
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _word(self, word: str) -> tuple[bytes, str]:
-        symbols = "".join([self.m.letters[b] for b in word.encode()])
-        tokens = list(self.encoder.feed(symbols[:-1])) + self.encoder.finish(symbols[-1])
-        return self._out([self.m.words[t] for t in tokens])
+    def _chunk(self, text: str) -> bytes:
+        if text.isascii() and text.isalpha():
+            return self.word[text.lower()]
+        return b"".join(map(self.word.__getitem__, self.split.findall(self.normal(text))))
 
     @staticmethod
     def normal(text: str) -> str:
-        """Composed and in lower case, which goes by single characters: a final sigma has no form of its own."""
+        """Composed and in lower case, which goes by single characters: a final sigma has no form of its own. Nothing
+        composes across white space."""
         if text.isascii():
             return text.lower()
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def _out(self, ids: list[int]) -> tuple[bytes, str]:
+    def stream(self, text: str) -> Iterator[tuple[bytes, str]]:
+        """The ids as little-endian unsigned 32-bit integers and the text they decode to, in turn for some quarter of a
+        million characters each."""
         self.decoder.clear()
-        return struct.pack(f"<{len(ids)}I", *ids), self.decoder.feed(ids) + self.decoder.finish()
-
-    def run(self, text: str) -> tuple[bytes, str]:
-        """The ids as little-endian unsigned 32-bit integers, and the text they decode to."""
-        parts = self.specials.split(text) if "<|" in text else [text]
-        found: list[tuple[bytes, str]] = []
-        for part in parts:
+        at = 0
+        while at < len(text):
+            stop = BREAK.search(text, at + PIECE)
+            end = stop.end() if stop else len(text)
+            ids = self._ids(text[at:end])
+            yield ids, self.decoder.feed(memoryview(ids).cast("I") if sys.byteorder == "little" else
+                                         struct.unpack(f"<{len(ids) // 4}I", ids))
+            at = end
+        yield b"", self.decoder.finish()
+
+    def _ids(self, text: str) -> bytes:
+        out = []
+        for part in self.specials.split(text) if "<|" in text else [text]:
             if part in self.m.special:
-                found.append(self._out([self.m.special[part]]))
+                out.append(struct.pack("<I", self.m.special[part]))
+            elif SEPARATORS.search(part):
+                out.append(self._chunk(part))
             else:
-                found += map(self.word.__getitem__, self.split.findall(self.normal(part)))
-        return b"".join([ids for ids, _ in found]), " ".join([said for _, said in found])
+                out += map(self.chunk.__getitem__, part.split())
+        return b"".join(out)
+
+    def run(self, text: str) -> tuple[bytes, str]:
+        """All ids and all decoded text of ``stream``."""
+        ids, said = zip(*self.stream(text), strict=True)
+        return b"".join(ids), "".join(said)
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` of each text, one narrow pass.
 
     Null and empty texts have no ids and decode to the empty text; repeated rows are kept. ``path`` is the tokenizer
-    file, which has to exist on every executor. Other columns of ``docs`` are not read.
+    file; the driver reads it and broadcasts its tables. Other columns of ``docs`` are not read.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
-    return _each_text(docs, path, schema, lambda ids, text: {"ids": ids, "decoded": text})
+
+    def whole(stream: Iterator[tuple[bytes, str]]) -> dict:
+        ids, said = zip(*stream, strict=True)
+        return {"ids": b"".join(ids), "decoded": "".join(said)}
+
+    return _each_text(docs, path, schema, whole)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """As ``round_trip``, with the number of tokens and SHA-256 digests in place of ids and text."""
+    """As ``round_trip``, with the number of tokens and SHA-256 digests in place of ids and text, which are never whole
+    in memory."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())
     ])
-    return _each_text(docs, path, schema, lambda ids, text: {
-        "n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(),
-        "decoded_sha256": hashlib.sha256(text.encode()).hexdigest(),
-    })
 
+    def digest(stream: Iterator[tuple[bytes, str]]) -> dict:
+        n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
+        for ids, said in stream:
+            n += len(ids) // 4
+            of_ids.update(ids)
+            of_text.update(said.encode())
+        return {"n_tokens": n, "ids_sha256": of_ids.hexdigest(), "decoded_sha256": of_text.hexdigest()}
+
+    return _each_text(docs, path, schema, digest)
+
+
+def _each_text(docs: DataFrame, path: str, schema: pa.Schema, result) -> DataFrame:
+    tables = docs.sparkSession.sparkContext.broadcast(Merges(path).plain())
 
-def _each_text(docs: DataFrame, path: str, schema: pa.Schema, digest) -> DataFrame:
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(path)
+        bpe = WordBpe(Merges.of(tables.value))
 
         def of(batch: pa.RecordBatch) -> dict:
-            rows = [digest(*bpe.run(x or "")) for x in batch.column("text").to_pylist()]
+            rows = [result(bpe.stream(x or "")) for x in batch.column("text").to_pylist()]
             return {"doc_id": batch.column("doc_id")} | {
                 f.name: [r[f.name] for r in rows] for f in schema if f.name != "doc_id"
             }

@@ -128,6 +128,20 @@ def test_round_trip_of_rows(spark):
     assert all((r["ids"], r["decoded"]) == (b"", "") for r in got if r["doc_id"] in (1, 2, 3))
 
 
+def test_digests_equal_the_library_row_by_row(spark):
+    reference, rnd = Tokenizer.from_file(WORDS), random.Random(11)
+    texts = brute.TEXTS + [(300 + i, "".join(rnd.choice("aeinorst ÀéΣ'.1🤣\n\x1d") for _ in range(rnd.randint(0, 4000)))) for i in range(60)]
+    texts += [(400, "Word, word! " * 60_000), (401, "ab" * 150_000), (402, "a <|endoftext|>" * 20_000), (403, "é" * 270_000)]
+    want = []
+    for i, t in texts:
+        ids = reference.encode(t or "", add_special_tokens=False).ids
+        said = reference.decode(ids, skip_special_tokens=False)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        want.append((i, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(said.encode()).hexdigest()))
+    got = [tuple(r) for r in bpe.digests(brute.frame(spark, texts), WORDS).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_pieces_and_packing(spark):
     texts = brute.TEXTS + [(200 + i, "word " * (i * 37)) for i in range(90)]
     rows = packing.pack_documents(brute.frame(spark, texts), RANKS, {"<|endoftext|>": 50256}).collect()
