@@ -88,21 +88,49 @@ class Boosted:
         return f"1 / (1 + exp(-({' + '.join(terms)})))"
 
 
+#: Elements of an array that are summed up at a time: appending copies what is there.
+BLOCK = 256
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` bound to a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _running(values: str, following: str) -> str:
+    """SQL for what ``following`` (of ``a.at`` and ``x``; a sum or maximum) gives over the elements before each one, from 0.
+    Blocks first, then the elements of each, so that long arrays take time in proportion to their length."""
+
+    def scan(items: str, start: str) -> str:
+        return f"""aggregate({items}, named_struct('at', {start}, 'out', cast(array() as array<int>)),
+          (a, x) -> named_struct('at', {following}, 'out', array_append(a.out, a.at)), a -> a.out)"""
+
+    total = f"aggregate(b, named_struct('at', 0), (a, x) -> named_struct('at', {following}), a -> a.at)"
+    blocks = f"transform(sequence(0, greatest(size(v) - 1, 0) DIV {BLOCK}), b -> slice(v, int(b) * {BLOCK} + 1, {BLOCK}))"
+    return _let("v", values, _let("w", blocks, _let("o", scan(f"transform(w, b -> {total})", "0"),
+                f"flatten(transform(w, (b, i) -> {scan('b', 'o[i]')}))")))
+
+
+def _below(spans: str, c: str) -> str:
+    """SQL for the number of ``spans`` (none overlaps another, in order) that end before ``c`` starts, by halving."""
+    further = "n + shiftleft(1, j)"
+    return f"""aggregate(sequence(char_length(bin(size({spans}))) - 1, 0, -1), 0, (n, j) ->
+      CASE WHEN {further} <= size({spans}) AND {spans}[{further} - 1].e <= {c}.s THEN {further} ELSE n END)"""
+
+
+def _meets(spans: str, c: str) -> str:
+    """SQL for whether one of ``spans`` overlaps ``c``."""
+    return f"(size({spans}) > 0 AND {_let('n', _below(spans, c), f'n < size({spans}) AND {spans}[n].s < {c}.e')})"
+
+
 def _matches(text: str, pattern: str) -> str:
     """SQL for the matches in order: start and end as code points, the text, some of what stands before, and what
     two characters come after. ``split`` and ``regexp_extract_all`` find the same matches."""
-    gaps, found = f"split({text}, r'{pattern}', -1)", f"regexp_extract_all({text}, r'{pattern}', 0)"
-    return f"""aggregate(
-      arrays_zip(slice({gaps}, 1, size({found})), {found}, slice({gaps}, 2, size({found}))),
-      named_struct('at', 0, 'out',
-        cast(array() as array<struct<s:int,e:int,m:string,before:string,after:string>>)),
-      (a, x) -> named_struct(
-        'at', a.at + char_length(x.`0`) + char_length(x.`1`),
-        'out', array_append(a.out, named_struct(
-          's', a.at + char_length(x.`0`), 'e', a.at + char_length(x.`0`) + char_length(x.`1`), 'm', x.`1`,
-          'before', right(x.`0`, 16), 'after', left(x.`2`, 2)))),
-      a -> a.out)"""
-
+    start = "at[i] + char_length(g[i])"
+    return _let("f", f"regexp_extract_all({text}, r'{pattern}', 0)", _let("g", f"split({text}, r'{pattern}', -1)", _let(
+        "at", _running("transform(f, (m, i) -> char_length(g[i]) + char_length(m))", "a.at + x"),
+        f"""transform(f, (m, i) -> named_struct('s', {start}, 'e', {start} + char_length(m), 'm', m,
+          'before', right(g[i], 16), 'after', left(g[i + 1], 2)))""")))
 
 
 _DIGITS = "regexp_replace(x.m, '[^0-9]', '')"
@@ -113,7 +141,8 @@ _LUHN = f"""aggregate(sequence(1, char_length({_DIGITS})), 0, (a, i) -> a +
        ELSE 2 * int(substr({_DIGITS}, char_length({_DIGITS}) - i + 1, 1)) END) % 10 = 0"""
 _VALID = {
     "email": "true",
-    "ip": r"forall(split(x.m, r'\.'), p -> char_length(ltrim('0', p)) <= 3 AND coalesce(int(ltrim('0', p)), 0) <= 255)",
+    "ip": r"""forall(transform(split(x.m, r'\.'), p -> ltrim('0', p)),
+      p -> char_length(p) < 3 OR char_length(p) = 3 AND p <= '255')""",
     "card": f"CASE WHEN char_length({_DIGITS}) BETWEEN 12 AND 19 THEN {_LUHN} ELSE false END",
     "phone": f"char_length({_DIGITS}) BETWEEN 9 AND 15",
 }
@@ -170,21 +199,26 @@ def _features(kind: str) -> dict[str, str]:
 
 
 def _loose(kind: str) -> str:
-    """Candidates of a kind with their features, all of them small whole numbers, and whether something speaks against them."""
+    """Candidates of a kind with their features, all of them small whole numbers, whether something speaks against them, and
+    whether they overlap a confirmed span of the same kind or of another (``base``, a list per kind)."""
+    k = KINDS.index(kind)
+    other = " OR ".join(_meets(f"base[{i}]", "y") for i in range(len(KINDS)) if i != k)
     features = ", ".join(f"'{f}', {sql}" for f, sql in _features(kind).items())
     return f"""CASE WHEN _text RLIKE r'{LOOSE_HINT[kind]}' THEN transform(transform({_matches('_text', LOOSE[kind])},
       x -> named_struct('s', x.s, 'e', x.e, 'parts', split({FORM[kind]}, '[^0-9A-Za-z]+'), 'before', x.before,
         'after', x.after, 'against', {AGAINST[kind]})),
-      y -> named_struct('s', y.s, 'e', y.e, 'k', {KINDS.index(kind)}, 'against', y.against, {features})) ELSE
-      cast(array() as array<struct<s:int,e:int,k:int,against:boolean,{','.join(f'{f}:int' for f in FEATURES)}>>) END"""
+      y -> named_struct('s', y.s, 'e', y.e, 'k', {k}, 'against', y.against, 'same', {_meets(f'base[{k}]', 'y')},
+        'other', {other}, {features})) ELSE
+      cast(array() as array<struct<s:int,e:int,k:int,against:boolean,same:boolean,other:boolean,{','.join(f'{f}:int' for f in FEATURES)}>>) END"""
 
 
-def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_text`` (null as empty), ``_base`` (confirmed spans as s, k, e) and ``_loose`` (candidates)."""
+def with_candidates(texts: DataFrame) -> DataFrame:
+    """``texts`` (with a text ``_text``, null as empty) with ``_base`` (confirmed spans as s, k, e) and ``_loose`` (candidates)."""
+    base = ", ".join(f"filter(_base, x -> x.k = {k})" for k in range(len(KINDS)))
     return (
-        docs.withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+        texts.withColumn("_text", F.coalesce("_text", F.lit("")))
         .withColumn("_base", F.expr(f"array_sort(concat({', '.join(map(_base, KINDS))}))"))
-        .withColumn("_loose", F.expr(f"concat({', '.join(map(_loose, KINDS))})"))
+        .withColumn("_loose", F.expr(_let("base", f"array({base})", f"concat({', '.join(map(_loose, KINDS))})")))
     )
 
 
@@ -242,11 +276,12 @@ def fit(found: DataFrame, rounds: int = 25, depth: int = 3, rate: float = 0.3, p
     above 255, more digits around, a confirmed span of another kind. If a fold has no confirmed candidates of a kind, the other serves for
     both; kinds without any add nothing.
     """
-    over = "b.s < c.e AND c.s < b.e"
     counts = (
-        found.select(F.expr("pmod(xxhash64(_text), 5) = 0").alias("fold"), "_base", F.explode("_loose").alias("c"))
-        .select("fold", F.expr(f"exists(_base, b -> b.k = c.k AND {over})").alias("label"),
-                F.expr(f"c.against OR exists(_base, b -> b.k <> c.k AND {over})").alias("against"), "c.k", *[f"c.{f}" for f in FEATURES])
+        # outer: the filter that Spark infers from a plain one would compute the candidates twice
+        found.select(F.expr("pmod(xxhash64(_text), 5) = 0").alias("fold"), F.explode_outer("_loose").alias("c"))
+        .where("c IS NOT NULL")
+        .select("fold", F.col("c.same").alias("label"), F.expr("c.against OR c.other").alias("against"), "c.k",
+                *[f"c.{f}" for f in FEATURES])
         .groupBy("fold", "k", *FEATURES)
         .agg(F.count_if("label").alias("positive"), F.count_if(~F.col("label") & F.col("against")).alias("against"), F.count("*").alias("n"))
         .collect()
@@ -287,20 +322,28 @@ def spans(found: DataFrame, model: Boosted) -> DataFrame:
     Added spans overlap neither a confirmed span nor each other; of overlapping ones the likelier, then the longer
     one stays. Of candidates that something speaks against, only card numbers are added (a wrong digit).
     """
-    parts = []
+    kinds = []
     for kind in model.trees:
-        parts.append(
-            f"""transform(filter(_loose, c -> c.k = {KINDS.index(kind)}
-                AND {model.probability(kind)} >= {model.threshold[kind] - 1e-12!r}D
-                AND NOT (c.against AND c.k <> {KINDS.index('card')})
-                AND NOT exists(_base, b -> b.s < c.e AND c.s < b.e)),
-              c -> named_struct('p', -({model.probability(kind)}), 'l', c.s - c.e, 's', c.s, 'k', c.k, 'e', c.e))"""
+        k = KINDS.index(kind)
+        kinds.append(
+            f"""filter(transform(filter(_loose, c -> c.k = {k} AND NOT c.same AND NOT c.other
+                {"" if kind == "card" else "AND NOT c.against"}),
+              c -> named_struct('p', -({model.probability(kind)}), 'l', c.s - c.e, 's', c.s, 'k', c.k, 'e', c.e)),
+              c -> c.p <= {-(model.threshold[kind] - 1e-12)!r}D)"""
         )
-    if not parts:
+    if not kinds:
         return found.withColumn("_spans", F.col("_base"))
-    added = f"""aggregate(array_sort(concat({', '.join(parts)})), {_NONE},
-      (a, c) -> CASE WHEN exists(a, b -> b.s < c.e AND c.s < b.e) THEN a
-                     ELSE array_append(a, named_struct('s', c.s, 'k', c.k, 'e', c.e)) END)"""
+    # most overlap no other candidate; the others are taken in turn
+    marked = ", ".join(
+        f"""transform(likely[{i}], c -> named_struct('p', c.p, 'l', c.l, 's', c.s, 'k', c.k, 'e', c.e, 'clash',
+          {' OR '.join(_meets(f'likely[{j}]', 'c') for j in range(len(kinds)) if j != i) or 'false'}))"""
+        for i in range(len(kinds))
+    )
+    span = "named_struct('s', c.s, 'k', c.k, 'e', c.e)"
+    taken = f"""aggregate(array_sort(filter(marked, c -> c.clash)), {_NONE}, (t, c) -> {_let('n', _below('t', 'c'),
+      f"CASE WHEN n < size(t) AND t[n].s < c.e THEN t ELSE array_insert(t, n + 1, {span}) END")})"""
+    added = _let("likely", f"array({', '.join(kinds)})", _let("marked", f"concat({marked})",
+                 f"concat(transform(filter(marked, c -> NOT c.clash), c -> {span}), {taken})"))
     return found.withColumn("_spans", F.expr(f"array_sort(concat(_base, {added}))"))
 
 
@@ -314,9 +357,11 @@ def find(docs: DataFrame) -> DataFrame:
     """``doc_id``, the number of confirmed spans of each kind, ``base`` and ``spans`` as text.
 
     Fits on all of ``docs``, then reads them again. Null texts are empty; texts without personal data have zeros and
-    empty strings; repeated rows are reported each. Other columns of ``docs`` are not read. An empty table fits nothing.
+    empty strings; repeated rows are reported each. Other columns of ``docs`` are not read. An empty table fits nothing. The
+    time that a text takes grows as its length and number of spans; only candidates that overlap each other, of different
+    kinds and none of them confirmed, are put in order one by one.
     """
-    found = with_candidates(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    found = with_candidates(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("_text")))
     done = spans(found, fit(found))
     return done.select(
         "doc_id",
@@ -328,17 +373,20 @@ def find(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with each span in ``text_col`` replaced by its kind in brackets; spans that overlap become one.
 
-    All other columns stay, null texts too. Fits on all of ``docs`` first.
+    All other columns stay under any name, null texts too. Fits on all of ``docs`` first.
     """
-    found = with_candidates(docs, text_col)
+    found = with_candidates(docs.select(F.struct("*").alias("_row"), F.col(f"`{text_col}`").cast("string").alias("_text")))
     kinds = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
-    done = spans(found, fit(found)).withColumn("_parts", F.expr(
-        f"""aggregate(_spans, named_struct('at', 0, 'out', cast(array() as array<string>)),
-          (a, x) -> CASE WHEN x.e <= a.at THEN a
-            WHEN x.s < a.at THEN named_struct('at', x.e, 'out', a.out)
-            ELSE named_struct('at', x.e, 'out', concat(a.out,
-              array(substr(_text, a.at + 1, x.s - a.at), array({kinds})[x.k]))) END)"""
-    ))
-    rest = F.expr("concat(array_join(_parts.out, ''), substr(_text, _parts.at + 1))")
-    redacted = F.when((F.size("_spans") > 0), rest).otherwise(F.col(text_col))
-    return done.withColumn(text_col, redacted).select(*docs.columns)
+    # per block of spans a part of the text, since places in a text are found by reading it from its start
+    inside = f"""flatten(transform(b, x -> CASE WHEN x.s < x.at THEN cast(array() as array<string>) ELSE
+      array(substr(part, x.at - b[0].at + 1, x.s - x.at), array({kinds})[x.k]) END))"""
+    block = _let("part", "substr(_text, b[0].at + 1, b[size(b) - 1].s - b[0].at)", inside)
+    pieces = _let("at", _running("transform(_spans, x -> x.e)", "greatest(a.at, x)"), _let(
+        "z", "transform(_spans, (x, i) -> named_struct('at', at[i], 's', x.s, 'k', x.k))",
+        f"""flatten(transform(sequence(0, (size(z) - 1) DIV {BLOCK}), j -> {_let('b', f'slice(z, int(j) * {BLOCK} + 1, {BLOCK})', block)}))"""))
+    text = f"""CASE WHEN size(_spans) = 0 THEN _row.`{text_col}` ELSE
+      concat(array_join({pieces}, ''), substr(_text, array_max(transform(_spans, x -> x.e)) + 1)) END"""
+    done = spans(found, fit(found))
+    return done.select(*[
+        F.expr(text).alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns
+    ])

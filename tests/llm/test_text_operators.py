@@ -249,6 +249,32 @@ def test_trees_add_likely_spans_and_nothing_else(spark):
     assert all(set(filter(None, r["base"].split(","))) <= set(r["spans"].split(",")) for r in rows.values())
 
 
+def test_texts_of_many_spans(spark):
+    """Time grows with the spans of a text, parts of an address may be 0, and the redacted text is whole."""
+    hosts = "".join(f"10.0.{i % 256}.{i % 300} é " for i in range(20_000))
+    texts = [(1, "a@b.c " * 30_000), (2, hosts), (3, "1 " * 50_000), (4, "0123-555-2485 x " * 5_000), (5, "call +1 988 555 2485")]
+    rows = {r["doc_id"]: r for r in pii.find(brute.frame(spark, texts)).collect()}
+    for i, text in texts:
+        found = [(m.start(), k, m.end(), kind) for k, (kind, p) in enumerate(PATTERNS.items())
+                 for m in re.finditer(p, text) if _valid(kind, m[0])]
+        assert rows[i]["base"] == ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found))
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(brute.frame(spark, texts)).collect()}
+    assert redacted[1] == "[EMAIL] " * 30_000
+    for i, text in texts:
+        out, at = [], 0
+        for kind, a, b in (s.split(":") for s in filter(None, rows[i]["spans"].split(","))):
+            if int(a) >= at:
+                out += [text[at : int(a)], f"[{kind.upper()}]"]
+            at = max(at, int(b))
+        assert redacted[i] == "".join(out) + text[at:]
+
+
+def test_columns_may_be_called_as_the_operator_calls_its_own(spark):
+    row = (1, "mail a@b.c", "x", "y", "z", "v")
+    docs = spark.createDataFrame([row], "doc_id long, text string, _text string, _base string, `_spans` string, `a.b` string")
+    assert tuple(pii.redact(docs).first()) == (1, "mail [EMAIL]", "x", "y", "z", "v")
+
+
 def _loose_texts(often):
     """Per kind a few confirmed spans, ``often`` times as many in looser forms, and numbers that are neither."""
     rnd, texts = random.Random(8), []
