@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumetra.operators.interfaces import RULES
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -16,25 +18,42 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+# Every spelling of the rules, a page without a rule, and a path that is no interface.
+LOG_PATHS = [*(rule[0] for rule in RULES), "/MobileInternet/Service/canLink", "/health"]
+
+
+def _path_arms() -> str:
+    def literal(path: str) -> str:  # a backslash is written differently by the two engines
+        return f"concat('{path[:-1]}', chr(92))" if path.endswith("\\") else f"'{path}'"
+
+    return " ".join(f"WHEN {i} THEN {literal(p)}" for i, p in enumerate(LOG_PATHS))
+
+
+def _own_parameter_arms() -> str:
+    """The parameter of a path's label where the lines do not carry it anyway; absent or empty at times."""
+    common = ("userid", "page", "type", "appname", "city", "location")
+    return " ".join(
+        f"WHEN {i} THEN concat('&{rule[5]}=', CASE WHEN event_id % 3 = 0 THEN '' ELSE concat('%E6%AD%8C', event_id % 50, '.1-b') END)"
+        for i, rule in enumerate(RULES) if rule[5] and rule[5] not in common
+    )
+
+
 # Shared by Spark SQL and the checking engine; {ts} and {k} are the only parts that differ.
-LOG_LINE_SQL = """
+LOG_LINE_SQL = f"""
 CASE WHEN event_id % 97 = 0 THEN 'bad line'
-     WHEN event_id % 89 = 0 THEN concat('10.0.0.1 - - [', {ts}, ' +0800] "GARBAGE" 400 - "-" "-"')
-     ELSE concat('10.', user_id % 200, '.', event_id % 250, '.1 - - [', {ts}, ' +0800] "',
+     WHEN event_id % 89 = 0 THEN concat('10.0.0.1 - - [', {{ts}}, ' +0800] "GARBAGE" 400 - "-" "-"')
+     ELSE concat('10.', user_id % 200, '.', event_id % 250, '.1 - - [',
+       CASE WHEN event_id % 79 = 0 THEN '' ELSE concat({{ts}}, ' +0800') END, '] "',
        CASE WHEN event_id % 10 = 0 THEN 'POST' ELSE 'GET' END, ' ',
-       CASE event_id % 7 WHEN 0 THEN '/MobileInternet/user/welcome'
-                         WHEN 1 THEN '/MobileInternet/Music/menuRecList'
-                         WHEN 2 THEN '//MobileInternet/index/getBanner'
-                         WHEN 3 THEN '/MobileInternet/Music/collectionList'
-                         WHEN 4 THEN '/MobileInternet/service/getIcon'
-                         WHEN 5 THEN '/MobileInternet/Creategroup/join/'
-                         ELSE '/MobileInternet/index/uploadData' END,
-       '?userid=', user_id, '&page=', {k}, '&type=', event_id % 2,
+       CASE event_id % {len(LOG_PATHS)} {_path_arms()} END,
+       '?userid=', user_id, '&page=', {{k}}, '&type=', event_id % 2,
        '&appname=', CASE WHEN event_id % 3 = 0 THEN '' ELSE 'MJ' END,
        '&city=%E5%90%88%E8%82%A5',
        CASE WHEN event_id % 4 = 0 THEN '' ELSE '&location=%E5%90%88%E8%82%A5+A1' END,
+       CASE WHEN event_id % 5 = 0 THEN '' ELSE CASE event_id % {len(LOG_PATHS)} {_own_parameter_arms()} ELSE '' END END,
        '&longitude=117.', event_id % 1000, '&latitude=32.', event_id % 900,
        CASE WHEN event_id % 53 = 0 THEN '&ref=/MobileInternet/index/sn' ELSE '' END,
+       CASE WHEN event_id % 83 = 0 THEN '&note=%E5%9' ELSE '' END,
        ' HTTP/1.1" ', CASE WHEN event_type = 'error' THEN 500 ELSE 200 END, ' ', event_id % 5000,
        ' "-" "ua/1 (x)"') END
 """
@@ -70,6 +89,7 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MODULE_JSON_SQL = """
+CASE WHEN event_id % 13 = 0 THEN '{{"module":"radio","album_name":' ELSE
 concat('{{"module":"',
   CASE event_id % 8 WHEN 0 THEN 'playlist' WHEN 1 THEN 'radio' WHEN 2 THEN 'voice_search'
                     WHEN 3 THEN 'wechat' WHEN 4 THEN 'qq_music' WHEN 5 THEN 'video'
@@ -79,6 +99,7 @@ concat('{{"module":"',
     CASE event_id % 8 WHEN 1 THEN 'album_name' WHEN 2 THEN 'end_point' WHEN 3 THEN 'user_name'
                       WHEN 4 THEN 'music_name' WHEN 5 THEN 'video_name' ELSE 'song_name' END,
     '":"名', {k}, '"') END, '}}')
+END
 """
 
 

@@ -75,15 +75,23 @@ ORACLES["als_leaderboard"] = "SELECT ord, rank, reg, max_iter, true AS marked_ri
 
 @query
 def als_test_facts(spark, sf):
-    """Scored test pairs of the best model, and the baseline that its improvement was reckoned from."""
-    found = Q.als_test_rmse(spark, sf)
+    """Scored test pairs of the best model, the baseline that its improvement was reckoned from, and whether the error is
+    that of the products of its vectors."""
+    parts, found = Q._best_model(spark, sf)
+    errors = Q._test_errors(parts, found)
+    users, items = (f.select(F.col("id").alias(c), F.col("features").alias(v)) for f, c, v in (
+        (found.model.userFactors, "user", "_f"), (found.model.itemFactors, "item", "_g")))
+    product = F.aggregate(F.zip_with("_f", "_g", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+    own = Q._part(parts, "test").join(users, "user").join(items, "item").select(
+        F.sum((product - F.col("rating")) ** 2).alias("squares"), F.count(F.lit(1)).alias("n"))
     base = F.col("rmse") / (1 - F.col("improvement_percent") / 100)
-    return found.select("n_scored", F.round(base, 6).alias("baseline_rmse"))
+    right = F.abs(F.col("rmse") ** 2 * F.col("n") - F.col("squares")) <= F.lit(1e-5) * F.col("squares")
+    return errors.join(F.broadcast(own)).select("n_scored", F.round(base, 6).alias("baseline_rmse"), right.alias("rmse_right"))
 
 
 ORACLES["als_test_facts"] = f"""WITH {_P}, {_KNOWN}, m AS (SELECT avg(rating) AS mean FROM p WHERE part <> 'test')
 SELECT (SELECT count(*) FROM known WHERE part = 'test') AS n_scored,
-  (SELECT round(sqrt(avg((mean - rating) ** 2)), 6) FROM p, m WHERE part = 'test') AS baseline_rmse"""
+  (SELECT round(sqrt(avg((mean - rating) ** 2)), 6) FROM p, m WHERE part = 'test') AS baseline_rmse, true AS rmse_right"""
 
 
 def _list_facts(flat: DataFrame) -> DataFrame:

@@ -33,13 +33,16 @@ found AS (SELECT event_id, value, regexp_matches(value, {_q(LINE_PATTERN)}) AS o
           regexp_extract(value, {_q(LINE_PATTERN)}, {LOG_RAW_COLUMNS}) AS f FROM lines),
 raw AS (SELECT event_id, value, unnest(f) FROM found WHERE ok)"""
 
-_TIME = "strftime(strptime(regexp_extract(time, '([0-9]{2}/[A-Za-z]{3}/[0-9:]+)', 1), '%d/%b/%Y:%H:%M:%S'), '%Y-%m-%d %H:%M:%S')"
+_TIME = "strftime(try_strptime(regexp_extract(time, '([0-9]{2}/[A-Za-z]{3}/[0-9:]+)', 1), '%d/%b/%Y:%H:%M:%S'), '%Y-%m-%d %H:%M:%S')"
 _TARGET = "replace(split_part(request, ' ', 2), '\"', '')"
 _METHOD = "replace(split_part(request, ' ', 1), '\"', '')"
 
+_BAD_ESCAPE = f"contains(regexp_replace({_TARGET}, '%[0-9A-Fa-f]{{2}}', '', 'g'), '%')"
+
 _CLEAN = f"""{_RAW},
-clean AS (SELECT event_id, ipaddress, {_TIME} AS time, {_METHOD} AS method, url_decode({_TARGET}) AS request,
-          status, size, referer, agent, value FROM raw WHERE {_TARGET} <> '')"""
+clean AS (SELECT event_id, ipaddress, {_TIME} AS time, {_METHOD} AS method,
+          CASE WHEN NOT {_BAD_ESCAPE} THEN url_decode({_TARGET}) END AS request,
+          status, size, referer, agent, value FROM raw WHERE {_TARGET} <> '' AND NOT {_BAD_ESCAPE} AND {_TIME} IS NOT NULL)"""
 
 
 def _param(name: str, url: str = "request") -> str:
@@ -81,9 +84,11 @@ ORACLES["sink_orc_append"] = f"""WITH {_RAW}, kept AS (SELECT * EXCLUDE (value)
 SELECT * FROM kept UNION ALL SELECT * FROM kept"""
 ORACLES["sink_table_create"] = _DETAIL_SELECT
 ORACLES["log_parse"] = f"WITH {_RAW} SELECT * EXCLUDE (value) FROM raw"
-ORACLES["log_quarantine"] = f"""WITH {_RAW}
+ORACLES["log_quarantine"] = f"""WITH {_DETAIL}
 SELECT value AS raw, 'unparsable_line' AS reason FROM found WHERE NOT ok
-UNION ALL SELECT value, 'no_target' FROM raw WHERE {_TARGET} = ''"""
+UNION ALL SELECT value, CASE WHEN {_TARGET} = '' THEN 'no_target' WHEN {_BAD_ESCAPE} THEN 'bad_encoding' ELSE 'bad_time' END
+  FROM raw WHERE {_TARGET} = '' OR {_BAD_ESCAPE} OR {_TIME} IS NULL
+UNION ALL SELECT value, 'no_interface' FROM detail_rows JOIN lines USING (event_id) WHERE interface_type IS NULL"""
 _PAGES = "pages_listed(page) AS (VALUES {})".format(", ".join(f"('{p}')" for p in I.PAGES))
 ORACLES["log_page_filter"] = f"""WITH {_RAW}, {_PAGES}
 SELECT raw.* EXCLUDE (value), page FROM raw JOIN pages_listed ON contains(request, page)"""
@@ -103,7 +108,7 @@ SELECT event_id, try_cast(status AS BIGINT) AS status_code, try_cast(size AS BIG
   time[1:13] AS event_hour FROM clean"""
 ORACLES["log_get_only"] = f"WITH {_CLEAN} SELECT event_id, method, request FROM clean WHERE method = 'GET'"
 ORACLES["url_decode_targets"] = f"""WITH {_RAW}
-SELECT event_id, {_TARGET} AS target, url_decode({_TARGET}) AS decoded FROM raw WHERE {_TARGET} <> ''"""
+SELECT event_id, {_TARGET} AS target, CASE WHEN NOT {_BAD_ESCAPE} THEN url_decode({_TARGET}) END AS decoded FROM raw WHERE {_TARGET} <> ''"""
 ORACLES["interface_type"] = f"""WITH {_CLEAN}
 SELECT event_id, {_PATH} AS path, {_interface(_PATH)} AS interface_type FROM clean"""
 _NAMES = ["userid", "page", "type", "appname", "city", "location", "longitude", "latitude", "absent"]
@@ -121,7 +126,8 @@ SELECT (SELECT count(*) FROM lines) AS lines, (SELECT count(*) FROM raw) AS pars
   (SELECT count(*) FROM detail_rows WHERE interface_type IS NOT NULL) AS detail,
   (SELECT count(*) FROM detail_rows WHERE interface_type IS NOT NULL AND unmapped_interface) AS unmapped"""
 
-_MODULES = "modules AS (SELECT event_id, {} AS json FROM events)".format(MODULE_JSON_SQL.format(k=_K))
+_MODULES = """modules AS (SELECT event_id, CASE WHEN json_valid(said) THEN said END AS json
+  FROM (SELECT event_id, {} AS said FROM events))""".format(MODULE_JSON_SQL.format(k=_K))
 
 
 def _json(field: str) -> str:
@@ -135,10 +141,13 @@ _LABEL = (
     + " END"
 )
 ORACLES["json_module_label"] = f"""WITH {_MODULES}
-SELECT event_id, {_LABEL} AS label, CASE WHEN {_LABEL} IS NULL THEN 'unknown_module' END AS reason FROM modules"""
-ORACLES["sql_function_surface"] = f"""WITH {_CLEAN}, {_MODULES}
+SELECT event_id, {_LABEL} AS label, CASE WHEN json IS NULL THEN 'bad_json' WHEN {_LABEL} IS NULL THEN 'unknown_module' END AS reason
+FROM modules"""
+ORACLES["sql_function_surface"] = f"""WITH {_RAW}, {_MODULES}, asked AS (
+  SELECT event_id, {_TIME} AS time, CASE WHEN NOT {_BAD_ESCAPE} THEN url_decode({_TARGET}) END AS request
+  FROM raw WHERE {_TARGET} <> '')
 SELECT event_id, time, {_param('city')} AS city, {_param('appname')} AS appname,
-  {_interface(_PATH)} AS interface_type, {_LABEL} AS label FROM clean JOIN modules USING (event_id)"""
+  {_interface(_PATH)} AS interface_type, {_LABEL} AS label FROM asked JOIN modules USING (event_id)"""
 def _nearest(places: str, points: str, max_km: int) -> str:
     return f"""
 WITH places AS ({places}), points AS ({points}),

@@ -413,8 +413,16 @@ def als_grid_search(spark, sf):
 
 @query
 def als_test_rmse(spark, sf):
+    parts, found = _best_model(spark, sf)
+    return _test_errors(parts, found)
+
+
+def _best_model(spark: SparkSession, sf: str):
     parts = stored(_parts(spark, sf))
-    found = A.grid_search(_part(parts, "train"), _part(parts, "validation"))
+    return parts, A.grid_search(_part(parts, "train"), _part(parts, "validation"))
+
+
+def _test_errors(parts: DataFrame, found) -> DataFrame:
     base = R.mean_baseline(parts).first()["rmse"]
     return R.error_metrics(A.predict(found.model, _part(parts, "test"))).withColumn(
         "improvement_percent", (F.lit(base) - F.col("rmse")) / F.lit(base) * 100
