@@ -52,10 +52,25 @@ SPLIT_60_20_20 = [("train", 60), ("validation", 80), ("test", 100)]
 SPLIT_70_30 = [("train", 70), ("test", 100)]
 
 
+def distinct_ids(rows: DataFrame, column: str) -> DataFrame:
+    """One row ``n``: the exact number of distinct values of a whole-number column, without nulls.
+
+    Each task sets one bit per value in maps of 4 KB, one per stretch of 32,768 values, and maps of a stretch are merged. So a
+    task sends at most its stretches, not its rows; the scan reads the one column. Ids should be dense, as numbered users and
+    items are: strewn over all of INT, a task may send half a GB, though it holds one map at a time.
+    """
+    maps = rows.groupBy(F.bitmap_bucket_number(F.col(column)).alias("stretch")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col(column))).alias("bits")
+    )
+    return maps.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("n"))
+
+
 def distinct_counts(ratings: DataFrame, approximate: bool = False) -> DataFrame:
     """One row ``(n_users, n_items)``."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return ratings.agg(count("user").alias("n_users"), count("item").alias("n_items"))
+    if approximate:
+        return ratings.agg(F.approx_count_distinct("user").alias("n_users"), F.approx_count_distinct("item").alias("n_items"))
+    n_items = distinct_ids(ratings, "item").scalar()
+    return distinct_ids(ratings, "user").select(F.col("n").alias("n_users"), n_items.alias("n_items"))
 
 
 def grid_coverage(ratings: DataFrame) -> DataFrame:
@@ -64,7 +79,7 @@ def grid_coverage(ratings: DataFrame) -> DataFrame:
     The grid itself is never written out: scoring walks it in blocks (``factors``), and its
     counts follow from the number of items.
     """
-    n_items = ratings.select(F.count_distinct("item")).scalar()
+    n_items = distinct_ids(ratings, "item").scalar()
     rated = ratings.groupBy("user").agg(F.count_distinct("item").alias("n_rated"))
     return rated.select("user", n_items.alias("n_cells"), "n_rated", (n_items - F.col("n_rated")).alias("n_open"))
 
@@ -92,13 +107,13 @@ def profile(parts: DataFrame) -> DataFrame:
     def rows(name: str) -> Column:
         return F.count_if(F.col("part") == name)
 
-    return parts.agg(
-        F.count(F.lit(1)).alias("n_ratings"),
-        F.count_distinct("user").alias("n_users"),
-        F.count_distinct("item").alias("n_items"),
-        rows("train").alias("n_train"),
-        rows("validation").alias("n_validation"),
-        rows("test").alias("n_test"),
+    counts = parts.agg(
+        F.count(F.lit(1)).alias("n_ratings"), rows("train").alias("n_train"),
+        rows("validation").alias("n_validation"), rows("test").alias("n_test"),
+    )
+    n_users, n_items = (distinct_ids(parts, c).scalar() for c in ("user", "item"))
+    return counts.select(
+        "n_ratings", n_users.alias("n_users"), n_items.alias("n_items"), "n_train", "n_validation", "n_test"
     )
 
 

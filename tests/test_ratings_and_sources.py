@@ -156,3 +156,15 @@ def test_replaced_days_are_balanced_and_not_doubled(spark, tmp_path):
     replace_days(rows.where("dt = '2024-01-02' AND id < 950"), path)
     got = {str(r["dt"]): r["count"] for r in spark.read.orc(path).groupBy("dt").count().collect()}
     assert got == {"2024-01-01": 900, "2024-01-02": 50}
+
+
+@pytest.mark.parametrize("ids", [
+    [], [None], [0], [-1, 0, 1, 32767, 32768, 32769, -32767, -32768, -32769], [2**31 - 1, -(2**31), 5, 5, None],
+    [i * 7919 % 100003 - 50000 for i in range(30000)],
+])
+def test_distinct_ids_by_bitmaps(spark, ids):
+    rows = spark.createDataFrame([(i, 1, 2.0) for i in ids], "user int, item int, rating double").repartition(5)
+    assert R.distinct_ids(rows, "user").first()["n"] == len(set(ids) - {None})
+    assert tuple(R.distinct_counts(rows).first()) == (len(set(ids) - {None}), min(len(ids), 1))
+    plan = R.distinct_ids(rows, "user")._jdf.queryExecution().toString()
+    assert "bitmap_construct_agg" in plan and "Expand" not in plan
