@@ -102,7 +102,7 @@ def train(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
     """Logistic classifier with the non-negative positive-unlabelled risk, on the ``features`` words whose share among
     positives differs most clearly from that among the unlabelled."""
     if not positives or not unlabelled or not prior:
-        return Model(np.empty(0, np.int64), np.empty(0), -20.0 if not prior else float(np.log(prior / (1 - prior))))
+        return Model(np.empty(0, np.int64), np.empty(0), float(np.clip(np.log(max(prior, 1e-9) / max(1 - prior, 1e-9)), -20, 20)))
     share = [np.bincount(np.concatenate(x), minlength=BUCKETS) / len(x) for x in (positives, unlabelled)]
     mean = (share[0] + share[1]) / 2
     clear = np.abs(share[0] - share[1]) / np.sqrt(mean * (1 - mean) * (1 / len(positives) + 1 / len(unlabelled)) + 1e-9)
