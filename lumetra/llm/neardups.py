@@ -277,5 +277,5 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents that are not the first of their class. Repeated rows of one id are one document:
     they stay or go together. All columns stay."""
-    gone = kept(classes(docs, size, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = kept(classes(docs, size, percent).where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")

@@ -238,19 +238,21 @@ def repeats(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str
 
 
 def _with_spans(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``_spans``. Only texts that may have some are joined with them: a filter of ``FILTER_BITS`` bits by the
-    hash of id and text, which is broadcast and has the same size for any corpus, lets the others pass."""
+    """``row`` (the columns of ``docs``, as a struct, so that none can clash) and ``_spans``. Only texts that may have some
+    are joined with them: a filter of ``FILTER_BITS`` bits by the hash of id and text, which is broadcast and has the same
+    size for any corpus, lets the others pass."""
     spans = repeats(docs, k, id_col, text_col)
     bit = F.pmod(F.xxhash64("_doc", "_mark"), F.lit(FILTER_BITS))
     words = spans.select(bit.alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("_word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(_bit & 63 AS INT))")).alias("_bits")
     )
-    marked = docs.select("*", F.col(id_col).cast("long").alias("_doc"), F.xxhash64(text_col).alias("_mark")).withColumn("_bit", bit)
+    marked = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_doc"), F.xxhash64(text_col).alias("_mark")
+    ).withColumn("_bit", bit)
     marked = marked.withColumn("_word", F.shiftright("_bit", 6)).join(F.broadcast(words), "_word", "left")
     may = F.coalesce(F.expr("shiftright(_bits, cast(_bit & 63 AS INT)) & 1") == 1, F.lit(False)) & F.col("_doc").isNotNull()
-    columns = [*docs.columns, "_doc", "_mark"]
-    without = marked.where(~may).select(*docs.columns, F.lit(None).cast(spans.schema["_spans"].dataType).alias("_spans"))
-    joined = marked.where(may).select(*columns).join(spans, ["_doc", "_mark"], "left").select(*docs.columns, "_spans")
+    without = marked.where(~may).select("row", F.lit(None).cast(spans.schema["_spans"].dataType).alias("_spans"))
+    joined = marked.where(may).select("row", "_doc", "_mark").join(spans, ["_doc", "_mark"], "left").select("row", "_spans")
     return without.unionByName(joined)
 
 
@@ -282,7 +284,7 @@ def digests(docs: DataFrame, k: int = 13) -> DataFrame:
         return {"doc_id": batch.column("doc_id")} | dict(zip(schema.names[1:], columns, strict=True))
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return _with_spans(texts, k, "doc_id", "text").select("doc_id", "text", "_spans").mapInArrow(
+    return _with_spans(texts, k, "doc_id", "text").select("row.doc_id", "row.text", "_spans").mapInArrow(
         per_batch(of, schema), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -293,13 +295,14 @@ def remove(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str =
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            texts = batch.column(text_col).to_pylist()
+            row = batch.column("row")
+            texts = row.field(text_col).to_pylist()
             for i, spans in enumerate(batch.column("_spans").to_pylist()):
                 if spans:
                     words = texts[i].encode().split()
                     gone = covered(len(words), spans)
                     texts[i] = b" ".join([w for w, g in zip(words, gone, strict=True) if not g]).decode()
-            arrays = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in schema.names]
+            arrays = [pa.array(texts, pa.string()) if c == text_col else row.field(c) for c in schema.names]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return _with_spans(docs, k, id_col, text_col).mapInArrow(run, schema)
