@@ -2,7 +2,8 @@
 
 The probability of a token mixes the maximum-likelihood estimates of word pairs, of words and of an unseen word. The
 weights depend on how often the context was seen, by powers of two, and are learned by expectation-maximisation on
-documents that the estimates leave out (Jelinek and Mercer, 1980). The final estimates use all training documents.
+documents that the estimates leave out (Jelinek and Mercer, 1980), with their estimates rounded to quarter octaves, so that
+the table they are learned from does not grow with the corpus. The final estimates use all training documents, unrounded.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from lumetra.llm import bpe, html, lm, neardups, packing, pii, quality, substrings, topk, toxicity
 from tests.llm import brute
 
@@ -96,6 +97,50 @@ def test_language_model_counts_and_a_proper_distribution(spark):
     assert seen and all(0 >= r["score"] > r["base_score"] for r in seen)
 
 
+def test_language_model_scores_equal_the_plain_ones(spark):
+    rnd = random.Random(21)
+    common = [f"c{i}" for i in range(30)]
+    rows = brute.TEXTS + [
+        (100 + i, " ".join(rnd.choice(common) if rnd.random() < 0.8 else f"r{rnd.randrange(900)}" for _ in range(rnd.randint(0, 60))))
+        for i in range(120)
+    ] + [(None, "c1 c2 c3")]
+    docs = brute.frame(spark, rows)
+    by_id = {r["doc_id"]: r["w"] for r in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id, 3), 10) = 0 AS w").collect()}
+    folds = ["test" if i is not None and zlib.crc32(str(i).encode()) % 7 == 2 else "weigh" if by_id[i] else "learn" for i, _ in rows]
+    assert {"test", "learn", "weigh"} == set(folds)
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(((r["doc_id"], r["score"]) for r in lm.score(docs).collect()), key=order)
+    want = sorted(zip([i for i, _ in rows], brute.interpolated(rows, folds)), key=order)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert all(math.isclose(a, b, rel_tol=1e-9) for (_, a), (_, b) in zip(got, want, strict=True))
+
+
+def test_rows_without_an_id(spark):
+    long = " ".join(f"q{i}" for i in range(30))
+    rows = [(None, brute.BASE), (None, None), (3, brute.BASE), (5, brute.BASE), (7, long), (None, long)]
+    docs = brute.frame(spark, rows)
+    got = sorted(map(tuple, neardups.classes(docs, size=4).collect()), key=repr)
+    n = len(brute.shingles(brute.BASE, 4))
+    assert got == sorted([(None, n, None, True), (None, 0, None, True), (3, n, 3, True), (5, n, 3, False), (7, 27, 7, True),
+                          (None, 27, None, True)], key=repr)
+    assert sorted(map(repr, (r[0] for r in neardups.keep_one(docs).collect()))) == ["3", "7", "None", "None", "None"]
+    gone = sorted(((r["doc_id"], r["n_words"], r["n_removed"]) for r in substrings.digests(docs).collect()), key=repr)
+    assert gone == sorted([(None, 60, 0), (None, 0, 0), (3, 60, 0), (5, 60, 60), (7, 30, 0), (None, 30, 0)], key=repr)
+    assert [r["held_out"] for r in lm.score(docs).collect() if r["doc_id"] is None] == [False] * 3
+
+
+def test_stages_take_columns_called_as_their_own(spark):
+    names = ("_gone", "_doc", "_mark", "_spans", "_bit", "_bits", "_word", "row", "kept", "component_id")
+    rows = [(i, brute.BASE if i < 3 else " ".join([f"t{i}", brute.BASE, *(f"e{i}x{j}" for j in range(36))]), *[f"{n}{i}" for n in names]) for i in range(1, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    kept = neardups.keep_one(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {1, 3, 4}
+    cut = {r["doc_id"]: r for r in substrings.remove(docs).collect()}
+    plain = {i: " ".join(words) for i, _, words in brute.removed([r[:2] for r in rows], 13)}
+    assert {i: " ".join(r["text"].split()) for i, r in cut.items()} == plain and cut[2]["text"] == ""
+    assert all(tuple(r)[2:] == tuple(f"{n}{i}" for n in names) for i, r in cut.items())
+
+
 def test_weights_come_from_expectation_maximisation():
     weights = lm.learn_weights([(5, 0, -20, 90.0), (5, 1, -20, 10.0)], 1e-6)
     assert weights.sum(axis=1) == pytest.approx(1) and 0.85 < weights[5][0] < 0.93
@@ -416,6 +461,13 @@ def test_articles_stay_whole():
     assert html.main_text("") == "" == html.main_text("<nav><a href=x>menu</a></nav>")
 
 
+def test_toxicity_and_the_pipeline_on_an_empty_table(spark, tmp_path):
+    docs, labels = brute.frame(spark).limit(0), spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.score(docs, toxicity.fit(docs, labels)).count() == 0
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_empty_pages_table(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
