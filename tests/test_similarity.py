@@ -233,3 +233,28 @@ def test_asked_pairs_alone(spark, share):
     asked = pairs.where(F.col("a") % share == 0).select("a", "b")
     got = sorted(S.pearson_of_pairs(asked, df, "user", "item", hot_rows=10, hot_pairs=100).collect(), key=lambda r: r[:2])
     assert got == sorted(pairs.where(F.col("a") % share == 0).collect(), key=lambda r: r[:2])
+
+
+@pytest.mark.parametrize("kind, step, plain", [("tinyint", 10**6, True), ("bigint", 1, False)])
+def test_unpacked_co_ratings_are_all_pairs(spark, kind, step, plain):
+    """Packed lists of raters give the moments of the join, of one table and of two."""
+    ratings = sample(seed=23)
+    df, few = frame(spark, ratings), frame(spark, {k: v for k, v in ratings.items() if k[0] % 3 == 0})
+    odd = df.unionByName(spark.createDataFrame([(None, 1, 2.0), (3, None, 2.0), (4, 1, None)], df.schema))
+    joined = S.Grid(1, 1, None, step, plain)
+    for light in (None, 15):
+        packed, rows = joined._replace(tasks=3, kind=kind, light=light), odd if light is None else df
+        assert sorted(S.co_moments(rows, "user", "item", grid=packed).collect()) == sorted(S.co_moments(df, "user", "item", grid=joined).collect())
+        got = sorted(S.co_moments(few, "user", "item", rows, packed).collect())
+        assert got == sorted(S.co_moments(few, "user", "item", df, joined).collect())
+
+
+def test_many_keys_are_summed_without_a_shuffle_of_pairs(spark):
+    df = spark.range(9000).selectExpr("cast(id % 3000 AS INT) AS user", "cast(id * 7 % 1501 AS INT) AS item", "cast(id % 5 AS DOUBLE) AS rating")
+    df = df.dropDuplicates(["user", "item"])
+    grid = S.tile_grid(df, "user", "item")
+    assert grid.tasks and grid.kind == "tinyint" and grid.light is None
+    plan = S.pearson(df, "user", "item", grid._replace(tasks=4))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(a" not in plan and "hashpartitioning(h" in plan
+    joined = sorted(S.pearson(df, "user", "item", grid._replace(tasks=0)).collect(), key=lambda r: r[:2])
+    assert joined and sorted(S.user_pearson(df).collect(), key=lambda r: r[:2]) == joined
