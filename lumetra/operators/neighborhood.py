@@ -11,6 +11,7 @@ from lumetra.operators.topk import top_k
 from lumetra.session import stored
 
 MIN_VOTES = 2
+STRETCH = 4096  # of items whose ratings by a user travel together
 
 
 def _votes(voted: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -34,10 +35,18 @@ def _others(ratings: DataFrame) -> DataFrame:
 def estimates(
     neighbours: DataFrame, ratings: DataFrame, hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS
 ) -> DataFrame:
-    """``(user, item, prediction)`` of all items that the neighbours rated."""
+    """``(user, item, prediction)`` of all items that the neighbours rated.
+
+    A neighbour's ratings travel to the user as packed lists, and are unpacked and summed there without another shuffle.
+    """
     others = _others(ratings)
-    hot = found(hot_keys(others, neighbours, ["other"], hot_rows, hot_pairs))
-    return _votes(split_join(others, neighbours, ["other"], ["item"], hot), ratings)
+    hot = found(hot_keys(neighbours, others, ["other"], hot_rows, hot_pairs))
+    cells = F.collect_list(F.struct("item", "rating"))
+    packed = others.groupBy("other", F.floor(F.col("item") / STRETCH).alias("_s")).agg(cells.alias("l")).select(
+        "other", F.col("l.item").alias("items"), F.col("l.rating").alias("ratings"))
+    met = split_join(neighbours, packed, ["other"], ["user"], hot).select("user", "sim", "items", "ratings").repartition("user")
+    voted = met.select("user", "sim", F.explode(F.arrays_zip("items", "ratings")).alias("o"))
+    return _votes(voted.select("user", "sim", F.col("o.items").alias("item"), F.col("o.ratings").alias("rating")), ratings)
 
 
 def estimates_of(

@@ -258,3 +258,37 @@ def test_many_keys_are_summed_without_a_shuffle_of_pairs(spark):
     assert "hashpartitioning(a" not in plan and "hashpartitioning(h" in plan
     joined = sorted(S.pearson(df, "user", "item", grid._replace(tasks=0)).collect(), key=lambda r: r[:2])
     assert joined and sorted(S.user_pearson(df).collect(), key=lambda r: r[:2]) == joined
+
+
+@pytest.mark.parametrize("seed, shift, users, values", [(31, 0.0, 90, 5), (32, 500.0, 90, 3), (33, 0.0, 60, 1), (34, -3.0, 90, 1000)])
+def test_wide_blocks_find_the_same_nearest(spark, monkeypatch, seed, shift, users, values):
+    """Screening in single precision loses no partner, with ties, large or constant ratings, in one or two tables."""
+    monkeypatch.setattr(S, "_CHUNK_KEYS", 16)
+    rng = random.Random(seed)
+    ratings = {(u, i): shift + rng.randrange(values) / 100 for u in range(users) for i in range(12) if rng.random() < 0.6}
+    df, few = frame(spark, ratings), frame(spark, {k: v for k, v in ratings.items() if k[0] % 3 == 0})
+    narrow = S.Grid(5, 1, 0, 10**4, True, 0, "int")
+    for wide in (1, 3):
+        for others in (None, df):
+            left = df if others is None else few
+            want = sorted(S.nearest(left, 4, others=others, grid=narrow).collect())
+            assert sorted(S.nearest(left, 4, others=others, grid=narrow._replace(wide=wide)).collect()) == want
+
+
+def test_many_keys_meet_in_few_blocks(spark):
+    """A key goes to a block of tens of thousands of others, not of a thousand."""
+    df = spark.range(300 * 300).selectExpr("cast(id / 300 AS INT) AS item", "cast(id % 300 AS INT) AS user", "cast(id % 7 AS DOUBLE) AS rating")
+    more = df.unionByName(spark.range(300, 60_000).selectExpr("0 AS item", "cast(id AS INT) AS user", "1D AS rating"))
+    grid = S.tile_grid(more, "user", "item")
+    assert grid.plain and grid.light == 0 and grid.dims == 1 and grid.keys > 50 and grid.wide < 10
+
+
+def test_screen_keeps_every_pair_that_reaches():
+    rng = np.random.default_rng(5)
+    for spread in (1, 3, 10**6):
+        m = (rng.random((200, 40)) < 0.5) * 1.0
+        x = (5_000_000 + rng.integers(0, spread + 1, m.shape)) * m
+        sim = S._similarities(S._sums_of(x, m, x, m))
+        for least in (0.3, 0.9, 1 - 1e-12):
+            kept = S._Screen([(x, m), (x, m)], 40).pairs(slice(0, 200), slice(0, 200), np.full((200, 1), least))
+            assert kept[sim >= least].all()
