@@ -38,6 +38,7 @@ class AlsParams:
 RATINGS_PER_BLOCK = 25_000
 RATINGS_PER_MESSAGE = 1_000
 MOST_PER_BLOCK = 20_000_000
+FEW_BLOCKS, IDS_PER_BLOCK = 8, 64
 
 
 def factor_blocks(n_ratings: int, ratings_per_block: int = RATINGS_PER_BLOCK) -> int:
@@ -53,10 +54,16 @@ def factor_blocks(n_ratings: int, ratings_per_block: int = RATINGS_PER_BLOCK) ->
 
 
 def block_grid(ratings: DataFrame) -> tuple[int, int]:
-    """Blocks of users and of items: no more than there are of either, by mergeable sketches that any machine gets alike."""
+    """Blocks of users and of items: no more than there are of either, by mergeable sketches that any machine gets alike.
+
+    A factor is sent to each block that has a rating with it, so beyond ``FEW_BLOCKS`` a block has ``IDS_PER_BLOCK`` ids or more,
+    unless that makes it larger than a task can hold.
+    """
     row = ratings.agg(F.count(F.lit(1)), F.approx_count_distinct("user"), F.approx_count_distinct("item")).first()
     blocks = factor_blocks(row[0])
-    return min(blocks, max(1, row[1])), min(blocks, max(1, row[2]))
+    least = max(FEW_BLOCKS, math.ceil(row[0] / MOST_PER_BLOCK))
+    users, items = (min(blocks, max(1, n), max(least, n // IDS_PER_BLOCK)) for n in row[1:])
+    return users, items
 
 
 def fit(ratings: DataFrame, params: AlsParams, seed: int = SEED, blocks: int | tuple[int, int] | None = None) -> ALSModel:

@@ -105,6 +105,12 @@ def test_no_more_blocks_than_users_or_items(spark):
     assert A.block_grid(rows) == (8, 3)
 
 
+def test_a_hundred_items_make_few_blocks(spark):
+    """A user's factor goes to the blocks of its items, however many ratings there are; all items still get a factor."""
+    rows = spark.range(400_000).selectExpr("cast(id % 4000 AS INT) AS user", "cast(id / 4000 AS INT) AS item", "1D + id % 5 AS rating")
+    assert A.factor_blocks(400_000) > 8 and A.block_grid(rows) == (16, 8)
+
+
 def test_default_grid_has_sixteen_fits():
     assert len(A.GRID_RANKS) * len(A.GRID_REGS) * len(A.GRID_ITERS) == 16
 
