@@ -26,8 +26,9 @@ from lumetra.session import stored
 LEFT_BLOCK = 8192
 RIGHT_BLOCK = 2048
 BAND_GROWTH = 2
+SIMILAR_BLOCK, SIMILAR_CELLS = 32_768, 4_000_000  # vectors, and numbers, of a block of similar items
 PIVOTS, PIVOT_SAMPLE = 64, 2048
-_CHUNK_ROWS = 1024
+_CHUNK_SCORES = 1024 * RIGHT_BLOCK
 _SLACK = 1e-9
 _BEST = "id bigint, other bigint, score double"
 
@@ -60,8 +61,9 @@ def _block_kernel(k: int, min_score: float | None, strict: bool, exclude_same: b
             b, fb = matrix(right, "r_cells")
             by_id = np.argsort(b)
             b, fb = b[by_id], fb[by_id]
-            for start in range(0, len(a), _CHUNK_ROWS):
-                rows = slice(start, start + _CHUNK_ROWS)
+            chunk = max(16, _CHUNK_SCORES // max(1, len(b)))
+            for start in range(0, len(a), chunk):
+                rows = slice(start, start + chunk)
                 score = np.round(fa[rows] @ fb.T, 12)
                 if exclude_same:
                     score[a[rows, None] == b[None, :]] = -np.inf
@@ -251,17 +253,20 @@ def _visits(unit: DataFrame, min_similarity: float, n_pivots: int) -> tuple[Data
 def similar_items(vectors: DataFrame, k: int = 10, min_similarity: float = 0.6, n_pivots: int | None = None) -> DataFrame:
     """``(id, other, score)``: up to k items of cosine at least ``min_similarity`` for each item.
 
-    There is a pivot for every ``RIGHT_BLOCK`` items, up to ``PIVOTS``; with one pivot all pairs are scored.
+    There is a pivot for every ``RIGHT_BLOCK`` items, up to ``PIVOTS``; with one pivot all pairs are scored. A group is one
+    block unless it is too large for a task, so that a vector travels once per group it visits.
     """
     unit = _plain(unit_vectors(vectors))
     n_pivots = n_pivots or min(PIVOTS, math.ceil(vectors.count() / RIGHT_BLOCK))
     if n_pivots <= 1:
         return best_partners(unit, unit, k, min_score=min_similarity, exclude_same=True)
     unit = stored(unit, "unit")
-    if not unit.take(1):
+    some = unit.first()
+    if not some:
         return unit.select("id", F.col("id").alias("other"), F.lit(0.0).alias("score"))
     grouped, visits, groups = _visits(unit, min_similarity, n_pivots)
-    parts = [max(1, math.ceil(g["n"] / RIGHT_BLOCK)) for g in groups]
+    block = min(SIMILAR_BLOCK, max(RIGHT_BLOCK, SIMILAR_CELLS // max(1, len(some["features"]))))
+    parts = [max(1, math.ceil(g["n"] / block)) for g in groups]
     starts = np.cumsum([0, *parts]).tolist()
     by_home = {g["home"]: i for i, g in enumerate(groups)}
     number = F.element_at(F.array([F.lit(by_home.get(h, 0)) for h in range(max(by_home) + 1)]), F.col("home") + 1)

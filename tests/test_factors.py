@@ -125,3 +125,17 @@ def test_groups_apart_are_not_compared(spark):
     m = np.eye(8)[rng.integers(0, 8, 200)] + rng.normal(size=(200, 8)) * 0.02
     work = B.compared_pairs(vectors(spark, range(200), m), 0.6).first()
     assert work["n_pairs"] == 40_000 and work["n_scored"] < 10_000
+
+
+def test_a_group_of_similar_items_is_one_block(spark, monkeypatch):
+    """A vector travels once to a group, not once to each of its parts of ``RIGHT_BLOCK``; the lists are those of all pairs."""
+    from lumetra.operators import factors as B
+
+    rows = [(i, [float(i % 7 + 1), float(i % 5), float(i % 3)]) for i in range(60)]
+    vectors = spark.createDataFrame(rows, "id bigint, features array<double>")
+    want = sorted(B.similar_items(vectors, 3, 0.2, n_pivots=1).collect())
+    met, plain = [], B._meet
+    monkeypatch.setattr(B, "_meet", lambda left, right, kernel: met.append(left.count()) or plain(left, right, kernel))
+    monkeypatch.setattr(B, "RIGHT_BLOCK", 4)
+    assert sorted(B.similar_items(vectors, 3, 0.2, n_pivots=2).collect()) == want
+    assert met[0] <= 4
