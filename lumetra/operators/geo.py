@@ -38,8 +38,8 @@ def nearest_place(
 
     Up to ``small_places`` places (nine entries each) of which no cell meets more than ``CROWDED``
     are broadcast as one list per cell, and the points are not shuffled at all. Otherwise the
-    points go down a tree of places (``placetree``), where they meet a few places each at any
-    density; its nodes are broadcast up to ``small_places`` places, and joined by cell beyond that.
+    points are sent to cells of some thousand places each, at any density (``placetree``): to the
+    one with the nearest box, and to those that may hold a place nearer than the nearest there.
     Points without coordinates have no place; repeated points are kept.
     """
     reach = max_km / EARTH_KM * _MARGIN
@@ -73,17 +73,15 @@ def nearest_place(
         found_place = f"struct({km} AS km, {place}.place_id AS place_id, {place}.address AS address)"
         return f"CASE WHEN {km} <= {float(max_km)!r}D THEN {found_place} END"
 
-    small = places.count() <= small_places
-    if small:
+    def best(near_places: str) -> str:
+        return f"array_min(transform({near_places}, e -> {near('e._lon', 'e._lat', 'e._p')}))"
+
+    if places.count() <= small_places:
         cells = entered.groupBy("_x", "_y").agg(F.collect_list(F.struct("_lon", "_lat", "_p")).alias("_near"))
         if (cells.agg(F.max(F.size("_near"))).first()[0] or 0) <= CROWDED:
-            best = f"array_min(transform(_near, e -> {near('e._lon', 'e._lat', 'e._p')})).address AS address"
-            return placed.join(F.broadcast(cells), ["_x", "_y"], "left").selectExpr("id", "lon", "lat", best)
+            found_places = placed.join(F.broadcast(cells), ["_x", "_y"], "left")
+            return found_places.selectExpr("id", "lon", "lat", f"{best('_near')}.address AS address")
 
     tree = placetree.Tree(places, 2 * math.sin(min(reach, math.pi) / 2))
-    met = placetree.search(points.select("id", "lon", "lat"), tree, small, hot_rows, hot_pairs)
-    # a point met no place once, as often as it is repeated
-    best = met.groupBy("id", "lon", "lat").agg(
-        F.expr(f"min({near('_lon', '_lat', '_p')}).address").alias("address"), F.count_if(F.col("_p").isNull()).alias("_n")
-    )
-    return best.select("id", "lon", "lat", "address", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_n")).drop("_n")
+    found_places = placetree.search(points, tree, best, hot_rows, hot_pairs)
+    return found_places.select("id", "lon", "lat", F.col("best.address").alias("address"))

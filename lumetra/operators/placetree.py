@@ -1,30 +1,37 @@
-"""A tree of places on the globe, and the search for the nearest one level by level.
+"""The places that the nearest one of a point is among, by a tree of cells on the globe.
 
-Points and places are unit vectors, and space is cut into cubes. The edge of the largest cubes is the chord of the search
-distance, so that a point's own cube and the 26 around it hold all places that can count; each further level cuts an edge in
-four, as long as a cube holds more than ``LEAF`` places. A node knows the box around its places and one of them. A point goes
-down from its own cube's neighbourhood: the known places of the nodes give a distance that the nearest place cannot exceed,
-and nodes whose box is farther are left behind. What remains at the leaves are a few places, whatever the density.
+Points and places are unit vectors. The cube around all places is halved along each axis as long as a cell holds more than
+``CELL`` places (or one in ``CELLS`` of all), so that there are some thousand cells at any density and number of places. What
+leaves the tasks is a cell's box alone. A point goes to the cell whose box is nearest and meets its places there; their
+distance is one that the nearest place cannot exceed, and the point goes on only to the cells whose boxes are no farther.
+So a point is shuffled once, and again if it lies close to the edge of its cell or outside.
 
-Every level is one join of the points' open nodes with the nodes' children, one row per node.
+In a task a cell's places and points are cut into small blocks, and blocks are compared by their boxes before their rows.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from lumetra.operators.skew import found, hot_keys, split_join
+from lumetra.operators.skew import found, hot_keys, split_sides
 from lumetra.session import stored
 
-LEAF = 16
-DEEPEST = 12  # 4 ** 12 times finer than the search distance: 2 mm for 30 km
+CELL = 1024
+CELLS = 2048
+GROUP = 65_536  # points of a cell that one task takes at once
+DEEPEST = 18  # halvings: 50 m where places lie all over the globe
+_STEP = 6  # levels counted at once
+_PLACES, _POINTS = 16, 128  # of a block
 _AXES = ("x", "y", "z")
-_CELL = [f"c{a}" for a in _AXES]
 _SLACK = 1e-11  # of the radius: more than rounding of distances to 9 places of a kilometre, and of the vectors
-_NODE = ["level", *_CELL]
 
 
 def unit(lon: str, lat: str) -> list[Column]:
@@ -33,96 +40,216 @@ def unit(lon: str, lat: str) -> list[Column]:
     return [(F.cos(lat_) * F.cos(lon_)).alias("x"), (F.cos(lat_) * F.sin(lon_)).alias("y"), F.sin(lat_).alias("z")]
 
 
-def _edge(chord: float, level: int) -> float:
-    return chord * (1 + 1e-9) / 4**level
+def _units(t: pa.Table | pa.RecordBatch) -> np.ndarray:
+    """As ``unit``, a row per point; NaN where a coordinate is missing."""
+    lon, lat = (np.radians(np.asarray(pc.cast(t.column(c), pa.float64()).to_numpy(zero_copy_only=False))) for c in ("lon", "lat"))
+    with np.errstate(invalid="ignore"):
+        return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], axis=1)
 
 
-def _cell(level: int, chord: float) -> list[Column]:
-    return [F.floor(F.col(a) / F.lit(_edge(chord, level))).alias(c) for a, c in zip(_AXES, _CELL)]
+def _vectors(t: pa.Table | pa.RecordBatch) -> np.ndarray:
+    return np.stack([t.column(a).to_numpy() for a in _AXES], axis=1)
+
+
+class _Cube(NamedTuple):
+    """The cube around all places."""
+
+    low: np.ndarray
+    edge: float
+
+    def cells(self, xyz: np.ndarray, level: int) -> np.ndarray:
+        """The number of each vector's cell; cells of different levels have different numbers."""
+        at = np.floor((xyz - self.low) / self.edge * 2**level).astype(np.int64).clip(0, 2**level - 1)
+        return (level << 3 * DEEPEST) + (at[:, 0] << 2 * DEEPEST) + (at[:, 1] << DEEPEST) + at[:, 2]
+
+    def leaves(self, xyz: np.ndarray, crowded: np.ndarray) -> np.ndarray:
+        """The first cell of each vector that is not crowded."""
+        out, open_ = np.empty(len(xyz), np.int64), np.arange(len(xyz))
+        for level in range(DEEPEST + 1):
+            out[open_] = cells = self.cells(xyz[open_], level)
+            open_ = open_[np.isin(cells, crowded)]
+            if not len(open_):
+                break
+        return out
+
+
+class _Boxes(NamedTuple):
+    """Tight boxes around the rows of some cells or blocks."""
+
+    low: np.ndarray
+    high: np.ndarray
+
+    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The least distance from any place of a box to any of the vectors between ``low`` and ``high``."""
+        return np.sqrt((np.maximum(np.maximum(self.low - high, low - self.high), 0) ** 2).sum(axis=-1))
+
+    def of(self, rows: np.ndarray) -> _Boxes:
+        return _Boxes(self.low[rows], self.high[rows])
+
+
+def _blocks(xyz: np.ndarray, rows: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """The rows in blocks of neighbours."""
+    if len(rows) <= size:
+        if len(rows):
+            yield rows
+        return
+    at = xyz[rows]
+    half = len(rows) // 2
+    order = np.argpartition(at[:, np.argmax(np.ptp(at, axis=0))], half)
+    yield from _blocks(xyz, rows[order[:half]], size)
+    yield from _blocks(xyz, rows[order[half:]], size)
+
+
+def _count(cube: _Cube, levels: range, within: np.ndarray | None) -> Callable:
+    def kernel(batches):
+        for batch in batches:
+            xyz = _vectors(batch)
+            if within is not None:
+                xyz = xyz[np.isin(cube.cells(xyz, levels[0] - 1), within)]
+            for level in levels:
+                cell, n = np.unique(cube.cells(xyz, level), return_counts=True)
+                yield pa.RecordBatch.from_pydict({"cell": cell, "n": n.astype(np.int64)})
+
+    return kernel
+
+
+def _place(cube: _Cube, crowded: np.ndarray) -> Callable:
+    def kernel(batches):
+        for batch in batches:
+            yield batch.append_column("cell", pa.array(cube.leaves(_vectors(batch), crowded)))
+
+    return kernel
 
 
 class Tree:
-    """Nodes by level, the children of each, and the places of each leaf.
+    """``places`` with their ``cell`` and the cells' boxes.
 
-    ``places`` has ``place_id``, ``lon``, ``lat``, ``address``; those at one spot count once, by the smallest id. Cells are
-    aligned: the cell of a place at a level is that of the next level divided by four.
+    The input has ``place_id``, ``lon``, ``lat``, ``address``; places at one spot count once, by the smallest id.
     """
 
-    def __init__(self, places: DataFrame, chord: float, leaf: int = LEAF):
-        self.chord = chord
-        spots = stored(
+    def __init__(self, places: DataFrame, chord: float):
+        self.chord = chord * (1 + 1e-9) + _SLACK
+        spots = (
             places.where("lon IS NOT NULL AND lat IS NOT NULL").groupBy("lon", "lat")
-            .agg(F.min(F.struct("place_id", "address")).alias("p")).select("lon", "lat", "p", *unit("lon", "lat")),
-            "spots",
+            .agg(F.min(F.struct("place_id", "address")).alias("_p"))
+            .select(F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), "_p", *unit("lon", "lat"))
         )
-        finest = spots.select("*", *_cell(DEEPEST, chord))
-        up = F.explode(F.sequence(F.lit(0), F.lit(DEEPEST))).alias("level")
-        at = finest.select("*", up).withColumns({
-            c: F.floor(F.col(c) / F.pow(F.lit(4.0), F.lit(DEEPEST) - F.col("level"))).cast("long") for c in _CELL
-        })
-        box = [f(a).alias(f"{n}_{a}") for a in _AXES for n, f in (("low", F.min), ("high", F.max))]
-        known = F.min(F.struct("p.place_id", *_AXES)).alias("known")
-        nodes = stored(at.groupBy(*_NODE).agg(F.count(F.lit(1)).alias("n"), *box, known), "nodes")
-        is_leaf = (F.col("n") <= F.lit(leaf)) | (F.col("level") == F.lit(DEEPEST))
-        node = F.struct(
-            *_NODE, *[F.col(f"{n}_{a}") for a in _AXES for n in ("low", "high")], *[F.col(f"known.{a}").alias(f"known_{a}") for a in _AXES],
-            is_leaf.alias("leaf"),
-        ).alias("node")
-        self.empty = nodes.select(node).schema["node"].dataType
-        # a cell is split if its children hold more than a leaf may
-        self.children = stored(
-            nodes.where("level > 0").select(
-                (F.col("level") - 1).alias("level"), *[F.floor(F.col(c) / 4).cast("long").alias(c) for c in _CELL], node, "n"
-            ).groupBy(*_NODE).agg(F.collect_list("node").alias("nodes"), F.sum("n").alias("_n"))
-            .where(F.col("_n") > F.lit(leaf)).drop("_n"), "children",
-        )
-        near = F.explode(F.array([F.lit(d) for d in (-1, 0, 1)]))
-        around = nodes.where("level = 0").select(*_CELL, node)
-        for c in _CELL:
-            around = around.withColumn("_d", near).withColumn(c, F.col(c) + F.col("_d")).drop("_d")
-        self.roots = around.groupBy(*_CELL).agg(F.collect_list("node").alias("nodes"))
-        first_leaf = F.min(F.struct(*_NODE)).alias("at")
-        self.leaves = (
-            at.join(nodes.where(is_leaf).select(*_NODE), _NODE).groupBy("lon", "lat", "p").agg(first_leaf)
-            .select(F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), F.col("p").alias("_p"), "at.*")
-        )
-        self.depth = 1 + (self.children.agg(F.max("level")).first()[0] if self.children.take(1) else -1)
-
-
-def search(points: DataFrame, tree: Tree, small: bool, hot_rows: int, hot_pairs: int) -> DataFrame:
-    """``id``, ``lon``, ``lat`` of each point with the places (``_lon``, ``_lat``, ``_p``) that its nearest one is among,
-    and once with none. With ``small`` the tree's tables are broadcast and the points are shuffled once, by id; else both
-    are joined by cell, crowded cells split by point."""
+        spots = stored(spots.where(~F.isnan("x") & ~F.isnan("y") & ~F.isnan("z")), "spots")
+        row = spots.agg(F.count(F.lit(1)), *[f(a) for f in (F.min, F.max) for a in _AXES]).first()
+        n = row[0]
+        low, high = (np.array(row[i:i + 3] if n else [0.0] * 3) for i in (1, 4))
+        cube = _Cube(low, float(max(np.max(high - low), 1e-12)) * (1 + 1e-9))
+        most = max(CELL, n // CELLS)
+        crowded, within = [], None
+        for first in range(0, DEEPEST, _STEP):
+            levels = range(first, first + _STEP)
+            counts = spots.mapInArrow(_count(cube, levels, within), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+            cells = np.sort(counts.where(F.col("n") > F.lit(most)).select("cell").toArrow()["cell"].to_numpy())
+            crowded.append(cells)
+            within = cells[cells >> 3 * DEEPEST == levels[-1]]
+            if not len(within):
+                break
+        schema = StructType([*spots.schema.fields, StructField("cell", LongType())])
+        self.places = stored(spots.mapInArrow(_place(cube, np.concatenate(crowded)), schema), "places")
+        boxes = self.places.groupBy("cell").agg(*[f(a).alias(f"{n}_{a}") for n, f in (("low", F.min), ("high", F.max)) for a in _AXES])
+        boxes = boxes.toArrow()
+        self.cells = boxes["cell"].to_numpy()
+        self.boxes = _Boxes(*(np.stack([boxes[f"{n}_{a}"].to_numpy() for a in _AXES], axis=1) for n in ("low", "high")))
+
+
+def _first_cell(cells: np.ndarray, boxes: _Boxes, chord: float) -> Callable:
+    """Each point's cell with the nearest box, or NULL if all are too far."""
+    def kernel(batches):
+        for batch in batches:
+            xyz = _units(batch)
+            cell = np.full(len(xyz), -1)
+            for rows in _blocks(xyz, np.flatnonzero(np.isfinite(xyz).all(axis=1)), _POINTS):
+                low, high = xyz[rows].min(axis=0), xyz[rows].max(axis=0)
+                # no point of the block is farther from its nearest box
+                far = np.sqrt((np.maximum(np.maximum(boxes.low - low, high - boxes.high), 0) ** 2).sum(axis=1)).min(initial=chord)
+                near = np.flatnonzero(boxes.least(low, high) <= far + _SLACK)
+                if len(near):
+                    apart = boxes.of(near).least(xyz[rows, None], xyz[rows, None])
+                    best = apart.argmin(axis=1)
+                    cell[rows] = np.where(apart.min(axis=1) <= chord, cells[near[best]], -1)
+            yield batch.append_column("cell", pa.array(cell, mask=cell == -1))
+
+    return kernel
+
+
+def _lists(rows: list[np.ndarray], values: list[np.ndarray], n: int) -> tuple[pa.Array, np.ndarray]:
+    """Offsets of the lists of ``n`` rows and their values, of pairs in any order of rows."""
+    rows, values = (np.concatenate([np.empty(0, np.int64), *x]) for x in (rows, values))
+    return pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]), pa.int32()), values[np.argsort(rows, kind="stable")]
+
+
+def _nearest(names: list[str], chord: float, cells: np.ndarray | None = None, boxes: _Boxes | None = None) -> Callable:
+    """The places of a cell that are nearest to each of its points and no farther than ``upto``, if given. With ``boxes`` also the
+    other cells that may hold one as near, and the distance of the nearest so far."""
+    def kernel(points: pa.Table, places: pa.Table) -> pa.Table:
+        n, xyz, all_ = points.num_rows, _units(points), _vectors(places)
+        parts = list(_blocks(all_, np.arange(len(all_)), _PLACES))
+        by_part = np.concatenate(parts)
+        starts = np.cumsum([0, *(len(p) for p in parts)])
+        all_ = all_[by_part]
+        part = _Boxes(np.minimum.reduceat(all_, starts[:-1]), np.maximum.reduceat(all_, starts[:-1]))
+        upto = points["upto"].to_numpy().copy() if boxes is None else np.full(n, chord)
+        met, also = ([], []), ([], [])
+        for rows in _blocks(xyz, np.arange(n), _POINTS):
+            p = xyz[rows]
+            low, high = p.min(axis=0), p.max(axis=0)
+            far = np.sqrt((np.maximum(part.high - low, high - part.low) ** 2).sum(axis=1)).min()
+            near = np.flatnonzero(part.least(low, high) <= min(far, upto[rows].max()) + _SLACK)
+            if len(near):
+                at = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in near])
+                apart = np.sqrt(sum((p[:, None, a] - all_[None, at, a]) ** 2 for a in range(3)))
+                upto[rows] = np.minimum(upto[rows], apart.min(axis=1))
+                i, j = np.nonzero(apart <= upto[rows, None] + _SLACK)
+                met[0].append(rows[i])
+                met[1].append(by_part[at[j]])
+            if boxes is not None:
+                near = np.flatnonzero((boxes.least(low, high) <= upto[rows].max() + _SLACK) & (cells != points["cell"][0].as_py()))
+                i, j = np.nonzero(boxes.of(near).least(p[:, None], p[:, None]) <= upto[rows, None] + _SLACK)
+                also[0].append(rows[i])
+                also[1].append(cells[near[j]])
+        offsets, values = _lists(*met, n)
+        places = places.select(["_lon", "_lat", "_p"]).take(pa.array(values))
+        struct = pa.StructArray.from_arrays([places.column(c).combine_chunks() for c in range(3)], fields=list(places.schema))
+        columns = [points.column(c) for c in ("id", "lon", "lat")] + [pa.ListArray.from_arrays(offsets, struct)]
+        if boxes is not None:
+            offsets, values = _lists(*also, n)
+            columns += [pa.array(upto), pa.ListArray.from_arrays(offsets, pa.array(values, pa.int64()))]
+        return pa.Table.from_arrays(columns, names=names)
+
+    return kernel
+
+
+def search(points: DataFrame, tree: Tree, best: Callable[[str], str], hot_rows: int, hot_pairs: int) -> DataFrame:
+    """``id``, ``lon``, ``lat`` of each point and ``best``: the least struct of what ``best`` makes of the places near it, as SQL
+    text of an array of ``(_lon, _lat, _p)``. Repeated points are kept. Cells with many points are split by point."""
     point = ["id", "lon", "lat"]
-
-    def met(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-        if small:
-            return left.join(F.broadcast(right), keys, "left")
-        left = stored(left, "open")
-        return split_join(left, right, keys, ["id"], found(hot_keys(left, right, keys, hot_rows, hot_pairs)), how="left")
-
-    none = F.lit(None).cast(tree.empty)
-    own = points.select(*point, *unit("lon", "lat")).select("*", *_cell(0, tree.chord))
-    # the node that is none stays to the end and keeps points without places
-    open_ = met(own, tree.roots, _CELL).select(
-        *point, *_AXES, F.explode(F.concat(F.coalesce("nodes", F.array().cast(f"array<{tree.empty.simpleString()}>")), F.array(none))).alias("node")
-    )
-    far = math.inf
-    best = F.lit(tree.chord * (1 + 1e-9) + _SLACK)
-    for level in range(tree.depth + 1):
-        apart = [F.greatest(F.col(f"node.low_{a}") - F.col(a), F.col(a) - F.col(f"node.high_{a}"), F.lit(0.0)) for a in _AXES]
-        known = [F.col(f"node.known_{a}") - F.col(a) for a in _AXES]
-        length = lambda parts: F.sqrt(sum((p * p for p in parts[1:]), parts[0] * parts[0]))
-        upto = F.min(F.coalesce(length(known), F.lit(far))).over(Window.partitionBy(*point))
-        open_ = (
-            open_.withColumn("_least", length(apart)).withColumn("_upto", upto)
-            .where(F.col("node").isNull() | (F.col("_least") <= F.least(F.col("_upto") + F.lit(_SLACK), best)))
-            .select(*point, *_AXES, "node")
-        )
-        if level < tree.depth:
-            keyed = open_.select("*", *[F.when(~F.col("node.leaf"), F.col(f"node.{c}")).alias(c) for c in _CELL])
-            children = tree.children.where(F.col("level") == F.lit(level)).drop("level")
-            open_ = met(keyed, children, _CELL).select(
-                *point, *_AXES, F.explode(F.coalesce("nodes", F.array("node"))).alias("node")
-            )
-    return met(open_.select(*point, *[F.col(f"node.{c}").alias(c) for c in _NODE]), tree.leaves, _NODE).drop(*_NODE)
+    points = points.select(*point)
+    cells, boxes, chord = tree.cells, tree.boxes, tree.chord
+    place = ArrayType(StructType([f for f in tree.places.schema.fields if f.name in ("_lon", "_lat", "_p")]))
+    again = StructType([*points.schema.fields, StructField("near", place)])
+    once = StructType([*again.fields, StructField("upto", DoubleType()), StructField("also", ArrayType(LongType()))])
+
+    def met(asked: DataFrame, schema: StructType, *others) -> DataFrame:
+        hot = found(hot_keys(asked, tree.places, ["cell"], min(hot_rows, GROUP), hot_pairs))
+        one, other = split_sides(asked, tree.places, ["cell"], point, hot)
+        keys = [c for c in one.columns if c in other.columns]
+        kernel = _nearest(schema.fieldNames(), chord, *others)
+        near = one.groupBy(*keys).cogroup(other.groupBy(*keys)).applyInArrow(kernel, schema)
+        return near.select(*point, F.expr(best("near")).alias("best"), *schema.fieldNames()[len(again):])
+
+    placed = StructType([*points.schema.fields, StructField("cell", LongType())])
+    asked = stored(points.mapInArrow(_first_cell(cells, boxes, chord), placed), "asked")
+    first = stored(met(asked.where("cell IS NOT NULL"), once, cells, boxes), "first")
+    open_ = first.where(F.size("also") > 0)
+    second = met(open_.select(*point, "upto", F.explode("also").alias("cell")), again)
+    both = open_.select(*point, "best", F.lit(1).alias("_n")).unionByName(second.select(*point, "best", F.lit(0).alias("_n")))
+    # a point met its first cell once, as often as it is repeated
+    both = both.groupBy(*point).agg(F.min("best").alias("best"), F.sum("_n").alias("_n"))
+    repeated = both.select(*point, "best", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_n")).drop("_n")
+    far = asked.where("cell IS NULL").select(*point, F.lit(None).cast(first.schema["best"].dataType).alias("best"))
+    return first.where(F.size("also") == 0).select(*point, "best").unionByName(repeated).unionByName(far)

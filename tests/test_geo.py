@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from lumetra.operators import placetree
 from lumetra.operators.geo import EARTH_KM, nearest_place
 
 
@@ -84,3 +85,32 @@ def test_points_without_coordinates_and_repeated_points(spark):
     places = spark.range(200).selectExpr("id AS place_id", "1D + id / 1e5 AS lon", "1D AS lat", "concat('a', id) AS address")
     got = sorted((r["id"], r["address"]) for r in nearest_place(points, places, 30).collect())
     assert got == [(1, "a0"), (1, "a0"), (2, None), (3, None)] or [x[1] for x in got] == ["a0", "a0", None, None]
+
+
+@pytest.mark.parametrize("max_km", [0.2, 5, 3000])
+def test_a_point_is_moved_to_the_cells_that_may_hold_its_place_alone(spark, monkeypatch, max_km):
+    """Many small cells, some split by point: results as by brute force, and hardly more rows kept than there are points and places."""
+    monkeypatch.setattr(placetree, "CELL", 8, raising=False)
+    monkeypatch.setattr(placetree, "GROUP", 20, raising=False)
+    kept = []
+
+    def stored(df, name="stage", store=placetree.stored):
+        out = store(df, name)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(placetree, "stored", stored)
+    rng = random.Random(5)
+    town = [(117.2 + rng.random() / 10, 31.8 + rng.random() / 10) for _ in range(300)]
+    places = town + town[:50] + [(117 + i / 10, 31.5) for i in range(7)] + [(-63, -31.8), (179.99, 0), (-179.99, 0.01)]
+    points = [(117.15 + rng.random() / 5, 31.75 + rng.random() / 5) for _ in range(500)] + town[:20] + [(180, 0), (0, 90), (118, 33)]
+    check(spark, points, places, max_km, small_places=0)
+    assert sum(kept) <= 2 * len(points) + 2 * len(places)
+
+
+def test_repeated_points_near_the_edge_of_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(placetree, "CELL", 1, raising=False)
+    points = spark.createDataFrame([(1, 1.5, 1.0)] * 3 + [(None, 1.5, 1.0), (2, None, 1.0), (3, 1.9, 1.0)], "id int, lon double, lat double")
+    places = spark.range(1, 4).selectExpr("id AS place_id", "cast(id AS DOUBLE) AS lon", "1D AS lat", "concat('a', id) AS address")
+    got = sorted(map(str, ((r["id"], r["address"]) for r in nearest_place(points, places, 100, small_places=0).collect())))
+    assert got == ["(1, 'a1')"] * 3 + ["(2, None)", "(3, 'a2')", "(None, 'a1')"]
