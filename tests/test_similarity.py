@@ -292,3 +292,37 @@ def test_screen_keeps_every_pair_that_reaches():
         for least in (0.3, 0.9, 1 - 1e-12):
             kept = S._Screen([(x, m), (x, m)], 40).pairs(slice(0, 200), slice(0, 200), np.full((200, 1), least))
             assert kept[sim >= least].all()
+
+
+@pytest.mark.parametrize("shift", [0.0, -3.0])
+def test_wide_blocks_pass_on_all_pairs(spark, monkeypatch, shift):
+    """The moments of the tiles, of one table and of two, also with rows without key, dimension or rating."""
+    monkeypatch.setattr(S, "_CHUNK_KEYS", 16)
+    rng = random.Random(41)
+    ratings = {(u, i): shift + rng.randrange(700) / 100 for u in range(90) for i in range(12) if rng.random() < 0.4}
+    df, few = frame(spark, ratings), frame(spark, {k: v for k, v in ratings.items() if k[0] % 3 == 0})
+    odd = df.unionByName(spark.createDataFrame([(None, 1, 2.0), (3, None, 2.0), (4, 99, None)], df.schema))
+    for keys in (1, 4):
+        tiles = S.Grid(keys, 1, 0, 10**4, True, 0, "int")
+        wide = tiles._replace(wide=1)
+        assert sorted(S.co_moments(odd, "user", "item", grid=wide).collect()) == sorted(S.co_moments(df, "user", "item", grid=tiles).collect())
+        got = sorted(S.co_moments(few, "user", "item", odd, wide).collect())
+        assert got == sorted(S.co_moments(few, "user", "item", df, tiles).collect())
+
+
+def test_all_pairs_of_many_keys_go_through_few_blocks(spark):
+    """Each key of 20,000 is sent, packed, to some blocks of thousands of keys, not to twenty of a thousand."""
+    df = spark.range(20_000 * 3).selectExpr("cast(id % 20000 AS INT) AS user", "cast(id div 20000 AS INT) AS item", "cast(id % 7 AS DOUBLE) AS rating")
+    grid = S.tile_grid(df, "user", "item")
+    assert grid.keys > 15 and grid.light == 0 and grid.dims == 1
+    plan = S.pearson(df, "user", "item", grid)._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsInArrow" in plan and "FlatMapCoGroupsInArrow" not in plan and "collect_list(struct(k" not in plan
+
+
+def test_sums_of_few_dimensions_are_plain_however_many_the_ratings(spark):
+    """Ratings up to 2 ** 25 in 2 dimensions reach 2 ** 51, though 600 of them squared and summed pass 2 ** 53."""
+    df = spark.range(600).selectExpr("cast(id div 2 AS INT) AS user", "cast(id % 2 AS INT) AS item", "cast(pow(2, 25) - id % 7 AS DOUBLE) AS rating")
+    grid = S.tile_grid(df, "user", "item", places=0)
+    assert grid.plain and grid.wide
+    halves = sorted(S.co_moments(df, "user", "item", grid=grid._replace(plain=False, wide=0), places=0).collect())
+    assert halves and sorted(S.co_moments(df, "user", "item", grid=grid, places=0).collect()) == halves
