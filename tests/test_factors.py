@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lumetra.operators import factors as B
 
@@ -139,3 +140,31 @@ def test_a_group_of_similar_items_is_one_block(spark, monkeypatch):
     monkeypatch.setattr(B, "RIGHT_BLOCK", 4)
     assert sorted(B.similar_items(vectors, 3, 0.2, n_pivots=2).collect()) == want
     assert met[0] <= 4
+
+
+@pytest.mark.parametrize("least", [-0.5, 0.3, 1.0])
+def test_a_similar_item_travels_once_per_block_and_a_pair_is_scored_once(spark, monkeypatch, least):
+    """Many groups that all meet lie in few blocks; chunks, copies and ties change no list."""
+    rng = np.random.default_rng(8)
+    m = rng.normal(size=(300, 6))
+    m[40:60], m[70], m[200:230, :3] = m[40], -m[40], 0
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    want = brute(range(300), unit, range(300), unit, 10, lambda i, j, s: i != j and s >= least)
+    sent, plain = [], B._meet
+
+    def counted(left, right, kernel):
+        sent.append(sum(side.select(F.size("cells").alias("n")).agg(F.sum("n")).first()[0] or 0 for side in (left, right)))
+        return plain(left, right, kernel)
+
+    monkeypatch.setattr(B, "_meet", counted)
+    same(collected(B.similar_items(vectors(spark, range(300), m), min_similarity=least, n_pivots=16)), want)
+    assert sent == [300]
+    monkeypatch.setattr(B, "SIMILAR_CHUNK", 16)
+    same(collected(B.similar_items(vectors(spark, range(300), m), min_similarity=least, n_pivots=16)), want)
+    assert sent[1] <= 300 * 4
+
+
+def test_single_precision_is_kept_only_where_it_holds_all_numbers(spark):
+    for x, kind in ((0.5, "array<float>"), (0.1, "array<double>")):
+        stored = B._stored_lengths(vectors(spark, [1, 2], [[x, 1.0], [2.0, 1.0]]))
+        assert dict(stored.dtypes)["features"] == kind and [r["features"] for r in stored.orderBy("id").collect()] == [[x, 1.0], [2.0, 1.0]]
