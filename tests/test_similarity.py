@@ -326,3 +326,37 @@ def test_sums_of_few_dimensions_are_plain_however_many_the_ratings(spark):
     assert grid.plain and grid.wide
     halves = sorted(S.co_moments(df, "user", "item", grid=grid._replace(plain=False, wide=0), places=0).collect())
     assert halves and sorted(S.co_moments(df, "user", "item", grid=grid, places=0).collect()) == halves
+
+
+def test_only_whole_lists_leave_the_search_for_the_nearest(spark, monkeypatch):
+    """A key's list is found in one task, not one list per block of others; the lists are those of the tiles."""
+    monkeypatch.setattr(S, "_CHUNK_KEYS", 16)
+    rng = random.Random(43)
+    df = frame(spark, {(u, i): rng.randrange(10**5) / 100 for u in range(200) for i in range(20) if rng.random() < 0.9})
+    tiles, left, plain = S.Grid(4, 1, 0, 10**4, True, 0, "int"), [], S.top_k
+    monkeypatch.setattr(S, "top_k", lambda rows, *more: left.append(rows.count()) or plain(rows, *more))
+    want = sorted(S.nearest(df, 5, grid=tiles).collect())
+    assert sorted(S.nearest(df, 5, grid=tiles._replace(wide=4)).collect()) == want
+    assert left[1] == 200 * 5
+
+
+def test_a_block_of_keys_holds_no_more_than_a_few_matrices():
+    """8,192 keys of 100 dimensions with 100 partners each, met by 4,096 others, take less than 150 MB at their peak."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+
+    def keys(n, start):
+        d = [np.flatnonzero(rng.random(100) < 0.5).astype(np.int32) for _ in range(n)]
+        return pa.table({"k": np.arange(start, start + n), "d": pa.array(d), "x": pa.array([rng.integers(0, 50_000, len(z)).astype(np.int32) for z in d])})
+
+    own, others = keys(8192, 0), keys(4096, 10_000)
+    tracemalloc.start()
+    block = S._Nearest(own, 100)
+    block.meet(others)
+    assert sum(len(b) for b in block.found()) >= 8192 * 100
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150_000_000
