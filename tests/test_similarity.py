@@ -360,3 +360,46 @@ def test_a_block_of_keys_holds_no_more_than_a_few_matrices():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 150_000_000
+
+
+def _many_keys(spark):
+    df = spark.range(9000).selectExpr("cast(id * 7919 % 3000 AS INT) AS user", "cast(id * 7 % 1501 AS INT) AS item", "cast(id % 5 AS DOUBLE) AS rating")
+    return df.dropDuplicates(["user", "item"])
+
+
+def test_pairs_of_one_co_rating_do_not_reach_the_search_for_the_nearest(spark, monkeypatch):
+    """They have no similarity; of many sparse keys nearly all pairs are such."""
+    rng = random.Random(44)
+    df = frame(spark, {(rng.randrange(2500), rng.randrange(600)): rng.randrange(5) * 1.0 for _ in range(12_000)})
+    least, plain = [], S._similarity
+    grid = S.tile_grid(df, "user", "item")._replace(tasks=3)
+    joined = grid._replace(tasks=0)
+    monkeypatch.setattr(S, "_similarity", lambda sums, grid: least.append(sums.agg(F.min("n")).first()[0]) or plain(sums, grid))
+    for others in (None, df.filter("user % 2 = 0")):
+        want = sorted(S.nearest(df, 3, others=others, grid=joined).collect())
+        assert want and sorted(S.nearest(df, 3, others=others, grid=grid).collect()) == want
+    assert least[1] >= 2 and least[3] >= 2
+    assert S.pearson(df, "user", "item", grid).filter("n = 1").count() > 0
+
+
+def test_packed_lists_are_summed_in_small_parts(spark, monkeypatch):
+    """Parts of the keys, and of the partners of a key with very many, sum to the same; ids may be large or negative."""
+    df = _many_keys(spark).selectExpr("cast(user AS BIGINT) * 3000000000000000 - 4000000000000000000 AS user", "item", "rating - 2 AS rating")
+    few = df.filter("item % 3 = 0")
+    for grid in (S.Grid(1, 1, None, 10**6, True, 2, "tinyint"), S.Grid(1, 1, None, 1, False, 2, "bigint")):
+        wants = [sorted(S.co_moments(df, "user", "item", right, grid._replace(tasks=0)).collect()) for right in (None, few)]
+        with monkeypatch.context() as m:
+            m.setattr(S, "CO_RATINGS", 64)
+            for right, want in zip((None, few), wants):
+                assert want and sorted(S.co_moments(df, "user", "item", right, grid).collect()) == want
+
+
+def test_a_co_rating_travels_in_few_bytes():
+    """An id among 7 million and a small number, sent to another key, take less than four bytes."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(10)
+    ids = [np.sort(rng.choice(7_200_000, 40, replace=False)).astype(np.int32) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"k": pa.array(ids), "x": pa.array([rng.integers(1, 51, 40).astype(np.int8) for _ in ids])})
+    blobs = [b for out in S._sent_lists(True, 20)(iter([batch])) for b in out.column("blob").to_pylist()]
+    assert sum(map(len, blobs)) < 4 * 2000 * 40 * 39 / 2
